@@ -4,23 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KEY = ("sensor_id", "event_time")
 _SALT = "__copy_salt"
+_RANK = "__copy_rank"
 
 
 def dedup_batch(df: DataFrame, keys: Sequence[str] = KEY, order: Sequence[str] | None = None) -> DataFrame:
-    """Keep the smallest row per key by `order`, then by the remaining columns.
+    """Keep the first row per key by `order`, then by the remaining columns.
 
-    Written as an aggregate, so the copies of a key are reduced to one row per task before the
-    shuffle, however many there are, and a recomputed task picks the same row again.
+    Spark applies a limit of one row per key before the shuffle as well as after it, so each task
+    sends at most one copy of a key however many it holds, and a recomputed task picks the same row.
     """
     order = list(order or [])
     rest = order + [name for name in df.columns if name not in keys and name not in order]
-    kept = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("kept"))
-    return kept.select(*[name if name in keys else F.col(f"kept.{name}").alias(name) for name in df.columns])
+    copies = Window.partitionBy(*keys).orderBy(*rest)
+    return df.withColumn(_RANK, F.row_number().over(copies)).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
 def dedup_stream(

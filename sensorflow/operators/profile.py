@@ -7,14 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .aggregates import plain_zero
 
-def _stats(columns: Sequence[str]) -> list[Column]:
+
+def _stats(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    types = dict(df.dtypes)
     stats = [F.count(F.lit(1)).alias("n_rows")]
     for name in columns:
+        ranged = plain_zero(name) if types[name] == "double" else F.col(name)
         stats += [
             F.count(F.col(name)).alias(f"{name}__set"),
-            F.min(name).alias(f"{name}__min"),
-            F.max(name).alias(f"{name}__max"),
+            F.min(ranged).alias(f"{name}__min"),
+            F.max(ranged).alias(f"{name}__max"),
         ]
     return stats
 
@@ -36,13 +40,13 @@ def _per_column(stats: DataFrame, columns: Sequence[str], keep: Sequence[str] =
 def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows, NULLs, smallest and largest value of each column, from one pass over the table."""
     columns = list(columns or df.columns)
-    return _per_column(df.agg(*_stats(columns)), columns)
+    return _per_column(df.agg(*_stats(df, columns)), columns)
 
 
 def profile_per_file(table: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """The same profile per stored file; `table` must be a direct read of files."""
     columns = list(columns or table.columns)
-    stats = table.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(*_stats(columns))
+    stats = table.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(*_stats(table, columns))
     return _per_column(stats, columns, keep=["file_name"])
 
 

@@ -59,8 +59,8 @@ TEMP_5MIN = """
   FROM silver WHERE sensor_type = 'temperature' GROUP BY 1"""
 HOURLY = """
   SELECT time_bucket(INTERVAL '1 hour', event_time) AS window_start, building, sensor_type,
-    round(avg(sensor_value), 6) AS avg_value, min(sensor_value) AS min_value,
-    max(sensor_value) AS max_value, count(*) AS n
+    round(avg(sensor_value), 6) AS avg_value, min(sensor_value + 0.0) AS min_value,
+    max(sensor_value + 0.0) AS max_value, count(*) AS n
   FROM silver GROUP BY 1, 2, 3"""
 LAST_KNOWN = """
   SELECT sensor_id, max(event_time) AS last_time,
@@ -73,9 +73,10 @@ SLICES = """
 
 
 def _column_stats(name: str, relation: str, extra: str = "") -> str:
+    ranged = f'"{name}" + 0.0' if name == "value" else f'"{name}"'
     return (
         f"SELECT {extra}'{name}' AS column_name, count(*) AS n_rows, count(*) - count(\"{name}\") AS n_nulls, "
-        f'CAST(min("{name}") AS VARCHAR) AS min_value, CAST(max("{name}") AS VARCHAR) AS max_value FROM {relation}'
+        f"CAST(min({ranged}) AS VARCHAR) AS min_value, CAST(max({ranged}) AS VARCHAR) AS max_value FROM {relation}"
     )
 
 

@@ -60,7 +60,7 @@ def replay_from_raw(
 
 
 def write_gold(spark: SparkSession, silver_path: str, gold_path: str) -> dict[str, str]:
-    """Write the gold tables and return where they are.
+    """Write the gold tables of a deduplicated silver table and return where they are.
 
     Silver is read twice: once for the five-minute partials that the mean KPIs are folded from,
     once (three columns) for the last known values.
@@ -71,5 +71,5 @@ def write_gold(spark: SparkSession, silver_path: str, gold_path: str) -> dict[st
     slices = read_table(spark, paths["slices"])
     write_table(mean_temperature_from_partials(slices), paths["temperature_5min"])
     write_table(hourly_kpi_from_partials(slices), paths["hourly"])
-    write_table(last_known(silver), paths["last_known"])
+    write_table(last_known(silver, unique_times=True), paths["last_known"])
     return paths

@@ -383,7 +383,7 @@ def gold_last_known(spark: SparkSession, sf_dir: str) -> DataFrame:
 def layer_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three gold tables, one below the other."""
     work = new_workspace(spark, "layer_gold")
-    tables.write_table(silver_of(read_readings(spark, sf_dir)), f"{work}/silver")
+    tables.write_table(dedup.dedup(silver_of(read_readings(spark, sf_dir))), f"{work}/silver")
     paths = layers.write_gold(spark, f"{work}/silver", f"{work}/gold")
     columns = {
         "temperature_5min": ("NULL", "'temperature'", "NULL", "window_start", "avg_temperature", "n"),

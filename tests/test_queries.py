@@ -1,0 +1,51 @@
+"""Every registered query against its SQL, run by an independent engine."""
+
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__ as entry_points
+from compare_with_sql import database, difference
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def connection():
+    return database(SF)
+
+
+@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+def test_query_equals_sql(spark, connection, name):
+    sql = entry_points.oracle_sql()[name]
+    ours = entry_points.queries()[name](spark, SF).toArrow()
+    assert difference(ours, connection.sql(sql).to_arrow_table()) is None
+
+
+def test_no_sql_without_a_query():
+    assert set(entry_points.oracle_sql()) == set(entry_points.queries())
+
+
+def test_entry(spark):
+    assert entry_points.entry(spark).count() > 0
+
+
+def test_known_sizes(spark):
+    """Sizes stated with the readings adapter."""
+    rows = entry_points.queries()["agg_by_building"](spark, SF).collect()
+    assert {row.building: row.n for row in rows} == {"A": 4089, "B": 4289, None: 1310}
+    levels = entry_points.queries()["sink_memory"](spark, SF).collect()
+    assert {(row.type, row.alert_level): row.n for row in levels} == {
+        ("co2", "HIGH"): 697, ("co2", "LOW"): 1219, ("energy_consumption", "LOW"): 1951, ("error", "LOW"): 1951,
+        ("humidity", "LOW"): 595, ("humidity", "MEDIUM"): 1322, ("temperature", "HIGH"): 1117,
+        ("temperature", "LOW"): 836,
+    }
+
+
+def test_late_data_query_really_meets_late_rows(spark, connection):
+    """Some lagging rows are kept and some are dropped, so the query tells the two apart."""
+    kept = entry_points.queries()["win_late_data"](spark, SF).groupBy().sum("n").first()[0]
+    total = connection.execute("SELECT count(*) FROM events").fetchone()[0]
+    on_time = connection.execute(
+        "SELECT count(*) FROM events WHERE user_id % 7 = 6 OR user_id % 2 = 0").fetchone()[0]
+    assert on_time < kept < total
