@@ -37,8 +37,8 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, events_path(sf_dir), EVENTS)
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stream_table(spark, events_path(sf_dir), EVENTS)
+def stream_events(spark: SparkSession, sf_dir: str, bytes_per_batch: int | None = None) -> DataFrame:
+    return stream_table(spark, events_path(sf_dir), EVENTS, bytes_per_batch=bytes_per_batch)
 
 
 def as_readings(events: DataFrame, *keep: str) -> DataFrame:
@@ -74,5 +74,5 @@ def read_readings(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     return as_readings(read_events(spark, sf_dir), *keep)
 
 
-def stream_readings(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
-    return as_readings(stream_events(spark, sf_dir), *keep)
+def stream_readings(spark: SparkSession, sf_dir: str, *keep: str, bytes_per_batch: int | None = None) -> DataFrame:
+    return as_readings(stream_events(spark, sf_dir, bytes_per_batch), *keep)

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .once import evaluate_once
+
 # NULL fields stay in the text and times keep their microseconds, so that decoding what was
 # encoded gives back the same row.
 JSON_OPTIONS = {
@@ -24,16 +26,6 @@ def from_payload(payload: Column, schema: StructType) -> Column:
     return F.from_json(payload.cast("string"), schema, JSON_OPTIONS)
 
 
-def evaluate_once(df: DataFrame, column: Column, name: str) -> DataFrame:
-    """Add a costly column that later filters may read without computing it again.
-
-    A filter on a projected column is moved below the projection with the expression copied into
-    it, so a JSON document would be parsed once to filter and once to project. A generator is a
-    boundary the filter does not cross: one-element array in, one row out.
-    """
-    return df.select("*", F.explode(F.array(column)).alias(name))
-
-
 def decode(df: DataFrame, payload: str, schema: StructType, name: str = "data") -> DataFrame:
     """Add struct `name` parsed from `payload`, parsing each document once."""
     return evaluate_once(df, from_payload(F.col(payload), schema), name)

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.json import decode, evaluate_once, to_payload
+from ..functions.json import decode, to_payload
+from ..functions.once import evaluate_once
 from ..functions.times import SECONDS_PATTERN, parse_pattern
 from ..schemas import KAFKA_ROW, READING, SILVER, conform
 
@@ -23,11 +24,15 @@ def silver_columns(
     time_pattern: str = SECONDS_PATTERN,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Rename and type reading fields as silver columns; the value must be set."""
+    """Rename and type reading fields as silver columns; the value must be set.
+
+    The time is parsed once per row, also when rows without a time are dropped later on.
+    """
     ingest_time = F.col("kafka_ingest_time") if "kafka_ingest_time" in readings.columns else F.lit(None)
-    return readings.select(
+    timed = evaluate_once(readings, parse_pattern(F.col("timestamp"), time_pattern), "event_time")
+    return timed.select(
         F.col("device_id").alias("sensor_id"),
-        parse_pattern(F.col("timestamp"), time_pattern).alias("event_time"),
+        "event_time",
         "building",
         "floor",
         F.col("type").alias("sensor_type"),

@@ -62,9 +62,10 @@ def refine_silver(
     trigger: str = "5 seconds",
     time_pattern: str = SECONDS_PATTERN,
     delay: str = "10 minutes",
+    bytes_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Follow the raw table and append valid, deduplicated rows to silver."""
-    raw = stream_table(pin_utc(spark), raw_path, RAW)
+    raw = stream_table(pin_utc(spark), raw_path, RAW, bytes_per_batch=bytes_per_batch)
     return start(silver_from_raw(raw, time_pattern, delay), table_sink(table), checkpoint, trigger=trigger)
 
 

@@ -35,6 +35,11 @@ CLOCK_COLUMNS = ("ingestion_time", "kafka_ingest_time", "processing_time")
 # files are read. LATE_DELAY is meant to lose some rows.
 WHOLE_SPAN = "40 days"
 LATE_DELAY = "5 days"
+
+# What one epoch may take where the result does not depend on it: an epoch is what a stream repeats
+# after a failure, and what a stateful operator shuffles at once.
+EPOCH_BYTES = 1 << 40
+
 PART_BOUNDS = ("2024-01-11", "2024-01-21")
 
 
@@ -80,6 +85,10 @@ def land_topic(spark: SparkSession, sf_dir: str, path: str) -> str:
     return path
 
 
+def readings_in_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stream_readings(spark, sf_dir, bytes_per_batch=EPOCH_BYTES)
+
+
 def streamed(df: DataFrame, work: str) -> str:
     """Append the stream to a table until nothing is left."""
     drain(df, sinks.table_sink(f"{work}/out"), f"{work}/checkpoint")
@@ -116,7 +125,7 @@ def src_json_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def src_json_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = new_workspace(spark, "src_json_stream")
-    source = files.stream_json(spark, land_json(spark, sf_dir, f"{work}/in"))
+    source = files.stream_json(spark, land_json(spark, sf_dir, f"{work}/in"), bytes_per_batch=EPOCH_BYTES)
     return tables.read_table(spark, streamed(source, work), READING)
 
 
@@ -136,7 +145,8 @@ def src_rate_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_csv_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = new_workspace(spark, "src_csv_stream")
     read_readings(spark, sf_dir).write.option("header", True).csv(f"{work}/in")
-    return tables.read_table(spark, streamed(files.stream_csv(spark, f"{work}/in"), work), READING)
+    source = files.stream_csv(spark, f"{work}/in", bytes_per_batch=EPOCH_BYTES)
+    return tables.read_table(spark, streamed(source, work), READING)
 
 
 @query
@@ -145,7 +155,7 @@ def src_earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = new_workspace(spark, "src_earliest")
     land_json(spark, sf_dir, f"{work}/in")
     for _ in range(2):
-        out = streamed(files.stream_json(spark, f"{work}/in"), work)
+        out = streamed(files.stream_json(spark, f"{work}/in", bytes_per_batch=EPOCH_BYTES), work)
     return tables.read_table(spark, out, READING)
 
 
@@ -159,7 +169,8 @@ def src_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def src_kafka_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = new_workspace(spark, "src_kafka_decode")
-    source = messages.stream_messages(spark, land_topic(spark, sf_dir, f"{work}/topic"))
+    topic = land_topic(spark, sf_dir, f"{work}/topic")
+    source = messages.stream_messages(spark, topic, bytes_per_batch=EPOCH_BYTES)
     return tables.read_table(spark, streamed(decoding.decode_readings(source), work), READING)
 
 
@@ -174,7 +185,7 @@ def src_missing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_stream_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that one transform gives on the table but not on the stream, or the other way round."""
     work = new_workspace(spark, "batch_stream_parity")
-    out = streamed(stream_readings(spark, sf_dir).transform(bronze_of), work)
+    out = streamed(readings_in_epochs(spark, sf_dir).transform(bronze_of), work)
     on_table = read_readings(spark, sf_dir).transform(bronze_of).drop("ingestion_time")
     return compare.count_differences(on_table, tables.read_table(spark, out, BRONZE_STORED))
 
@@ -283,7 +294,7 @@ def silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = new_workspace(spark, "silver_dedup")
 
     def once() -> DataFrame:
-        events = stream_events(spark, sf_dir).select("*", "_metadata.row_index")
+        events = stream_events(spark, sf_dir, EPOCH_BYTES).select("*", "_metadata.row_index")
         readings = as_readings(events, "row_index")
         silver = decoding.silver_columns(readings, times.MICROS_PATTERN, keep=["row_index"])
         return decoding.silver_valid(silver, keep=["row_index"])
@@ -295,7 +306,8 @@ def silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_raw(spark: SparkSession, sf_dir: str, work: str) -> str:
     """Send the readings to a topic and land the topic in a raw table."""
-    source = messages.stream_messages(spark, land_topic(spark, sf_dir, f"{work}/topic"))
+    topic = land_topic(spark, sf_dir, f"{work}/topic")
+    source = messages.stream_messages(spark, topic, bytes_per_batch=EPOCH_BYTES)
     run_until_stopped(jobs.ingest_raw(source, f"{work}/raw", f"{work}/raw_checkpoint", AVAILABLE_NOW))
     return f"{work}/raw"
 
@@ -311,7 +323,7 @@ def layer_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = new_workspace(spark, "layer_silver")
     raw = landed_raw(spark, sf_dir, work)
     refine = jobs.refine_silver(
-        spark, raw, f"{work}/silver", f"{work}/checkpoint", AVAILABLE_NOW, times.MICROS_PATTERN, WHOLE_SPAN
+        spark, raw, f"{work}/silver", f"{work}/checkpoint", AVAILABLE_NOW, times.MICROS_PATTERN, WHOLE_SPAN, EPOCH_BYTES
     )
     run_until_stopped(refine)
     return comparable(tables.read_table(spark, f"{work}/silver", SILVER))
@@ -458,7 +470,7 @@ def win_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def mode_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = new_workspace(spark, "mode_append")
-    return tables.read_table(spark, streamed(stream_readings(spark, sf_dir), work), READING)
+    return tables.read_table(spark, streamed(readings_in_epochs(spark, sf_dir), work), READING)
 
 
 @query
@@ -488,7 +500,7 @@ def mode_complete_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sink_append_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = new_workspace(spark, "sink_append_table")
-    out = streamed(bronze_of(stream_readings(spark, sf_dir)), work)
+    out = streamed(bronze_of(readings_in_epochs(spark, sf_dir)), work)
     return comparable(tables.read_table(spark, out, BRONZE))
 
 
@@ -526,7 +538,7 @@ def ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = new_workspace(spark, "sink_alert_messages")
     sending = jobs.send_alerts(
-        bronze_of(stream_readings(spark, sf_dir)),
+        bronze_of(readings_in_epochs(spark, sf_dir)),
         sinks.table_sink(f"{work}/alerts"),
         f"{work}/checkpoint",
         trigger=AVAILABLE_NOW,
@@ -541,7 +553,7 @@ def sink_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Driver memory takes only a small result: the counts, not the rows."""
     work = new_workspace(spark, "sink_memory")
     name = "counts_" + work.rsplit("-", 1)[1]
-    counts = aggregates.counts_by(bronze_of(stream_readings(spark, sf_dir)), "type", "alert_level")
+    counts = aggregates.counts_by(bronze_of(readings_in_epochs(spark, sf_dir)), "type", "alert_level")
     drain(counts, sinks.memory_sink(name), f"{work}/checkpoint", mode="complete")
     return spark.table(name)
 
@@ -550,7 +562,7 @@ def sink_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trig_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = new_workspace(spark, "trig_available_now")
     running = start(
-        stream_readings(spark, sf_dir), sinks.table_sink(f"{work}/out"), f"{work}/checkpoint", trigger=AVAILABLE_NOW
+        readings_in_epochs(spark, sf_dir), sinks.table_sink(f"{work}/out"), f"{work}/checkpoint", trigger=AVAILABLE_NOW
     )
     run_until_stopped(running)
     return tables.read_table(spark, f"{work}/out", READING)
@@ -560,7 +572,7 @@ def trig_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trig_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = new_workspace(spark, "trig_processing_time")
     running = start(
-        stream_readings(spark, sf_dir), sinks.table_sink(f"{work}/out"), f"{work}/checkpoint", trigger="1 second"
+        readings_in_epochs(spark, sf_dir), sinks.table_sink(f"{work}/out"), f"{work}/checkpoint", trigger="1 second"
     )
     running.processAllAvailable()
     running.stop()

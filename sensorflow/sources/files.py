@@ -9,7 +9,9 @@ from pyspark.sql.types import StructType
 from ..schemas import READING
 
 
-def rate_limited(reader: DataStreamReader, files_per_batch: int | None, bytes_per_batch: str | None) -> DataStreamReader:
+def rate_limited(
+    reader: DataStreamReader, files_per_batch: int | None, bytes_per_batch: int | None
+) -> DataStreamReader:
     """Bound what one micro-batch takes, by files or by size."""
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -28,7 +30,7 @@ def stream_json(
     path: str,
     schema: StructType = READING,
     files_per_batch: int | None = None,
-    bytes_per_batch: str | None = None,
+    bytes_per_batch: int | None = None,
 ) -> DataFrame:
     """New JSONL files of a folder. The first run takes all files present, later runs only new ones."""
     return rate_limited(spark.readStream.schema(schema), files_per_batch, bytes_per_batch).json(path)
@@ -39,7 +41,7 @@ def stream_csv(
     path: str,
     schema: StructType = READING,
     files_per_batch: int | None = None,
-    bytes_per_batch: str | None = None,
+    bytes_per_batch: int | None = None,
 ) -> DataFrame:
     """New CSV files with a header line."""
     reader = rate_limited(spark.readStream.schema(schema), files_per_batch, bytes_per_batch)
@@ -50,7 +52,7 @@ def stream_text(
     spark: SparkSession,
     path: str,
     files_per_batch: int | None = None,
-    bytes_per_batch: str | None = None,
+    bytes_per_batch: int | None = None,
 ) -> DataFrame:
     """New text files, one row per line in column `value`."""
     return rate_limited(spark.readStream, files_per_batch, bytes_per_batch).text(path)

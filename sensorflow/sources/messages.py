@@ -8,7 +8,9 @@ from ..schemas import KAFKA_ROW
 from .tables import read_table, stream_table
 
 
-def stream_kafka(spark: SparkSession, servers: str, topic: str, starting: str = "earliest", **options: str) -> DataFrame:
+def stream_kafka(
+    spark: SparkSession, servers: str, topic: str, starting: str = "earliest", **options: str
+) -> DataFrame:
     """A Kafka topic, from `starting` on the first run and from the checkpoint afterwards.
 
     Needs the Kafka connector on the class path.
@@ -22,7 +24,7 @@ def stream_messages(
     spark: SparkSession,
     path: str,
     files_per_batch: int | None = None,
-    bytes_per_batch: str | None = None,
+    bytes_per_batch: int | None = None,
 ) -> DataFrame:
     """The same rows from a topic kept as Parquet files."""
     return stream_table(spark, path, KAFKA_ROW, "parquet", files_per_batch, bytes_per_batch)

@@ -10,22 +10,15 @@ def _open(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    files, hadoop_path = _open(spark, path)
-    return files.exists(hadoop_path)
-
-
 def is_file(spark: SparkSession, path: str) -> bool:
     files, hadoop_path = _open(spark, path)
     return files.exists(hadoop_path) and files.getFileStatus(hadoop_path).isFile()
 
 
-def children(spark: SparkSession, path: str) -> list[str]:
-    """Names directly below a folder; none if the folder is missing."""
-    files, hadoop_path = _open(spark, path)
-    if not files.exists(hadoop_path):
-        return []
-    return [status.getPath().getName() for status in files.listStatus(hadoop_path)]
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern; none if the folder is missing."""
+    files, hadoop_path = _open(spark, pattern)
+    return [status.getPath().toString() for status in files.globStatus(hadoop_path) or []]
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -46,7 +46,7 @@ def stream_table(
     schema: StructType,
     fmt: str = "parquet",
     files_per_batch: int | None = None,
-    bytes_per_batch: str | None = None,
+    bytes_per_batch: int | None = None,
 ) -> DataFrame:
     """Rows appended to a table. A table kept as one single file is watched through a pattern for its name."""
     if is_file(spark, path):

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from ..sources.paths import children, delete, exists
+from ..sources.paths import delete, matching
 
 BATCH = "batch_id"
 FOLD = "fold"
@@ -25,9 +25,8 @@ def folder(path: str, prefix: str, version: int) -> str:
 
 def committed(spark: SparkSession, path: str, prefix: str) -> list[int]:
     """Numbers of the complete folders, in order."""
-    names = [name for name in children(spark, path) if name.startswith(f"{prefix}=")]
-    versions = sorted(int(name.split("=", 1)[1]) for name in names)
-    return [version for version in versions if exists(spark, f"{folder(path, prefix, version)}/_SUCCESS")]
+    marks = matching(spark, f"{path}/{prefix}=*/_SUCCESS")
+    return sorted(int(mark.split("/")[-2].split("=", 1)[1]) for mark in marks)
 
 
 def write_version(df: DataFrame, path: str, prefix: str, version: int) -> None:
@@ -72,10 +71,20 @@ def read_current(spark: SparkSession, path: str, schema: StructType, keys: Seque
 
 
 def fold_batches(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str]) -> None:
-    """Write the current rows as one folder, so that reads need not go through all past epochs."""
-    versions = committed(spark, path, BATCH)
-    if versions:
-        write_version(read_current(spark, path, schema, keys), path, FOLD, versions[-1])
+    """Write the current rows as one folder, so that reads need not go through all past epochs.
+
+    Epochs that the fold before this one already held are removed, and with them older folds: a
+    reader that started before this call keeps all it listed.
+    """
+    versions, folds = committed(spark, path, BATCH), committed(spark, path, FOLD)
+    if not versions or versions[-1:] == folds[-1:]:
+        return
+    write_version(read_current(spark, path, schema, keys), path, FOLD, versions[-1])
+    prune(spark, path, FOLD, keep=2)
+    if folds:
+        for version in versions:
+            if version <= folds[-1]:
+                delete(spark, folder(path, BATCH, version))
 
 
 def epoch_metrics(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

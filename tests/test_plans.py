@@ -44,7 +44,8 @@ def test_filters_and_columns_reach_the_scan(spark, readings, tmp_path):
 
 
 def test_arrival_parts_prune_row_groups(spark):
-    for part in queries.parts_of(queries.read_events(spark, SF)) + queries.lagging_parts(queries.read_events(spark, SF)):
+    events = queries.read_events(spark, SF)
+    for part in queries.parts_of(events) + queries.lagging_parts(events):
         assert "PushedFilters: []" not in plan(part)
 
 

@@ -134,6 +134,10 @@ def test_update_mode_keeps_the_latest_by_event_time_not_by_arrival(spark, inbox,
     silver = silver_columns(stream_json(spark, inbox.path, files_per_batch=1))
     run_until_stopped(jobs.follow_last_known(silver, f"{tmp_path}/out", f"{tmp_path}/checkpoint", AVAILABLE_NOW))
     assert current() == {"d": 5.0, "e": 7.0}
+    versions.fold_batches(spark, f"{tmp_path}/out", schema, ["sensor_id"])
+    assert versions.committed(spark, f"{tmp_path}/out", versions.BATCH) == [3]
+    assert versions.committed(spark, f"{tmp_path}/out", versions.FOLD) == [2, 3]
+    assert current() == {"d": 5.0, "e": 7.0}
 
 
 def test_hourly_kpi_follows_the_stream(spark, inbox, tmp_path):
@@ -161,7 +165,8 @@ def test_complete_mode_rewrites_the_result_and_keeps_few_snapshots(spark, inbox,
 
 
 def test_alert_messages(spark, inbox, tmp_path):
-    inbox.add([reading(value=30), reading(value=20), reading(type="co2", value=2000), reading(type="humidity", value=1)])
+    inbox.add([reading(value=30), reading(value=20)])
+    inbox.add([reading(type="co2", value=2000), reading(type="humidity", value=1)])
     bronze = bronze_clean(stream_json(spark, inbox.path))
     running = jobs.send_alerts(bronze, table_sink(f"{tmp_path}/out"), f"{tmp_path}/c", trigger=AVAILABLE_NOW)
     run_until_stopped(running)
