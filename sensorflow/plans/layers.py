@@ -35,13 +35,13 @@ def raw_messages(raw: DataFrame) -> DataFrame:
 def silver_from_raw(raw: DataFrame, time_pattern: str = SECONDS_PATTERN, delay: str = "10 minutes") -> DataFrame:
     """Decode, validate and deduplicate raw messages.
 
-    Of repeated readings the first arrival stays. On a stream, `delay` bounds the state, and the
-    copies of one reading are spread by their offset before they meet.
+    Of repeated readings the first arrival stays. On a stream, `delay` bounds the state; a backfill
+    of more history than that goes through `replay_from_raw`, which sorts and spills instead.
     """
     decoded = silver_decode(raw_messages(raw), time_pattern, keep=_POSITION)
     valid = silver_valid(decoded, keep=_POSITION)
     if valid.isStreaming:
-        single = dedup_stream(valid, KEY, "event_time", delay, salt=F.col("offset"))
+        single = dedup_stream(valid, KEY, "event_time", delay)
     else:
         single = dedup_batch(valid, KEY, order=("kafka_ingest_time", *_POSITION))
     return single.select(*SILVER.fieldNames())

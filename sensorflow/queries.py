@@ -12,7 +12,7 @@ from functools import reduce, wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .adapters import EVENTS, as_readings, events_path, read_events, read_readings, stream_events, stream_readings
+from .adapters import EVENTS, as_readings, events_path, read_events, read_readings, stream_readings
 from .functions import alerts, json, labels, times
 from .operators import aggregates, cleaning, compare, decoding, dedup, profile
 from .plans import jobs, layers
@@ -293,14 +293,8 @@ def silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row is fed twice; one of each is left."""
     work = new_workspace(spark, "silver_dedup")
 
-    def once() -> DataFrame:
-        events = stream_events(spark, sf_dir, EPOCH_BYTES).select("*", "_metadata.row_index")
-        readings = as_readings(events, "row_index")
-        silver = decoding.silver_columns(readings, times.MICROS_PATTERN, keep=["row_index"])
-        return decoding.silver_valid(silver, keep=["row_index"])
-
-    twice = once().unionByName(once())
-    single = dedup.dedup_stream(twice, delay=WHOLE_SPAN, salt=F.col("row_index"))
+    twice = silver_of(readings_in_epochs(spark, sf_dir)).unionByName(silver_of(readings_in_epochs(spark, sf_dir)))
+    single = dedup.dedup_stream(twice, delay=WHOLE_SPAN)
     return comparable(tables.read_table(spark, streamed(single, work), SILVER))
 
 

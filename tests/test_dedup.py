@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sensorflow.operators.decoding import silver_columns
-from sensorflow.operators.dedup import dedup, dedup_batch, dedup_stream
+from sensorflow.operators.dedup import dedup, dedup_batch, dedup_stream, first_per_batch
 from sensorflow.sources.files import read_json, stream_json
+from sensorflow.sources.tables import stream_table, write_table
 from sensorflow.streaming.runner import drain
 from sensorflow.streaming.sinks import table_sink
 
@@ -39,15 +41,14 @@ def test_batch_with_a_third_of_all_rows_in_one_key(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
-@pytest.mark.parametrize("salted", [False, True])
-def test_stream_removes_copies_within_and_across_micro_batches(spark, inbox, tmp_path, salted):
+@pytest.mark.parametrize("reduce_first", [False, True])
+def test_stream_removes_copies_within_and_across_micro_batches(spark, inbox, tmp_path, reduce_first):
     rows = sample(40)
     inbox.add(rows[:25] + rows[:25])
     inbox.add(rows[20:] + rows[30:])
     inbox.add(rows)
     silver = silver_columns(stream_json(spark, inbox.path, files_per_batch=1))
-    salt = F.xxhash64("processing_time", F.spark_partition_id()) if salted else None
-    single = dedup_stream(silver, delay="2 hours", salt=salt)
+    single = dedup_stream(silver, delay="2 hours", reduce_first=reduce_first)
     query = drain(single, table_sink(f"{tmp_path}/out"), f"{tmp_path}/checkpoint")
     assert len([p for p in query.recentProgress if p.numInputRows]) == 3
     out = spark.read.parquet(f"{tmp_path}/out")
@@ -74,3 +75,29 @@ def test_copies_differing_in_payload_give_one_row(spark, inbox):
     inbox.add([reading(value=2), reading(value=1), reading(value=3)])
     kept = dedup(silver_columns(read_json(spark, inbox.path)))
     assert kept.count() == 1
+
+
+def test_hot_key_is_reduced_before_the_shuffle(spark, tmp_path):
+    """A third of the rows are copies of one reading; the task that owns it sees a few of them."""
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("sensor_id"),
+        F.lit("2025-01-12 08:00:00").cast("timestamp").alias("event_time"),
+        F.when(F.col("id") % 5 != 0, F.lit("x")).alias("unit"),
+    )
+    write_table(rows, f"{tmp_path}/in")
+    single = dedup_stream(stream_table(spark, f"{tmp_path}/in", rows.schema))
+    query = drain(single, table_sink(f"{tmp_path}/out"), f"{tmp_path}/checkpoint")
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert out.count() == out.select("sensor_id").distinct().count() == 40_001
+    dropped = query.recentProgress[0].stateOperators[0].customMetrics["numDroppedDuplicateRows"]
+    assert 0 < dropped < 100
+
+
+def test_reduction_keeps_first_rows_and_treats_null_as_a_key():
+    batch = pa.RecordBatch.from_pydict({"k": ["a", None, "a", "b", None], "t": [1, 1, 1, 1, 1], "v": [1, 2, 3, 4, 5]})
+    (kept,) = first_per_batch(["k", "t"])(iter([batch]))
+    assert kept.to_pydict()["v"] == [1, 2, 4]
+    (same,) = first_per_batch(["v"])(iter([batch]))
+    assert same is batch
+    (empty,) = first_per_batch(["k"])(iter([batch.slice(0, 0)]))
+    assert empty.num_rows == 0

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare_with_sql import database, difference
+from sensorflow import queries
 
 SF = "/root/testdata/sf0.01"
 
@@ -49,3 +50,25 @@ def test_late_data_query_really_meets_late_rows(spark, connection):
     on_time = connection.execute(
         "SELECT count(*) FROM events WHERE user_id % 7 = 6 OR user_id % 2 = 0").fetchone()[0]
     assert on_time < kept < total
+
+
+@pytest.fixture(scope="module")
+def many_files(spark, tmp_path_factory):
+    """The same events as a folder of files in no particular order."""
+    folder = tmp_path_factory.mktemp("many")
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    events.repartition(5).write.parquet(f"{folder}/events.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["batch_stream_parity", "mode_append", "silver_dedup", "layer_raw", "layer_silver", "sink_append_table",
+     "sink_alert_messages", "sink_memory", "sink_resume", "src_json_stream", "src_kafka_decode", "win_late_data",
+     "win_watermark_append"],
+)
+def test_result_does_not_depend_on_files_and_epochs(spark, connection, many_files, monkeypatch, name):
+    monkeypatch.setattr(queries, "EPOCH_BYTES", 1)
+    ours = entry_points.queries()[name](spark, many_files).toArrow()
+    theirs = connection.sql(entry_points.oracle_sql()[name]).to_arrow_table()
+    assert difference(ours, theirs) is None

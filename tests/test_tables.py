@@ -165,3 +165,30 @@ def test_shared_folder_comes_from_the_session(spark):
     folder = spark.conf.get(session.SHARED_DIR)
     assert session.shared_folder(spark) == folder.rstrip("/")
     assert session.new_workspace(spark, "x") != session.new_workspace(spark, "x")
+
+
+def test_cluster_without_a_shared_folder_is_an_error():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf = Conf()
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session())
+
+
+def test_table_format_is_a_parameter(spark, inbox, tmp_path):
+    inbox.add(sample(8))
+    running = jobs.ingest_bronze(spark, inbox.path, f"{tmp_path}/t", f"{tmp_path}/c", AVAILABLE_NOW, fmt="orc")
+    run_until_stopped(running)
+    assert list((tmp_path / "t").glob("*.orc"))
+    assert jobs.bronze_report(spark, f"{tmp_path}/t", fmt="orc")["total"].first().n == 8
