@@ -9,6 +9,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+from .sources.paths import delete
+
 SHARED_DIR = "spark.checkpoint.dir"
 
 # RocksDB keeps streaming state off the JVM heap; changelogs make each commit proportional
@@ -44,9 +46,19 @@ def shared_folder(spark: SparkSession) -> str:
     raise ValueError(f"set {SHARED_DIR} to a folder that all executors can reach")
 
 
+def workspaces(spark: SparkSession) -> str:
+    """This application's own corner of the shared folder."""
+    return f"{shared_folder(spark)}/sensorflow/{spark.sparkContext.applicationId}"
+
+
 def new_workspace(spark: SparkSession, label: str) -> str:
     """A fresh folder path below the shared folder; nothing is shared between two calls."""
-    return f"{shared_folder(spark)}/sensorflow/{label}-{uuid.uuid4().hex}"
+    return f"{workspaces(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_workspaces(spark: SparkSession) -> None:
+    """Remove this application's work folders, once results read from them are no longer needed."""
+    delete(spark, workspaces(spark))
 
 
 @contextmanager

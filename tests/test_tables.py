@@ -164,7 +164,8 @@ def test_reports(spark, inbox, tmp_path):
 def test_shared_folder_comes_from_the_session(spark):
     folder = spark.conf.get(session.SHARED_DIR)
     assert session.shared_folder(spark) == folder.rstrip("/")
-    assert session.new_workspace(spark, "x") != session.new_workspace(spark, "x")
+    first, second = (session.new_workspace(spark, "x") for _ in range(2))
+    assert first != second and first.startswith(folder) and spark.sparkContext.applicationId in first
 
 
 def test_cluster_without_a_shared_folder_is_an_error():
@@ -192,3 +193,13 @@ def test_table_format_is_a_parameter(spark, inbox, tmp_path):
     run_until_stopped(running)
     assert list((tmp_path / "t").glob("*.orc"))
     assert jobs.bronze_report(spark, f"{tmp_path}/t", fmt="orc")["total"].first().n == 8
+
+
+def test_work_folders_can_be_removed(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    work = session.new_workspace(spark, "x")
+    spark.range(3).write.parquet(f"{work}/t")
+    (tmp_path / "other").mkdir()
+    session.remove_workspaces(spark)
+    assert [path.name for path in tmp_path.iterdir()] in (["sensorflow", "other"], ["other", "sensorflow"])
+    assert not any((tmp_path / "sensorflow").iterdir())
