@@ -12,11 +12,14 @@ from ..functions.once import evaluate_once
 from ..functions.times import SECONDS_PATTERN, parse_pattern
 from ..schemas import KAFKA_ROW, READING, SILVER, conform
 
+# Reading fields that have another name in silver.
+SILVER_NAMES = {"device_id": "sensor_id", "type": "sensor_type", "value": "sensor_value"}
+
 
 def decode_readings(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Reading fields and broker time; a payload that is no JSON gives a row of NULL fields."""
-    text = messages.selectExpr("CAST(value AS STRING) AS json_value", "timestamp AS kafka_ingest_time", *keep)
-    return decode(text, "json_value", READING).select("data.*", "kafka_ingest_time", *keep)
+    texts = messages.selectExpr("CAST(value AS STRING) AS payload", "timestamp AS kafka_ingest_time", *keep)
+    return decode(texts, "payload", READING).select("data.*", "kafka_ingest_time", *keep)
 
 
 def silver_columns(
@@ -26,22 +29,15 @@ def silver_columns(
 ) -> DataFrame:
     """Rename and type reading fields as silver columns; the value must be set.
 
-    The time is parsed once per row, also when rows without a time are dropped later on.
+    The time is parsed once per row, also when rows without a time are dropped later on. Readings
+    that did not come as messages have no broker time.
     """
-    ingest_time = F.col("kafka_ingest_time") if "kafka_ingest_time" in readings.columns else F.lit(None)
     timed = evaluate_once(readings, parse_pattern(F.col("timestamp"), time_pattern), "event_time")
-    return timed.select(
-        F.col("device_id").alias("sensor_id"),
-        "event_time",
-        "building",
-        "floor",
-        F.col("type").alias("sensor_type"),
-        F.col("value").alias("sensor_value"),
-        "unit",
-        ingest_time.cast("timestamp").alias("kafka_ingest_time"),
-        F.current_timestamp().alias("processing_time"),
-        *keep,
-    ).filter(F.col("sensor_value").isNotNull())
+    clocks = {"processing_time": F.current_timestamp()}
+    if "kafka_ingest_time" not in readings.columns:
+        clocks["kafka_ingest_time"] = F.lit(None).cast("timestamp")
+    silver = timed.withColumnsRenamed(SILVER_NAMES).withColumns(clocks).select(*SILVER.fieldNames(), *keep)
+    return silver.filter(F.col("sensor_value").isNotNull())
 
 
 def silver_decode(

@@ -32,7 +32,11 @@ def stream_json(
     files_per_batch: int | None = None,
     bytes_per_batch: int | None = None,
 ) -> DataFrame:
-    """New JSONL files of a folder. The first run takes all files present, later runs only new ones."""
+    """New JSONL files of a folder. The first run takes all files present, later runs only new ones.
+
+    As with every file stream, a later run takes a new file only if it was changed less than
+    `maxFileAge` (seven days) before the newest one seen: copy old files without their old times.
+    """
     return rate_limited(spark.readStream.schema(schema), files_per_batch, bytes_per_batch).json(path)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
@@ -21,7 +21,7 @@ def table_sink(path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
     return attach
 
 
-def batch_sink(path: str, transform: Callable[[DataFrame], DataFrame] | None = None) -> Sink:
+def batch_sink(path: str) -> Sink:
     """Write epoch N to its own folder, replacing it when the epoch is replayed after a failure.
 
     Takes append and update mode; read it with `versions.read_batches` or, where rows replace
@@ -29,7 +29,7 @@ def batch_sink(path: str, transform: Callable[[DataFrame], DataFrame] | None = N
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        write_version(batch if transform is None else transform(batch), path, BATCH, epoch)
+        write_version(batch, path, BATCH, epoch)
 
     return lambda writer: writer.foreachBatch(write)
 

@@ -1,0 +1,70 @@
+"""A stream whose whole process is killed and started again."""
+
+from __future__ import annotations
+
+import os
+import signal
+import subprocess
+import sys
+import time
+from pathlib import Path
+
+import pytest
+
+from sensorflow.operators.cleaning import bronze_clean
+from sensorflow.operators.compare import count_differences
+from sensorflow.schemas import BRONZE
+from sensorflow.sources.files import read_json, stream_json
+from sensorflow.sources.tables import read_table
+from sensorflow.streaming import versions
+from sensorflow.streaming.runner import drain
+from sensorflow.streaming.sinks import batch_sink, table_sink
+
+from .conftest import ROOT, sample
+
+CHILD = """
+import sys
+from compare_with_sql import local_session
+from sensorflow.operators.cleaning import bronze_clean
+from sensorflow.sources.files import stream_json
+from sensorflow.streaming.runner import drain
+from sensorflow.streaming import sinks
+kind, inbox, out, checkpoint = sys.argv[1:]
+stream = bronze_clean(stream_json(local_session(2), inbox, files_per_batch=1))
+drain(stream, getattr(sinks, kind)(out), checkpoint)
+"""
+
+
+@pytest.mark.parametrize("sink", [table_sink, batch_sink])
+def test_killed_stream_resumes_without_loss_or_doubling(spark, inbox, tmp_path, sink):
+    n_files = 60
+    rows = sample(5 * n_files)
+    for part in range(n_files):
+        inbox.add(rows[5 * part:5 * part + 5])
+    out, checkpoint = f"{tmp_path}/out", f"{tmp_path}/checkpoint"
+    child = subprocess.Popen(
+        [sys.executable, "-c", CHILD, sink.__name__, inbox.path, out, checkpoint],
+        cwd=ROOT,
+        start_new_session=True,
+        stdout=subprocess.DEVNULL,
+        stderr=subprocess.DEVNULL,
+    )
+    commits = Path(checkpoint) / "commits"
+
+    def committed() -> int:
+        return len([name for name in os.listdir(commits) if name.isdigit()]) if commits.is_dir() else 0
+
+    deadline = time.time() + 90
+    while committed() < 4 and child.poll() is None and time.time() < deadline:
+        time.sleep(0.05)
+    os.killpg(child.pid, signal.SIGKILL)
+    child.wait()
+    assert 4 <= committed() < n_files
+
+    stream = bronze_clean(stream_json(spark, inbox.path, files_per_batch=20))
+    drain(stream, sink(out), checkpoint)
+    read = read_table if sink is table_sink else versions.read_batches
+    result = read(spark, out, BRONZE).drop("ingestion_time", "batch_id")
+    expected = bronze_clean(read_json(spark, inbox.path)).drop("ingestion_time")
+    assert expected.count() == 5 * n_files
+    assert count_differences(result, expected).first().n_diff == 0

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from sensorflow.operators.decoding import (
@@ -16,9 +18,9 @@ from sensorflow.operators.decoding import (
 from sensorflow.plans import jobs
 from sensorflow.schemas import KAFKA_ROW, READING
 from sensorflow.sources.files import read_json
-from sensorflow.sources.messages import read_messages, stream_messages
-from sensorflow.streaming.runner import drain, run_until_stopped
-from sensorflow.streaming.sinks import table_sink
+from sensorflow.sources.messages import read_messages, stream_kafka, stream_messages
+from sensorflow.streaming.runner import drain, run_until_stopped, start
+from sensorflow.streaming.sinks import kafka_sink, table_sink
 
 from .conftest import reading, sample
 
@@ -77,3 +79,11 @@ def test_topic_files_as_a_stream(spark, inbox, tmp_path):
     out = spark.read.parquet(f"{tmp_path}/out")
     assert out.count() == 20
     assert out.filter("kafka_ingest_time IS NULL OR processing_time IS NULL OR event_time IS NULL").count() == 0
+
+
+def test_kafka_without_its_connector_says_so(spark, inbox, tmp_path):
+    with pytest.raises(AnalysisException, match="kafka"):
+        stream_kafka(spark, "broker:9092", "t", maxOffsetsPerTrigger="1000")
+    lines = lines_to_messages(spark.readStream.text(inbox.path), "t")
+    with pytest.raises(AnalysisException, match="kafka"):
+        start(lines, kafka_sink("broker:9092"), f"{tmp_path}/checkpoint")

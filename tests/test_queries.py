@@ -46,9 +46,9 @@ def test_known_sizes(spark):
 def test_late_data_query_really_meets_late_rows(spark, connection):
     """Some lagging rows are kept and some are dropped, so the query tells the two apart."""
     kept = entry_points.queries()["win_late_data"](spark, SF).groupBy().sum("n").first()[0]
-    total = connection.execute("SELECT count(*) FROM events").fetchone()[0]
-    on_time = connection.execute(
-        "SELECT count(*) FROM events WHERE user_id % 7 = 6 OR user_id % 2 = 0").fetchone()[0]
+    total = connection.sql("SELECT count(*) FROM events").fetchall()[0][0]
+    on_time = connection.sql(
+        "SELECT count(*) FROM events WHERE user_id % 7 = 6 OR user_id % 2 = 0").fetchall()[0][0]
     assert on_time < kept < total
 
 
