@@ -42,7 +42,10 @@ def stream_events(spark: SparkSession, sf_dir: str, bytes_per_batch: int | None
 
 
 def as_readings(events: DataFrame, *keep: str) -> DataFrame:
-    """Readings with missing, negative and out-of-range cases; `keep` names event columns to carry along."""
+    """One reading per event, among them missing, negative and out-of-range ones.
+
+    `keep` names event columns to carry along.
+    """
     kind = F.col("event_type")
     sensor, unit = kind, F.lit(None).cast("string")
     for name, (sensor_type, sensor_unit) in SENSOR_TYPES.items():

@@ -13,12 +13,10 @@ from ..operators.aggregates import (
     slice_partials,
 )
 from ..operators.decoding import silver_decode, silver_valid
-from ..operators.dedup import KEY, dedup_batch, dedup_stream
+from ..operators.dedup import dedup_batch, dedup_stream
 from ..schemas import RAW, SILVER
 from ..sources.tables import read_table, write_table
 
-_POSITION = ("partition", "offset")
-
 
 def raw_rows(messages: DataFrame) -> DataFrame:
     """Messages as they came, with where and when, so that history can be replayed after a bug."""
@@ -38,13 +36,11 @@ def silver_from_raw(raw: DataFrame, time_pattern: str = SECONDS_PATTERN, delay:
     Of repeated readings the first arrival stays. On a stream, `delay` bounds the state; a backfill
     of more history than that goes through `replay_from_raw`, which sorts and spills instead.
     """
-    decoded = silver_decode(raw_messages(raw), time_pattern, keep=_POSITION)
-    valid = silver_valid(decoded, keep=_POSITION)
-    if valid.isStreaming:
-        single = dedup_stream(valid, KEY, "event_time", delay)
-    else:
-        single = dedup_batch(valid, KEY, order=("kafka_ingest_time", *_POSITION))
-    return single.select(*SILVER.fieldNames())
+    position = () if raw.isStreaming else ("partition", "offset")
+    valid = silver_valid(silver_decode(raw_messages(raw), time_pattern, position), keep=position)
+    if raw.isStreaming:
+        return dedup_stream(valid, delay=delay)
+    return dedup_batch(valid, order=("kafka_ingest_time", *position)).select(*SILVER.fieldNames())
 
 
 def replay_from_raw(

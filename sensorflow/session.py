@@ -23,6 +23,9 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 
+# Target size of a shuffled partition when a table is written by day: fewer, larger files.
+WRITE_SETTINGS = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "512m"}
+
 
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Event times are UTC in every layer, so text with `Z` and stored values agree."""

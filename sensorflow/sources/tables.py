@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import WRITE_SETTINGS, settings
 from .files import rate_limited
 from .paths import is_file
 
@@ -68,7 +69,9 @@ def write_table(
     partitions and splits large ones, so a day with a third of all rows is written by many tasks
     and a short day does not become one file per task.
     """
-    if partition_by:
-        df = df.hint("rebalance", *[F.col(name) for name in partition_by])
-    writer = df.write.format(fmt).mode(mode)
-    (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
+    if not partition_by:
+        df.write.format(fmt).mode(mode).save(path)
+        return
+    balanced = df.hint("rebalance", *[F.col(name) for name in partition_by])
+    with settings(df.sparkSession, WRITE_SETTINGS):
+        balanced.write.format(fmt).mode(mode).partitionBy(*partition_by).save(path)

@@ -6,11 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorflow import queries
-from sensorflow.adapters import read_readings
+from sensorflow.adapters import read_readings, stream_readings
 from sensorflow.operators import aggregates, cleaning, decoding
 from sensorflow.plans import jobs
 from sensorflow.schemas import BRONZE
 from sensorflow.sources.tables import read_table, write_table
+from sensorflow.streaming.runner import drain
+from sensorflow.streaming.sinks import batch_sink
 
 SF = "/root/testdata/sf0.001"
 
@@ -76,3 +78,13 @@ def test_stored_bronze_has_the_declared_schema(spark, readings, tmp_path):
     stored = spark.read.parquet(f"{tmp_path}/bronze").schema
     assert [(f.name, f.dataType) for f in stored] == [(f.name, f.dataType) for f in BRONZE]
     assert read_table(spark, f"{tmp_path}/bronze", BRONZE).count() > 0
+
+
+def test_streaming_aggregates_combine_before_their_shuffle(spark, tmp_path):
+    """The rows of a window or sensor are reduced where they are read, and state is kept per key only."""
+    silver = queries.silver_of(stream_readings(spark, SF))
+    for name, aggregate in (("hourly", aggregates.hourly_kpi), ("last", aggregates.last_known)):
+        place = f"{tmp_path}/{name}"
+        query = drain(aggregate(silver), batch_sink(f"{place}/out"), f"{place}/checkpoint", mode="update")
+        above, below = query._jsq.explainInternal(False).split("Exchange", 1)
+        assert "StateStoreSave" in above and "partial_" in below and "Exchange" not in below
