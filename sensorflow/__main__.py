@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 from .plans import jobs
 from .sources.messages import stream_kafka, stream_messages
 from .streaming.runner import run_until_stopped
+from .streaming.sinks import kafka_sink
 
 
 def parser() -> argparse.ArgumentParser:
@@ -27,11 +28,18 @@ def parser() -> argparse.ArgumentParser:
     silver.add_argument("--checkpoint")
     silver.add_argument("--trigger", default="5 seconds")
 
+    replay = commands.add_parser("replay", help="send the lines of JSONL files as messages, once")
+    replay.add_argument("--input", required=True)
+    replay.add_argument("--servers", help="Kafka bootstrap servers; needs --checkpoint")
+    replay.add_argument("--topic", required=True, help="Kafka topic, or folder for message files without --servers")
+    replay.add_argument("--checkpoint")
+
     commands.add_parser("bronze-report", help="preview and counts of the bronze table")
     commands.add_parser("silver-report", help="schema, preview and size of the silver table")
-    for command in commands.choices.values():
-        command.add_argument("--table", required=True)
-        command.add_argument("--format", default="parquet")
+    for name, command in commands.choices.items():
+        if name != "replay":
+            command.add_argument("--table", required=True)
+            command.add_argument("--format", default="parquet")
     return root
 
 
@@ -49,6 +57,12 @@ def main(arguments: list[str] | None = None) -> None:
         else:
             messages = stream_messages(spark, args.topic)
         run_until_stopped(jobs.ingest_silver(messages, args.table, args.checkpoint, args.trigger, fmt=args.format))
+    elif args.job == "replay":
+        if args.servers:
+            sink = kafka_sink(args.servers)
+            run_until_stopped(jobs.replay_to_topic(spark, args.input, sink, args.checkpoint, args.topic))
+        else:
+            jobs.replay_to_files(spark, args.input, args.topic, args.topic.rstrip("/").rsplit("/", 1)[-1])
     else:
         report = jobs.bronze_report if args.job == "bronze-report" else jobs.silver_report
         for title, frame in report(spark, args.table, fmt=args.format).items():

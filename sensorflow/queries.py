@@ -440,8 +440,8 @@ def win_watermark_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lagging_parts(events: DataFrame) -> list[DataFrame]:
     """The parts in arrival order when readings of building B come one part later than the others."""
     readings = as_readings(events, "ts")
-    in_time, lagging = [parts_of(readings.filter(on_b)) for on_b in (
-        ~F.col("building").eqNullSafe("B"), F.col("building").eqNullSafe("B"))]
+    on_b = F.col("building").eqNullSafe("B")
+    in_time, lagging = parts_of(readings.filter(~on_b)), parts_of(readings.filter(on_b))
     middle = [in_time[i].unionByName(lagging[i - 1]) for i in (1, 2)]
     return [in_time[0], *middle, lagging[2]]
 

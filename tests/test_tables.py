@@ -141,7 +141,7 @@ def test_command_line(spark, inbox, tmp_path, capsys):
     table, checkpoint = f"{tmp_path}/bronze", f"{tmp_path}/checkpoint"
     main(["bronze", "--input", inbox.path, "--table", table, "--checkpoint", checkpoint, "--trigger", "available now"])
     main(["bronze-report", "--table", table])
-    jobs.replay_to_files(spark, inbox.path, f"{tmp_path}/topic", "t")
+    main(["replay", "--input", inbox.path, "--topic", f"{tmp_path}/topic"])
     silver = f"{tmp_path}/silver"
     main(["silver", "--topic", f"{tmp_path}/topic", "--table", silver, "--trigger", "available now"])
     main(["silver-report", "--table", silver])
