@@ -28,10 +28,11 @@ def ingest_bronze(
     trigger: str = "10 seconds",
     files_per_batch: int | None = 1,
     fmt: str = "parquet",
+    name: str | None = None,
 ) -> StreamingQuery:
     """Watch a folder of JSONL readings and append cleaned, classified rows to the bronze table."""
     readings = observe_quality(stream_json(pin_utc(spark), input_path, files_per_batch=files_per_batch))
-    return start(bronze_clean(readings), table_sink(table, fmt), checkpoint, trigger=trigger, name="bronze")
+    return start(bronze_clean(readings), table_sink(table, fmt), checkpoint, trigger=trigger, name=name)
 
 
 def ingest_silver(
@@ -41,11 +42,12 @@ def ingest_silver(
     trigger: str = "5 seconds",
     time_pattern: str = SECONDS_PATTERN,
     fmt: str = "parquet",
+    name: str | None = None,
 ) -> StreamingQuery:
     """Decode a message stream into the silver table; the checkpoint sits in the table's folder by default."""
     pin_utc(messages.sparkSession)
     silver = silver_decode(messages, time_pattern)
-    return start(silver, table_sink(table, fmt), checkpoint or f"{table}/_checkpoint", trigger=trigger, name="silver")
+    return start(silver, table_sink(table, fmt), checkpoint or f"{table}/_checkpoint", trigger=trigger, name=name)
 
 
 def ingest_raw(messages: DataFrame, table: str, checkpoint: str, trigger: str = "5 seconds") -> StreamingQuery:
