@@ -29,7 +29,10 @@ def dedup_batch(df: DataFrame, keys: Sequence[str] = KEY, order: Sequence[str] |
 
 
 def first_per_batch(keys: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Keep the first row per key of each Arrow batch, in the task that read it."""
+    """Keep the first row per key of each Arrow batch, in the task that read it.
+
+    The returned function is local, so Spark ships its code and workers need not have this package.
+    """
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
