@@ -15,7 +15,7 @@ from ..schemas import BRONZE, RAW, SILVER
 from ..session import pin_utc
 from ..sources.files import stream_json, stream_text
 from ..sources.tables import read_table_or_empty, stream_table, write_table
-from ..streaming.runner import Sink, start
+from ..streaming.runner import AVAILABLE_NOW, Sink, start
 from ..streaming.sinks import batch_sink, table_sink
 from .layers import raw_rows, silver_from_raw
 
@@ -84,15 +84,27 @@ def follow_last_known(silver: DataFrame, path: str, checkpoint: str, trigger: st
     return start(last_known(silver), batch_sink(path), checkpoint, mode="update", trigger=trigger)
 
 
-def send_alerts(bronze: DataFrame, sink: Sink, checkpoint: str, topic: str = "alerts", level: str = "HIGH",
-                trigger: str = "10 seconds") -> StreamingQuery:
+def send_alerts(
+    bronze: DataFrame,
+    sink: Sink,
+    checkpoint: str,
+    topic: str = "alerts",
+    level: str = "HIGH",
+    trigger: str = "10 seconds",
+) -> StreamingQuery:
     """Send rows of an alert level onward as messages keyed by device."""
     alerts = bronze.filter(F.col("alert_level") == level)
     return start(to_messages(alerts, topic, BRONZE.fieldNames(), key="device_id"), sink, checkpoint, trigger=trigger)
 
 
-def replay_to_topic(spark: SparkSession, input_path: str, sink: Sink, checkpoint: str, topic: str,
-                    trigger: str = "available now") -> StreamingQuery:
+def replay_to_topic(
+    spark: SparkSession,
+    input_path: str,
+    sink: Sink,
+    checkpoint: str,
+    topic: str,
+    trigger: str = AVAILABLE_NOW,
+) -> StreamingQuery:
     """Send every line of the JSONL files to a topic as one message."""
     return start(lines_to_messages(stream_text(spark, input_path), topic), sink, checkpoint, trigger=trigger)
 

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 from .sources.paths import delete
 
 SHARED_DIR = "spark.checkpoint.dir"
+SHUFFLE_WIDTH = "spark.sql.shuffle.partitions"
 
 # RocksDB keeps streaming state off the JVM heap; changelogs make each commit proportional
 # to what the micro-batch changed instead of to the whole state. Counting the rows of a state store
@@ -64,6 +65,22 @@ def remove_workspaces(spark: SparkSession) -> None:
     delete(spark, workspaces(spark))
 
 
+def state_width(spark: SparkSession, wanted: int | None = None) -> dict[str, str]:
+    """Setting for the number of state partitions of a new stream.
+
+    The number of `wanted`, else what the session has chosen for its shuffles. Without either,
+    twice the cores: Spark's default of 200 is too many stores for one machine, and a large
+    cluster would leave cores idle.
+    """
+    if wanted is not None:
+        return {SHUFFLE_WIDTH: str(wanted)}
+    if spark.conf.get(SHUFFLE_WIDTH, None) is not None:
+        return {}
+    twice = 2 * spark.sparkContext.defaultParallelism
+    local = spark.sparkContext.master.startswith("local")
+    return {SHUFFLE_WIDTH: str(twice if local else max(twice, 200))}
+
+
 @contextmanager
 def settings(spark: SparkSession, values: Mapping[str, str], override: bool = False) -> Iterator[None]:
     """Apply settings for the duration of the block and put the old ones back.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ..session import STATE_SETTINGS, settings
+from ..session import STATE_SETTINGS, settings, state_width
 
 Sink = Callable[[DataStreamWriter], DataStreamWriter]
 
@@ -38,8 +38,8 @@ def start(
 ) -> StreamingQuery:
     """Start the stream.
 
-    The number of state partitions is fixed by the first run of a checkpoint. It is the session's
-    shuffle width unless `state_partitions` says otherwise.
+    The number of state partitions is fixed by the first run of a checkpoint; see
+    `session.state_width` for what it is without `state_partitions`.
     """
     spark = df.sparkSession
     writer = sink(df.writeStream.outputMode(mode).trigger(**trigger_options(trigger)))
@@ -47,8 +47,7 @@ def start(
         writer = writer.option("checkpointLocation", checkpoint)
     if name is not None:
         writer = writer.queryName(name)
-    width = {} if state_partitions is None else {"spark.sql.shuffle.partitions": str(state_partitions)}
-    with settings(spark, STATE_SETTINGS), settings(spark, width, override=True):
+    with settings(spark, STATE_SETTINGS), settings(spark, state_width(spark, state_partitions), override=True):
         return writer.start()
 
 

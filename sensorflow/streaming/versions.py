@@ -90,7 +90,7 @@ def fold_batches(spark: SparkSession, path: str, schema: StructType, keys: Seque
 def epoch_metrics(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Rows, files and bytes written per epoch, read back from the table itself.
 
-    Unlike the progress of a running query this covers every epoch, also across restarts.
+    Unlike the progress of a running query this covers every epoch still stored, also across restarts.
     """
     rows = read_batches(spark, path, schema)
     per_file = rows.groupBy(BATCH, F.col("_metadata.file_path").alias("file")).agg(

@@ -11,7 +11,7 @@ from sensorflow.operators.cleaning import bronze_clean
 from sensorflow.operators.decoding import silver_columns
 from sensorflow.plans import jobs
 from sensorflow.schemas import BRONZE
-from sensorflow.session import STATE_SETTINGS
+from sensorflow.session import SHUFFLE_WIDTH, STATE_SETTINGS, state_width
 from sensorflow.sources.files import read_json, stream_json
 from sensorflow.streaming import versions
 from sensorflow.streaming.runner import AVAILABLE_NOW, ONCE, drain, rows_read, run_until_stopped, start
@@ -216,3 +216,14 @@ def test_starting_a_stream_leaves_the_session_settings_alone(spark, inbox, tmp_p
     assert query.recentProgress[0].stateOperators[0].numStateStoreInstances == 3
     assert "rocksdb" in str(query.recentProgress[0].stateOperators[0].customMetrics).lower()
     assert before == {key: spark.conf.get(key, None) for key in before}
+
+
+def test_number_of_state_partitions(spark):
+    assert state_width(spark) == {}
+    assert state_width(spark, 3) == {SHUFFLE_WIDTH: "3"}
+    chosen = spark.conf.get(SHUFFLE_WIDTH)
+    spark.conf.unset(SHUFFLE_WIDTH)
+    try:
+        assert state_width(spark) == {SHUFFLE_WIDTH: "16"}
+    finally:
+        spark.conf.set(SHUFFLE_WIDTH, chosen)
