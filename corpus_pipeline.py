@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sensorflow.llm.quality import keep_good
+from sensorflow.llm.simhash import keep_one
 from sensorflow.llm.tables import stored, table
 
 
@@ -13,8 +14,14 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: three-word shingles, three bits."""
+    return keep_one(docs, shingle=3, distance=3)
+
+
 STAGES = [
     ("quality classifier", good_quality),
+    ("SimHash near-dedup", one_of_each),
 ]
 
 ORACLE_SQL = None

@@ -7,14 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .quality import quality_scores
+from .simhash import simhash_groups
 from .tables import table
 
 
+def op1_simhash_byte_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 def op9_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash_byte_index": op1_simhash_byte_index,
     "op9_quality_discriminant": op9_quality_discriminant,
 }
 
