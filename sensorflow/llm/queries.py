@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import bpe_round_trip, token_digests
+from .piecewise import compared_with_next
 from .quality import quality_scores
+from .sharding import interleave
 from .simhash import simhash_groups
 from .tables import table
 
@@ -15,12 +19,29 @@ def op1_simhash_byte_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op4_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compared_with_next(table(spark, sf_dir, "documents"))
+
+
+def op5_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interleave(table(spark, sf_dir, "documents"))
+
+
+def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = bpe_round_trip(table(spark, sf_dir, "documents"), path)
+    return token_digests(encoded).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def op9_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_byte_index": op1_simhash_byte_index,
+    "op4_piecewise_hash": op4_piecewise_hash,
+    "op5_interleaved_shards": op5_interleaved_shards,
+    "op8_bpe_transducer": op8_bpe_transducer,
     "op9_quality_discriminant": op9_quality_discriminant,
 }
 
