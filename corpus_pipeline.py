@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sensorflow.llm.decontaminate import without_overlaps
 from sensorflow.llm.quality import keep_good
 from sensorflow.llm.simhash import keep_one
 from sensorflow.llm.tables import stored, table
@@ -19,9 +20,15 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_one(docs, shingle=3, distance=3)
 
 
+def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no passage with an item of the benchmark."""
+    return without_overlaps(docs, table(spark, sf_dir, "benchmark"))
+
+
 STAGES = [
     ("quality classifier", good_quality),
     ("SimHash near-dedup", one_of_each),
+    ("benchmark decontamination", not_in_benchmark),
 ]
 
 ORACLE_SQL = None

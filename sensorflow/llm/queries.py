@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_round_trip, token_digests
+from .decontaminate import overlaps
 from .piecewise import compared_with_next
 from .quality import quality_scores
 from .sharding import interleave
@@ -19,6 +20,11 @@ def op1_simhash_byte_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "equal_words", "first_word", "last_word")
+
+
 def op4_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compared_with_next(table(spark, sf_dir, "documents"))
 
@@ -39,6 +45,7 @@ def op9_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_byte_index": op1_simhash_byte_index,
+    "op3_spaced_seeds": op3_spaced_seeds,
     "op4_piecewise_hash": op4_piecewise_hash,
     "op5_interleaved_shards": op5_interleaved_shards,
     "op8_bpe_transducer": op8_bpe_transducer,
