@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from sensorflow.llm.bpe import bpe_round_trip, token_digests
 from sensorflow.llm.decontaminate import without_overlaps
+from sensorflow.llm.pii import without_personal_data
 from sensorflow.llm.quality import keep_good
 from sensorflow.llm.simhash import keep_one
 from sensorflow.llm.tables import stored, table
@@ -25,10 +28,23 @@ def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return without_overlaps(docs, table(spark, sf_dir, "benchmark"))
 
 
+def no_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose texts have the names of the kinds in place of personal data, with their new length."""
+    return without_personal_data(docs)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text, and digests of them and of the text decoded from them."""
+    encoded = bpe_round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_digests(encoded).select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
+
+
 STAGES = [
     ("quality classifier", good_quality),
     ("SimHash near-dedup", one_of_each),
     ("benchmark decontamination", not_in_benchmark),
+    ("PII", no_personal_data),
+    ("BPE encoding and decoding", token_ids),
 ]
 
 ORACLE_SQL = None

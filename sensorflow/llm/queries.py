@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import bpe_round_trip, token_digests
 from .decontaminate import overlaps
+from .pii import listed, personal_data
 from .piecewise import compared_with_next
 from .quality import quality_scores
 from .sharding import interleave
@@ -33,6 +35,19 @@ def op5_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleave(table(spark, sf_dir, "documents"))
 
 
+def op7_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_email",
+        "n_ip",
+        "n_card",
+        "n_phone",
+        F.sha2(listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     encoded = bpe_round_trip(table(spark, sf_dir, "documents"), path)
@@ -48,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_spaced_seeds": op3_spaced_seeds,
     "op4_piecewise_hash": op4_piecewise_hash,
     "op5_interleaved_shards": op5_interleaved_shards,
+    "op7_weak_supervision": op7_weak_supervision,
     "op8_bpe_transducer": op8_bpe_transducer,
     "op9_quality_discriminant": op9_quality_discriminant,
 }
