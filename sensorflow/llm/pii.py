@@ -312,7 +312,11 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     base = F.filter("candidates", lambda s: s["base"])
     base = F.array_sort(F.transform(base, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))))
     spans = spans.select("doc_id", "spans", base.alias("base"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(k).alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
     return spans.select("doc_id", *counts, "base", "spans")
 
 
