@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_round_trip, token_digests
 from .decontaminate import overlaps
+from .licenses import licenses
 from .pii import listed, personal_data
 from .piecewise import compared_with_next
 from .quality import quality_scores
@@ -58,6 +59,10 @@ def op9_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_license_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_byte_index": op1_simhash_byte_index,
     "op3_spaced_seeds": op3_spaced_seeds,
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_weak_supervision": op7_weak_supervision,
     "op8_bpe_transducer": op8_bpe_transducer,
     "op9_quality_discriminant": op9_quality_discriminant,
+    "op10_license_paragraphs": op10_license_paragraphs,
 }
 
 ORACLE_SQL: dict[str, str] = {}
