@@ -17,6 +17,7 @@ from .quality import quality_scores
 from .sharding import interleave
 from .simhash import simhash_groups
 from .tables import table
+from .toxicity import severities
 
 
 def op1_simhash_byte_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +37,10 @@ def op5_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleave(table(spark, sf_dir, "documents"))
 
 
+def op6_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return severities(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data(table(spark, sf_dir, "documents"))
     return found.select(
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_spaced_seeds": op3_spaced_seeds,
     "op4_piecewise_hash": op4_piecewise_hash,
     "op5_interleaved_shards": op5_interleaved_shards,
+    "op6_ordinal_toxicity": op6_ordinal_toxicity,
     "op7_weak_supervision": op7_weak_supervision,
     "op8_bpe_transducer": op8_bpe_transducer,
     "op9_quality_discriminant": op9_quality_discriminant,
