@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import bpe_round_trip, token_digests
+from .chat import format_chats
 from .decontaminate import overlaps
 from .licenses import licenses
 from .pii import listed, personal_data
@@ -24,6 +25,10 @@ def op1_simhash_byte_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op2_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "equal_words", "first_word", "last_word")
@@ -70,6 +75,7 @@ def op10_license_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_byte_index": op1_simhash_byte_index,
+    "op2_role_repair": op2_role_repair,
     "op3_spaced_seeds": op3_spaced_seeds,
     "op4_piecewise_hash": op4_piecewise_hash,
     "op5_interleaved_shards": op5_interleaved_shards,
