@@ -26,10 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from .tables import stored
+
 LEXICON_WORDS = 262_144  # most words compiled: bounds what is collected and broadcast
 LEXICON_BYTES = 64  # longer words are not compiled
 CACHED_WORDS = 500_000  # words a worker remembers before it starts anew
-COUNTED_WORDS = 200_000  # distinct words a task counts before it passes them on
+COUNTED_WORDS = 500_000  # distinct words a task counts before it passes them on
 SHORT_WORD = 24  # bytes up to which looking at all pairs is faster than a queue
 ROWS = 500  # rows handed back at once
 
@@ -52,7 +54,8 @@ _LETTER, _NUMBER, _SPACE = _classes()
 _WORDS = re.compile(
     rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_NUMBER}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
-_NEVER = (1 << 60, -1)  # in place of rank and result of a pair that does not merge
+_ID_BITS, _ID = 32, (1 << 32) - 1
+_NEVER = 1 << 62  # in place of rank and result of a pair that does not merge
 _UNSETTLED = re.compile(rf"[^\x00-{chr(_SETTLED - 1)}]")
 
 
@@ -74,11 +77,12 @@ class Vocabulary:
         self.added = {token["content"]: token["id"] for token in said["added_tokens"]}
         self.pieces = {i: bytes(stands_for[letter] for letter in token) for token, i in ids.items()}
         self.pieces |= {i: token.encode() for token, i in self.added.items()}
-        self.of_byte = {byte: ids[letter] for letter, byte in stands_for.items()}
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.of_byte = [ids[letter] for letter, _ in sorted(stands_for.items(), key=lambda pair: pair[1])]
+        # A pair of ids, and a merge's rank and result, are one integer each: quick to look up and compare.
+        self.merges: dict[int, int] = {}
         for rank, pair in enumerate(said["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[ids[left], ids[right]] = rank, ids[left + right]
+            self.merges[ids[left] << _ID_BITS | ids[right]] = rank << _ID_BITS | ids[left + right]
         self.between = re.compile("(" + "|".join(map(re.escape, self.added)) + ")") if self.added else None
         self.splitter = Tokenizer.from_file(path).pre_tokenizer
 
@@ -103,35 +107,42 @@ class Vocabulary:
         return self._merged_long(ids) if len(ids) > SHORT_WORD else self._merged_short(ids)
 
     def _merged_short(self, ids: list[int]) -> list[int]:
-        rank_of = self.merges.get
-        while len(ids) > 1:
-            best, at = min([(rank_of(pair, _NEVER), i) for i, pair in enumerate(zip(ids, ids[1:]))])
-            if best is _NEVER:
-                break
-            ids[at : at + 2] = [best[1]]
+        found = self.merges.get
+        ranks = [found(left << _ID_BITS | right, _NEVER) for left, right in zip(ids, ids[1:])]
+        while ranks and (best := min(ranks)) != _NEVER:
+            at = ranks.index(best)
+            ids[at : at + 2] = [best & _ID]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = found(ids[at - 1] << _ID_BITS | ids[at], _NEVER)
+            if at < len(ranks):
+                ranks[at] = found(ids[at] << _ID_BITS | ids[at + 1], _NEVER)
         return ids
 
     def _merged_long(self, ids: list[int]) -> list[int]:
         """The same with a queue of pairs, so that a word of any length takes about as long as its length."""
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = [(*self.merges[pair], at, *pair) for at, pair in enumerate(zip(ids, ids[1:])) if pair in self.merges]
-        heapq.heapify(queue)
+        queue = []
+
+        def offer(at: int) -> None:
+            pair = ids[at] << _ID_BITS | ids[after[at]]
+            if pair in self.merges:
+                heapq.heappush(queue, (self.merges[pair], at, pair))
+
+        for at in range(n - 1):
+            offer(at)
         while queue:
-            _, whole, at, left, right = heapq.heappop(queue)
-            if ids[at] != left or after[at] >= n or ids[after[at]] != right:
-                continue
+            best, at, pair = heapq.heappop(queue)
             gone = after[at]
-            ids[at], ids[gone], after[at] = whole, -1, after[gone]
+            if ids[at] < 0 or gone >= n or ids[at] << _ID_BITS | ids[gone] != pair:
+                continue
+            ids[at], ids[gone], after[at] = best & _ID, -1, after[gone]
             if after[at] < n:
                 before[after[at]] = at
-                pair = whole, ids[after[at]]
-                if pair in self.merges:
-                    heapq.heappush(queue, (*self.merges[pair], at, *pair))
+                offer(at)
             if before[at] >= 0:
-                pair = ids[before[at]], whole
-                if pair in self.merges:
-                    heapq.heappush(queue, (*self.merges[pair], before[at], *pair))
+                offer(before[at])
         return [i for i in ids if i >= 0]
 
 
@@ -258,7 +269,7 @@ def _remembered(vocabulary_path: str, block: bytes) -> _Remembered:
 
 
 def frequent_words(docs: DataFrame, vocabulary_path: str, text_col: str = "text", most: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent words of all documents, at most `most`; ties go by the word."""
+    """The most frequent words of all documents: those that occur a number of times which at most `most` words reach."""
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         splits, seen = vocabulary(vocabulary_path), Counter()
@@ -272,15 +283,24 @@ def frequent_words(docs: DataFrame, vocabulary_path: str, text_col: str = "text"
             yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
 
     texts = docs.select(F.col(text_col).alias("text")).where(F.col("text").isNotNull())
-    top = (
+    counts = stored(
         texts.mapInPandas(counted, "word string, n long")
         .where(F.octet_length("word") <= LEXICON_BYTES)
         .groupBy("word")
-        .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "word")
-        .limit(most)
+        .agg(F.sum("n").alias("n")),
+        "words",
     )
-    return [row.word for row in top.select("word").collect()]
+    # Counts over 2^20 are not told apart, so that this is a short list whatever the number of words.
+    words_by_count = counts.groupBy(F.least("n", F.lit(1 << 20)).alias("n")).agg(F.count("*").alias("words")).orderBy(F.desc("n"))
+    least, total = None, 0
+    for row in words_by_count.collect():
+        total += row.words
+        if total > most:
+            break
+        least = row.n
+    if least is None:
+        return []
+    return [row.word for row in counts.where(F.col("n") >= least).select("word").collect()]
 
 
 def build_lexicon(words: list[str], vocabulary_path: str) -> bytes:
@@ -314,7 +334,7 @@ def bpe_round_trip(
         for batch in batches:
             for begin in range(0, len(batch), ROWS):
                 some = batch.iloc[begin : begin + ROWS].copy()
-                some["ids"] = [b"".join([known[part] for part in words.parts(text)]) for text in some.pop("text")]
+                some["ids"] = [b"".join(map(known.__getitem__, words.parts(text))) for text in some.pop("text")]
                 some["n_tokens"] = some["ids"].map(len) // 4
                 some["decoded"] = [decoded(ids, words) for ids in some["ids"]]
                 yield some
