@@ -33,8 +33,8 @@ def interleave(
     """One row per row of `docs`: `doc_id`, `size`, `text_crc32`, `law`, `shard`, `slot`, `grown_shard`.
 
     `size` is the text's bytes plus 8. The law is `rows`: the shards' row counts are at most one
-    apart, and every source has its share of each shard, one row more or less; `slot` counts a
-    shard's rows from 0 without gaps. `grown_shard` is null, since the law says nothing about
+    apart; `slot` counts a shard's rows from 0 without gaps. A source's share of each shard differs
+    from its share of all rows by half a row for each source at most. `grown_shard` is null, since the law says nothing about
     another number of shards. Copies are rows like any other and are spread as the shuffle has it:
     keeping a group of equal texts together would break the law once it outgrows a shard.
 

@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import re
+from itertools import combinations
+
+from sensorflow.llm.decontaminate import MASKS, SUBSTITUTIONS, WINDOW, overlaps, without_overlaps
+
+from .conftest import AWKWARD, words
+
+
+def plain(text):
+    return [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
+
+
+def brute(docs, items):
+    out = {}
+    for doc_id, text in docs:
+        d = plain(text)
+        for item_id, other in items:
+            b = plain(other)
+            n = min(WINDOW, len(b))
+            need = n - (SUBSTITUTIONS if len(b) >= WINDOW else 0)
+            best = max(
+                (sum(x == y for x, y in zip(d[i : i + n], b[j : j + n])) for i in range(len(d) - n + 1) for j in range(len(b) - n + 1)), default=0
+            )
+            if n and best >= need:
+                out[doc_id, item_id] = max(best, out.get((doc_id, item_id), 0))
+    return out
+
+
+def test_masks_fit_between_any_two_substitutions():
+    for wrong in combinations(range(WINDOW), SUBSTITUTIONS):
+        assert any(
+            not {at + shift for at in mask} & set(wrong) for mask in MASKS for shift in range(WINDOW - max(mask))
+        )
+
+
+def planted(rng):
+    items = [(k, " ".join(words(rng, n))) for k, n in enumerate([3, 12, 13, 20, 40, 1])]
+    docs = []
+    for i in range(120):
+        text = words(rng, rng.randint(0, 60))
+        item = plain(items[i % len(items)][1])
+        begin = rng.randrange(max(1, len(item) - 12))
+        piece = item[begin : begin + rng.randint(11, 40)]
+        for at in rng.sample(range(len(piece)), min(len(piece), rng.randint(0, 4))):
+            piece[at] = "zz" + piece[at]
+        at = rng.randint(0, len(text))
+        docs.append((i, " ".join(text[:at]) + " " + ", ".join(piece).upper() + ". " + " ".join(text[at:])))
+    return docs, items
+
+
+def test_overlaps_equal_brute_force(spark, rng):
+    docs, items = planted(rng)
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = brute(docs, items)
+    assert len(want) > 30
+    for limit in (4_000_000, 0):  # seeds broadcast, seeds shuffled
+        found = overlaps(*frames, broadcast_seeds=limit).collect()
+        assert {(r.doc_id, r.item_id): r.equal_words for r in found} == want
+    kept = {r.doc_id for r in without_overlaps(*frames).collect()}
+    assert kept == {i for i, _ in docs} - {i for i, _ in want}
+
+
+def test_awkward_rows(spark, awkward):
+    items = spark.createDataFrame(
+        [(1, None), (1, ""), (2, "Plain, WORDS here!"), (2, "Plain, WORDS here!"), (None, "two other words"), (3, "long " * 50)], "item_id long, text string"
+    )
+    found = sorted(((r.doc_id or 0, r.item_id or 0, r.equal_words) for r in overlaps(awkward, items).collect()))
+    assert found == [(0, 2, 3), (4, 0, 3), (5, 3, 13)]
+    kept = without_overlaps(awkward, items)
+    assert kept.columns == awkward.columns and kept.count() == len(AWKWARD) - 4
+    assert overlaps(awkward.limit(0), items).count() == 0 and overlaps(awkward, items.limit(0)).count() == 0
+    assert without_overlaps(awkward, items.limit(0)).count() == len(AWKWARD)

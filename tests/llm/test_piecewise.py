@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+import pytest
+
+from sensorflow.llm import piecewise
+from sensorflow.llm.piecewise import compared_with_next, fingerprint
+
+from .conftest import AWKWARD, prose
+
+BASE, MASK = piecewise._BASE, (1 << 64) - 1
+VALUES = [int(v) for v in piecewise._VALUES]
+
+
+def plain(text):
+    data = (text or "").encode()
+    if not data:
+        return "3::"
+    back = pow(BASE, -1, 1 << 64)
+    rolled = []
+    for i in range(len(data)):
+        h = sum(VALUES[data[i - j]] * pow(back, j, 1 << 64) for j in range(min(7, i + 1))) & MASK
+        rolled.append((h >> 24 & 0x7FFFFFFF) + 1)
+    level = (len(data) // 192).bit_length()
+    ends = lambda k: [i + 1 for i, h in enumerate(rolled) if h % (3 << k) == 0]
+    while level and len(ends(level)) < 16:
+        level -= 1
+
+    def letters(k):
+        cuts = ends(k)[:63]
+        cuts += [] if cuts and cuts[-1] == len(data) else [len(data)]
+        out, begin = "", 0
+        for end in cuts:
+            h = sum(VALUES[data[i]] * pow(BASE, i - begin, 1 << 64) for i in range(begin, end)) & MASK
+            out += chr(piecewise._ALPHABET[int(piecewise._mixed(np.array([h], np.uint64))[0] >> np.uint64(58))])
+            begin = end
+        return out
+
+    return f"{3 << level}:{letters(level)}:{letters(level + 1)}"
+
+
+TEXTS = ["a", "ab", "é" * 40, "ab " * 700, "\x00\x00"]
+
+
+@pytest.mark.parametrize("span", [1 << 20, 64])
+def test_fingerprints_equal_the_plain_algorithm(rng, monkeypatch, span):
+    monkeypatch.setattr(piecewise, "_SPAN", span)  # longer texts are looked at in spans
+    for text in [None, "", *TEXTS, *(prose(rng, n) for n in (5, 60, 300))]:
+        assert fingerprint(text) == plain(text)
+
+
+def lev(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def like(f, g):
+    if f == g:
+        return 1.0
+    (a, a1, a2), (b, b1, b2) = f.split(":"), g.split(":")
+    near = lambda x, y: 1 - lev(x, y) / max(len(x), len(y), 1)
+    if not a1 or not b1:
+        return 0.0
+    pairs = [(a1, b1), (a2, b2)] if a == b else [(a1, b2)] if int(a) == 2 * int(b) else [(a2, b1)] if int(b) == 2 * int(a) else []
+    return max((near(*p) for p in pairs), default=0.0)
+
+
+def test_neighbours_equal_brute_force(spark, rng):
+    rows = [(i * 3, prose(rng, rng.choice([1, 30, 200, 400])) + rng.choice(["", " é", " 😀"])) for i in range(60)]
+    found = {r.doc_id: r for r in compared_with_next(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    down = sorted(rows, reverse=True)
+    for (i, text), (_, following) in zip(down, down[1:] + down[:1]):
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        r = found[i]
+        assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        assert (r.fingerprint, r.edited_fingerprint) == (fingerprint(text), fingerprint(edited))
+        assert r.near_edited == pytest.approx(like(fingerprint(text), fingerprint(edited)))
+        assert r.near_next == pytest.approx(like(fingerprint(text), fingerprint(following)))
+    long = [r for r in found.values() if r.n_chars > 1000]
+    assert np.mean([r.near_edited for r in long]) > 0.35 > 0.2 > np.mean([r.near_next for r in long])
+
+
+def test_awkward_rows(spark, awkward):
+    found = compared_with_next(awkward).collect()
+    assert len(found) == len(AWKWARD)
+    assert sum(r.fingerprint == "3::" for r in found) == 4
+    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in found)
+    assert compared_with_next(awkward.limit(0)).count() == 0
+    (one,) = compared_with_next(spark.createDataFrame([(1, "abcd")], "doc_id long, text string")).collect()
+    assert one.edited_sha256 == hashlib.sha256(b"abab").hexdigest() and one.near_next == 1.0

@@ -1,0 +1,96 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from sensorflow.llm.components import connected
+from sensorflow.llm.simhash import grams, keep_one, links, simhash, simhash_groups
+
+from .conftest import AWKWARD, prose
+
+
+def plain(text: str | None) -> int:
+    found = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    for space in "\t\n\x0b\x0c\r":
+        found = found.replace(space, " ")
+    found = [w for w in found.split(" ") if w]
+    if not found:
+        return 0
+    votes = [" ".join(found[i : i + 3]) for i in range(len(found) - 2)] or [" ".join(found)]
+    hashes = [xxhash.xxh64_intdigest(v.encode(), 42) for v in votes]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+
+def groups(points: list[int], distance: int) -> list[int]:
+    head = list(range(len(points)))
+    for i, x in enumerate(points):
+        for j in range(i):
+            if ((x ^ points[j]) & (1 << 64) - 1).bit_count() <= distance:
+                a, b = sorted((head[i], head[j]))
+                head = [a if h == b else h for h in head]
+    return head
+
+
+def test_fingerprints_follow_the_definition(rng):
+    texts = [None, "", " \n ", "One", "One TWO", "Ä B ä b", "a b c", "x " * 100_000] + [prose(rng, n) for n in (3, 4, 50, 700)]
+    for text in texts:
+        assert simhash(text) & (1 << 64) - 1 == plain(text)
+
+
+@pytest.mark.parametrize("distance", range(6))
+def test_grams_catch_every_choice_of_agreeing_positions(distance):
+    from itertools import combinations
+
+    for agreeing in combinations(range(8), 8 - distance):
+        assert any(set(gram) <= set(agreeing) for gram in grams(distance))
+
+
+@pytest.mark.parametrize("long_posting", [1024, 2])
+@pytest.mark.parametrize("distance", [0, 1, 2, 3, 4])
+def test_links_connect_what_brute_force_connects(spark, rng, distance, long_posting):
+    bases = [rng.getrandbits(64) for _ in range(4)]
+    points = list({base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))) for base in bases for _ in range(30)})
+    signed = [p - (1 << 64) if p >> 63 else p for p in points]
+    found = links(spark.createDataFrame([(p,) for p in signed], "fp long"), distance, long_posting=long_posting).collect()
+    at = {p: i for i, p in enumerate(signed)}
+    head = list(range(len(points)))
+    for a, b in found:
+        assert ((a ^ b) & (1 << 64) - 1).bit_count() <= distance
+        x, y = sorted((head[at[a]], head[at[b]]))
+        head = [x if h == y else h for h in head]
+    assert head == groups(points, distance)
+
+
+def test_components_of_a_long_chain_a_star_and_loops(spark):
+    chain = [(i, i + 1) for i in range(40)]
+    star = [(100, i) for i in range(101, 140)]
+    frame = spark.createDataFrame([*chain, *star, (200, 200), (7, None), (301, 300), (301, 300)], "a long, b long")
+    found = {r.node: r.root for r in connected(frame).collect()}
+    assert found == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 140)} | {300: 300, 301: 300}
+
+
+def test_groups_and_kept_rows(spark, rng):
+    texts = [prose(rng, 80) for _ in range(12)]
+    rows = [(i, texts[i % 12]) for i in range(30)] + [(100 + i, texts[i] + " end") for i in range(12)] + [(5, texts[5])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = simhash_groups(docs).collect()
+    points = [plain(t) for _, t in rows]
+    head = groups(points, 3)
+    smallest = {h: min(i for (i, _), g in zip(rows, head) if g == h) for h in head}
+    want = sorted((i, f"{p:016x}", smallest[h]) for (i, _), p, h in zip(rows, points, head))
+    assert sorted((r.doc_id, r.fingerprint, r.component_id) for r in found) == want
+    kept = keep_one(docs.withColumn("row", F.lit(1))).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(smallest.values()))
+
+
+def test_awkward_rows(spark, awkward):
+    found = simhash_groups(awkward).collect()
+    assert len(found) == len(AWKWARD)
+    zero = [r for r in found if r.fingerprint == "0" * 16]
+    assert len(zero) == 5 and {r.component_id for r in zero} == {1}
+    assert [r.component_id for r in found if r.doc_id is None and r.fingerprint != "0" * 16] == [None, None]
+    kept = keep_one(awkward)
+    assert kept.columns == awkward.columns and kept.count() == 5
+    assert simhash_groups(awkward.limit(0)).count() == 0 and keep_one(awkward.limit(0)).count() == 0
