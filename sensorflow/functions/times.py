@@ -19,3 +19,8 @@ def parse_iso(text: Column) -> Column:
 def parse_pattern(text: Column, pattern: str = SECONDS_PATTERN) -> Column:
     """Text in a declared pattern to a timestamp; text that does not match gives NULL."""
     return F.try_to_timestamp(text, F.lit(pattern))
+
+
+def parse_time(text: Column, pattern: str = SECONDS_PATTERN) -> Column:
+    """Text in a declared pattern, or else ISO-8601 text, to a timestamp: what one layer reads, all do."""
+    return F.coalesce(parse_pattern(text, pattern), parse_iso(text))

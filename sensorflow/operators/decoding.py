@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.json import decode, to_payload
 from ..functions.once import evaluate_once
-from ..functions.times import SECONDS_PATTERN, parse_pattern
+from ..functions.times import SECONDS_PATTERN, parse_time
 from ..schemas import KAFKA_ROW, READING, SILVER, conform
+from .cleaning import ACCEPTED
 
 # Reading fields that have another name in silver.
 SILVER_NAMES = {"device_id": "sensor_id", "type": "sensor_type", "value": "sensor_value"}
@@ -32,7 +33,7 @@ def silver_columns(
     The time is parsed once per row, also when rows without a time are dropped later on. Readings
     that did not come as messages have no broker time.
     """
-    timed = evaluate_once(readings, parse_pattern(F.col("timestamp"), time_pattern), "event_time")
+    timed = evaluate_once(readings, parse_time(F.col("timestamp"), time_pattern), "event_time")
     clocks = {"processing_time": F.current_timestamp()}
     if "kafka_ingest_time" not in readings.columns:
         clocks["kafka_ingest_time"] = F.lit(None).cast("timestamp")
@@ -72,16 +73,48 @@ def to_messages(df: DataFrame, topic: str, columns: Sequence[str], key: str | No
 
 
 def lines_to_messages(lines: DataFrame, topic: str) -> DataFrame:
-    """JSONL text lines to messages. A line that is no JSON object is skipped; its neighbours are kept."""
-    payload = F.get_json_object(F.trim("value"), "$")
-    parsed = evaluate_once(lines, payload, "payload").filter(F.col("payload").startswith("{"))
-    return parsed.select(
+    """JSONL text lines to messages, as they stand but for white space around them.
+
+    A line that is no JSON object is skipped; its neighbours are kept. `line_rejects` counts them.
+    """
+    return lines.filter(is_json_object(F.col("value"))).select(
         F.lit(None).cast("binary").alias("key"),
-        F.col("payload").cast("binary").alias("value"),
+        F.trim("value").cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
     )
 
 
+def is_json_object(text: Column) -> Column:
+    """Whether text is a JSON object, or would be with its NaN and infinite numbers in quotes."""
+    trimmed = F.trim(text)
+    lenient = F.regexp_replace(trimmed, r'([:,\[]\s*)-?(NaN|Infinity)(\s*[,}\]])', '$1"$2"$3')
+    parsed = F.coalesce(F.get_json_object(trimmed, "$"), F.get_json_object(lenient, "$"))
+    return F.coalesce(trimmed.startswith("{") & parsed.isNotNull(), F.lit(False))
+
+
+def line_rejects(lines: DataFrame) -> DataFrame:
+    """Lines by whether `lines_to_messages` takes them: `accepted` or `no_json_object`."""
+    reason = F.when(is_json_object(F.col("value")), ACCEPTED).otherwise("no_json_object")
+    return lines.groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
+
+
+def silver_reject_reason(time_pattern: str = SECONDS_PATTERN) -> Column:
+    """The first reason for which a decoded reading does not become a valid silver row, or `accepted`."""
+    return (
+        F.when(F.col("device_id").isNull(), "missing_sensor_id")
+        .when(F.col("value").isNull(), "missing_value")
+        .when(F.col("timestamp").isNull(), "missing_time")
+        .when(parse_time(F.col("timestamp"), time_pattern).isNull(), "unparsed_time")
+        .when(F.col("value") < 0, "negative_value")
+        .otherwise(ACCEPTED)
+    )
+
+
+def silver_rejects(readings: DataFrame, time_pattern: str = SECONDS_PATTERN) -> DataFrame:
+    """Readings per reason for which `silver_valid` drops them, and those it accepts."""
+    return readings.groupBy(silver_reject_reason(time_pattern).alias("reason")).agg(F.count("*").alias("n"))
+
+
 def as_kafka_rows(messages: DataFrame, partitions: int = 3, timestamp: Column | None = None) -> DataFrame:
     """Give a batch of messages the columns a Kafka source returns, for topics kept as files.
 

@@ -28,6 +28,9 @@ def dedup_batch(df: DataFrame, keys: Sequence[str] = KEY, order: Sequence[str] |
     return df.withColumn(_RANK, F.row_number().over(copies)).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
+_PLACE = "__place_in_batch"
+
+
 def first_per_batch(keys: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Keep the first row per key of each Arrow batch, in the task that read it.
 
@@ -37,8 +40,8 @@ def first_per_batch(keys: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]],
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = pa.array(np.arange(batch.num_rows))
-            keyed = pa.Table.from_arrays([*(batch.column(key) for key in keys), rows], names=[*keys, "row"])
-            first = keyed.group_by(list(keys), use_threads=False).aggregate([("row", "min")]).column("row_min")
+            keyed = pa.Table.from_arrays([*(batch.column(key) for key in keys), rows], names=[*keys, _PLACE])
+            first = keyed.group_by(list(keys), use_threads=False).aggregate([(_PLACE, "min")]).column(f"{_PLACE}_min")
             yield batch if len(first) == batch.num_rows else batch.take(first.combine_chunks())
 
     return reduce
@@ -49,7 +52,7 @@ def dedup_stream(
     keys: Sequence[str] = KEY,
     event_time: str = "event_time",
     delay: str = "10 minutes",
-    reduce_first: bool = True,
+    reduce_first: bool = False,
 ) -> DataFrame:
     """Keep the first arrival per key; state is dropped once the watermark has passed it.
 
@@ -57,12 +60,13 @@ def dedup_stream(
     been forgotten passes, so `delay` has to cover the disorder of the source.
 
     All copies of a key go to the task that owns it, and Spark has no aggregate before that
-    shuffle. `reduce_first` cuts them to one per Arrow batch where they are read, so that a key
-    with a third of all rows does not hold up one task. It needs no state and never changes the
-    result; without copies it costs about a third more time.
+    shuffle. `reduce_first` cuts those of one event time to one per Arrow batch where they are read,
+    for sources in which a key may have a third of all rows. It needs no state; without copies it
+    costs about a third more time. Rows of a key that differ in time all go on: the watermark may
+    drop one of them and keep another.
     """
     if reduce_first:
-        df = df.mapInArrow(first_per_batch(keys), df.schema)
+        df = df.mapInArrow(first_per_batch(list(dict.fromkeys([*keys, event_time]))), df.schema)
     return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 

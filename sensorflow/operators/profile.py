@@ -43,15 +43,30 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return _per_column(df.agg(*_stats(df, columns)), columns)
 
 
-def profile_per_file(table: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """The same profile per stored file; `table` must be a direct read of files."""
+def profile_per_file(table: DataFrame, columns: Sequence[str] | None = None, below: str = "") -> DataFrame:
+    """The same profile per stored file; `table` must be a direct read of files.
+
+    Files are named by their path, from after the folder `below` if it is given: files of different
+    partition folders may share a name.
+    """
     columns = list(columns or table.columns)
-    stats = table.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(*_stats(table, columns))
+    path = F.col("_metadata.file_path")
+    name = F.substring_index(path, f"{below.rstrip('/')}/", -1) if below else path
+    # Ranges of text cannot be kept in a hash aggregate's rows; with one aggregate among them that
+    # keeps objects, Spark hashes all of them instead of sorting every task's rows by file.
+    hashed = F.collect_set(F.lit(1)).alias("__hashed")
+    stats = table.groupBy(name.alias("file_name")).agg(*_stats(table, columns), hashed)
     return _per_column(stats, columns, keep=["file_name"])
 
 
+def schema_listing(df: DataFrame) -> DataFrame:
+    """Position, name, type and nullability of each column, without reading a row."""
+    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string, nullable boolean")
+
+
 def schema_report(df: DataFrame) -> DataFrame:
-    """Position, name, type and nullability of each column, and how many rows have it set."""
+    """The same listing and how many rows have each column set, which reads the table."""
     counts = df.agg(*[F.count(F.col(field.name)).alias(field.name) for field in df.schema.fields])
     rows = [
         F.struct(
@@ -66,6 +81,6 @@ def schema_report(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
-def preview(df: DataFrame, order_by: Sequence[str], n: int = 20) -> DataFrame:
-    """The first n rows in a stated order; each task keeps only its own n."""
-    return df.orderBy(*order_by).limit(n)
+def preview(df: DataFrame, order_by: Sequence[str] = (), n: int = 20) -> DataFrame:
+    """The first n rows met, or in a stated order, which reads the table; each task keeps only its own n."""
+    return (df.orderBy(*order_by) if order_by else df).limit(n)

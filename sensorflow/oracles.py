@@ -106,7 +106,18 @@ ORACLE_SQL: dict[str, str] = {
     "src_missing_table": """
         SELECT 'events' AS table_name, count(*) > 0 AS ready, count(*) AS n FROM events
         UNION ALL SELECT 'silver', false, 0""",
-    "batch_stream_parity": "SELECT CAST(0 AS BIGINT) AS n_diff",
+    "batch_stream_parity": f"WITH {BRONZE} SELECT CAST(0 AS BIGINT) AS n_diff, count(*) AS n_table, count(*) AS n_stream FROM bronze",
+    "src_rate_limit": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS epochs_over_limit, count(*) > 750 AS several_epochs FROM events",
+    "src_earliest": "SELECT count(*) AS n, 1 AS run FROM events UNION ALL SELECT count(*), 2 FROM events",
+    "trig_available_now": "SELECT count(*) AS n, true AS ended_by_itself FROM events",
+    "trig_processing_time": "SELECT count(*) AS n, true AS went_on FROM events",
+    "silver_rejects": f"""WITH {READINGS}
+        SELECT CASE WHEN device_id IS NULL THEN 'missing_sensor_id' WHEN value IS NULL THEN 'missing_value'
+            WHEN ts IS NULL THEN 'missing_time' WHEN value < 0 THEN 'negative_value' ELSE 'accepted' END AS reason,
+          count(*) AS n
+        FROM readings GROUP BY 1""",
+    "gold_follow_hourly": f"WITH {SILVER} {HOURLY}",
+    "gold_follow_5min": f"WITH {SILVER} {TEMP_5MIN}",
     "clean_not_null": f"""WITH {READINGS}
         SELECT {FIELDS} FROM readings WHERE device_id IS NOT NULL AND value IS NOT NULL AND ts IS NOT NULL""",
     "clean_non_negative": f"WITH {READINGS} SELECT {FIELDS} FROM readings WHERE value >= 0",
@@ -167,13 +178,13 @@ ORACLE_SQL: dict[str, str] = {
     "ingest_metrics": f"""WITH {BRONZE}
         SELECT CAST(CASE WHEN timestamp_parsed < TIMESTAMP '2024-01-11' THEN 0
             WHEN timestamp_parsed < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS BIGINT) AS batch_id,
-          count(*) AS n_rows
+          count(*) AS n_rows, true AS has_files, true AS has_bytes
         FROM bronze GROUP BY 1""",
 }
 
 for _name in (
-    "src_json_schema", "src_json_stream", "src_rate_limit", "src_csv_stream", "src_earliest", "src_kafka_decode",
-    "replay_to_messages", "fn_to_json_roundtrip", "mode_append", "trig_available_now", "trig_processing_time",
+    "src_json_schema", "src_json_stream", "src_csv_stream", "src_kafka_decode",
+    "replay_to_messages", "fn_to_json_roundtrip", "mode_append",
 ):
     ORACLE_SQL[_name] = ALL_READINGS
 for _name in ("bronze_clean", "src_table_scan", "sink_append_table", "sink_resume", "sink_exactly_once"):

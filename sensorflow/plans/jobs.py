@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.times import SECONDS_PATTERN
-from ..operators.aggregates import counts_by, hourly_kpi, last_known, total
+from ..operators.aggregates import counts_by, hourly_kpi, last_known, mean_temperature, total
 from ..operators.cleaning import bronze_clean, observe_quality
 from ..operators.decoding import as_kafka_rows, lines_to_messages, silver_decode, to_messages
-from ..operators.profile import preview, schema_report
+from ..operators.profile import preview, schema_listing
 from ..schemas import BRONZE, RAW, SILVER
 from ..session import pin_utc
 from ..sources.files import stream_json, stream_text
@@ -19,6 +19,9 @@ from ..streaming.runner import AVAILABLE_NOW, Sink, start
 from ..streaming.sinks import batch_sink, table_sink
 from .layers import raw_rows, silver_from_raw
 
+# Epochs after which a table that is kept current is folded.
+FOLD_EVERY = 100
+
 
 def ingest_bronze(
     spark: SparkSession,
@@ -76,12 +79,22 @@ def follow_hourly_kpi(
 ) -> StreamingQuery:
     """Keep the hourly KPI table current: each epoch writes the hours it changed."""
     changed = hourly_kpi(silver.withWatermark("event_time", delay))
-    return start(changed, batch_sink(path), checkpoint, mode="update", trigger=trigger)
+    sink = batch_sink(path, ("window_start", "building", "sensor_type"), FOLD_EVERY)
+    return start(changed, sink, checkpoint, mode="update", trigger=trigger)
+
+
+def follow_temperature(
+    silver: DataFrame, path: str, checkpoint: str, delay: str = "10 minutes", trigger: str = "10 seconds"
+) -> StreamingQuery:
+    """Keep the five-minute mean temperatures current: each epoch writes the slices it changed."""
+    changed = mean_temperature(silver.withWatermark("event_time", delay))
+    return start(changed, batch_sink(path, ("window_start",), FOLD_EVERY), checkpoint, mode="update", trigger=trigger)
 
 
 def follow_last_known(silver: DataFrame, path: str, checkpoint: str, trigger: str = "10 seconds") -> StreamingQuery:
     """Keep the last known value of every sensor: each epoch writes the sensors it changed."""
-    return start(last_known(silver), batch_sink(path), checkpoint, mode="update", trigger=trigger)
+    sink = batch_sink(path, ("sensor_id",), FOLD_EVERY)
+    return start(last_known(silver), sink, checkpoint, mode="update", trigger=trigger)
 
 
 def send_alerts(
@@ -118,7 +131,7 @@ def bronze_report(spark: SparkSession, table: str, rows: int = 20, fmt: str = "p
     """Preview, size, spread over buildings and sensor types, and high alerts of the bronze table."""
     bronze = read_table_or_empty(pin_utc(spark), table, BRONZE, fmt)
     return {
-        "preview": preview(bronze, ["timestamp_parsed", "device_id"], rows),
+        "preview": preview(bronze, n=rows),
         "total": total(bronze),
         "by_building": counts_by(bronze, "building"),
         "by_type": counts_by(bronze, "type"),
@@ -130,7 +143,7 @@ def silver_report(spark: SparkSession, table: str, rows: int = 10, fmt: str = "p
     """Schema, preview and size of the silver table; no rows if it is not there yet."""
     silver = read_table_or_empty(pin_utc(spark), table, SILVER, fmt)
     return {
-        "schema": schema_report(silver),
-        "preview": preview(silver, ["event_time", "sensor_id"], rows),
+        "schema": schema_listing(silver),
+        "preview": preview(silver, n=rows),
         "total": total(silver),
     }

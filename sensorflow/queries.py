@@ -6,10 +6,10 @@ folder each time, below the shared folder of the session.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce, wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .adapters import EVENTS, as_readings, events_path, read_events, read_readings, stream_readings
@@ -18,8 +18,9 @@ from .operators import aggregates, cleaning, compare, decoding, dedup, profile
 from .plans import jobs, layers
 from .schemas import BRONZE, RAW, READING, SILVER, without
 from .session import new_workspace, pin_utc
-from .sources import files, messages, tables
+from .sources import files, messages, paths, tables
 from .streaming import sinks, versions
+from .streaming.progress import epoch_counts
 from .streaming.runner import AVAILABLE_NOW, drain, run_until_stopped, start
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,11 +32,12 @@ FIELDS = READING.fieldNames()
 BRONZE_STORED = without(BRONZE, "ingestion_time")
 CLOCK_COLUMNS = ("ingestion_time", "kafka_ingest_time", "processing_time")
 
-# The table's rows span 30 days, so a watermark of 40 days forgets nothing in whatever order the
-# files are read. LATE_DELAY is meant to lose some rows.
-WHOLE_SPAN = "40 days"
+# Meant to lose some rows.
 LATE_DELAY = "5 days"
 
+# What a rate-limited stream takes per epoch.
+ROWS_PER_FILE, FILES_PER_EPOCH = 250, 3
+
 # What one epoch may take where the result does not depend on it: an epoch is what a stream repeats
 # after a failure, and what a stateful operator shuffles at once.
 EPOCH_BYTES = 1 << 40
@@ -63,6 +65,12 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.round(name, 6) for name in names})
 
 
+def side_by_side(*rows: DataFrame) -> DataFrame:
+    """Tables of one row each as one row with all their columns, without a join."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return stacked.agg(*[F.max(name).alias(name) for name in stacked.columns])
+
+
 def bronze_of(readings: DataFrame) -> DataFrame:
     return cleaning.bronze_clean(readings)
 
@@ -95,22 +103,26 @@ def streamed(df: DataFrame, work: str) -> str:
     return f"{work}/out"
 
 
-def parts_of(events: DataFrame) -> list[DataFrame]:
-    """The rows in three parts by event time; each part's bounds reach the scan."""
+def part_number() -> Column:
+    """Which of three parts a row belongs to by event time."""
     first, second = (F.lit(bound).cast("timestamp_ntz") for bound in PART_BOUNDS)
-    time = F.col("ts")
-    return [
-        events.filter(time < first),
-        events.filter((time >= first) & (time < second)),
-        events.filter((time >= second) | time.isNull()),
-    ]
+    return F.when(F.col("ts") < first, 0).when(F.col("ts") < second, 1).otherwise(2)
 
 
-def arriving(parts: list[DataFrame], path: str) -> Iterator[str]:
-    """Let the parts arrive in the folder one after the other."""
-    for part in parts:
-        tables.write_table(part, path, mode="append")
-        yield path
+def arriving(rows: DataFrame, part: Column, numbers: Iterable[int], work: str) -> Iterator[str]:
+    """Let the parts arrive in a folder one after the other; one pass over the rows splits them."""
+    spark = rows.sparkSession
+    tables.write_table(rows.withColumn("part", part), f"{work}/parts", partition_by=["part"])
+    for number in numbers:
+        if paths.exists(spark, f"{work}/parts/part={number}"):
+            paths.move(spark, f"{work}/parts/part={number}", f"{work}/in/part={number}")
+        yield f"{work}/in"
+
+
+def whole_span(events: DataFrame) -> str:
+    """A delay that forgets nothing of the table, in whatever order and however many epochs it is read."""
+    span = events.agg((F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(F.min("ts").cast("timestamp"))).alias("span"))
+    return f"{(span.first().span or 0) // 1_000_000 + 1} seconds"
 
 
 # --- sources -------------------------------------------------------------------------------
@@ -131,14 +143,17 @@ def src_json_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def src_rate_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A limited stream takes several epochs and gives the same rows."""
+    """Rows that a limited stream gives, epochs above its limit, and whether it took several epochs."""
     work = new_workspace(spark, "src_rate_limit")
-    readings = read_readings(spark, sf_dir)
-    rows_per_file = min(max(1_000, readings.count() // 8), 5_000_000)
-    readings.write.option("maxRecordsPerFile", rows_per_file).json(f"{work}/in")
-    n_files = len(files.read_json(spark, f"{work}/in").inputFiles())
-    source = files.stream_json(spark, f"{work}/in", files_per_batch=-(-n_files // 4))
-    return tables.read_table(spark, streamed(source, work), READING)
+    read_readings(spark, sf_dir).write.option("maxRecordsPerFile", ROWS_PER_FILE).json(f"{work}/in")
+    source = files.stream_json(spark, f"{work}/in", files_per_batch=FILES_PER_EPOCH)
+    out = tables.read_table(spark, streamed(source, work), READING)
+    epochs = epoch_counts(spark, f"{work}/checkpoint").where(F.col("rows_read") > 0)
+    taken = epochs.agg(
+        F.count_if(F.col("rows_read") > ROWS_PER_FILE * FILES_PER_EPOCH).alias("epochs_over_limit"),
+        (F.count("*") > 1).alias("several_epochs"),
+    )
+    return side_by_side(aggregates.total(out).withColumnRenamed("n", "n_rows"), taken)
 
 
 @query
@@ -151,12 +166,13 @@ def src_csv_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def src_earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first run takes what was there before it; the second goes on from the checkpoint and adds nothing."""
+    """Rows in the table after each run: the first takes what was there before it, the second adds nothing."""
     work = new_workspace(spark, "src_earliest")
     land_json(spark, sf_dir, f"{work}/in")
-    for _ in range(2):
+    for run in (1, 2):
         out = streamed(files.stream_json(spark, f"{work}/in", bytes_per_batch=EPOCH_BYTES), work)
-    return tables.read_table(spark, out, READING)
+        tables.write_table(aggregates.total(tables.read_table(spark, out, READING)).withColumn("run", F.lit(run)), f"{work}/runs", "append")
+    return tables.read_table(spark, f"{work}/runs")
 
 
 @query
@@ -183,11 +199,16 @@ def src_missing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def batch_stream_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows that one transform gives on the table but not on the stream, or the other way round."""
+    """Rows that one transform gives on the table but not on the stream or the other way round, and those of each."""
     work = new_workspace(spark, "batch_stream_parity")
     out = streamed(readings_in_epochs(spark, sf_dir).transform(bronze_of), work)
     on_table = read_readings(spark, sf_dir).transform(bronze_of).drop("ingestion_time")
-    return compare.count_differences(on_table, tables.read_table(spark, out, BRONZE_STORED))
+    on_stream = tables.read_table(spark, out, BRONZE_STORED)
+    return side_by_side(
+        compare.count_differences(on_table, on_stream),
+        aggregates.total(on_table).withColumnRenamed("n", "n_table"),
+        aggregates.total(on_stream).withColumnRenamed("n", "n_stream"),
+    )
 
 
 @query
@@ -222,6 +243,11 @@ def bronze_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(bronze_of(read_readings(spark, sf_dir)))
 
 
+@query
+def silver_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decoding.silver_rejects(read_readings(spark, sf_dir), times.MICROS_PATTERN)
+
+
 @query
 def quality_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.quality_rejects(read_readings(spark, sf_dir))
@@ -290,12 +316,15 @@ def silver_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every row is fed twice; one of each is left."""
+    """Every row arrives in two epochs, and twice in each; one of the four is left."""
     work = new_workspace(spark, "silver_dedup")
-
-    twice = silver_of(readings_in_epochs(spark, sf_dir)).unionByName(silver_of(readings_in_epochs(spark, sf_dir)))
-    single = dedup.dedup_stream(twice, delay=WHOLE_SPAN)
-    return comparable(tables.read_table(spark, streamed(single, work), SILVER))
+    events = read_events(spark, sf_dir)
+    delay = whole_span(events)
+    for _ in range(2):
+        tables.write_table(events, f"{work}/in", "append")
+        source = [silver_of(as_readings(tables.stream_table(spark, f"{work}/in", EVENTS))) for _ in range(2)]
+        out = streamed(dedup.dedup_stream(source[0].unionByName(source[1]), delay=delay), work)
+    return comparable(tables.read_table(spark, out, SILVER))
 
 
 def landed_raw(spark: SparkSession, sf_dir: str, work: str) -> str:
@@ -317,10 +346,11 @@ def layer_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = new_workspace(spark, "layer_silver")
     raw = landed_raw(spark, sf_dir, work)
     refine = jobs.refine_silver(
-        spark, raw, f"{work}/silver", f"{work}/checkpoint", AVAILABLE_NOW, times.MICROS_PATTERN, WHOLE_SPAN, EPOCH_BYTES
+        spark, raw, f"{work}/silver", f"{work}/checkpoint", AVAILABLE_NOW, times.MICROS_PATTERN,
+        whole_span(read_events(spark, sf_dir)),
     )
     run_until_stopped(refine)
-    return comparable(tables.read_table(spark, f"{work}/silver", SILVER))
+    return comparable(tables.read_table(spark, f"{work}/silver").select(*SILVER.fieldNames()))
 
 
 # --- reads ---------------------------------------------------------------------------------
@@ -363,7 +393,7 @@ def profile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def profile_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.profile_per_file(read_events(spark, sf_dir))
+    return profile.profile_per_file(read_events(spark, sf_dir), below=sf_dir)
 
 
 # --- gold ----------------------------------------------------------------------------------
@@ -385,19 +415,43 @@ def gold_last_known(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(aggregates.last_known(silver_of(read_readings(spark, sf_dir))))
 
 
+def followed(spark: SparkSession, sf_dir: str, work: str, follow, like) -> DataFrame:
+    """The table that a following job keeps while silver arrives in three parts."""
+    delay = whole_span(read_events(spark, sf_dir))
+    for incoming in arriving(read_events(spark, sf_dir), part_number(), range(3), work):
+        silver = silver_of(as_readings(tables.stream_table(spark, incoming, EVENTS)))
+        run_until_stopped(follow(silver, f"{work}/out", f"{work}/checkpoint", delay, AVAILABLE_NOW))
+    schema = like(silver_of(read_readings(spark, sf_dir))).schema
+    keys = [name for name in ("window_start", "building", "sensor_type") if name in schema.fieldNames()]
+    return versions.read_current(spark, f"{work}/out", schema, keys)
+
+
+@query
+def gold_follow_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = new_workspace(spark, "gold_follow_hourly")
+    return comparable(rounded(followed(spark, sf_dir, work, jobs.follow_hourly_kpi, aggregates.hourly_kpi), "avg_value"))
+
+
+@query
+def gold_follow_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = new_workspace(spark, "gold_follow_5min")
+    kept = followed(spark, sf_dir, work, jobs.follow_temperature, aggregates.mean_temperature)
+    return comparable(rounded(kept, "avg_temperature"))
+
+
 @query
 def layer_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three gold tables, one below the other."""
     work = new_workspace(spark, "layer_gold")
     tables.write_table(dedup.dedup(silver_of(read_readings(spark, sf_dir))), f"{work}/silver")
-    paths = layers.write_gold(spark, f"{work}/silver", f"{work}/gold")
+    written = layers.write_gold(spark, f"{work}/silver", f"{work}/gold")
     columns = {
         "temperature_5min": ("NULL", "'temperature'", "NULL", "window_start", "avg_temperature", "n"),
         "hourly": ("building", "sensor_type", "NULL", "window_start", "avg_value", "n"),
         "last_known": ("NULL", "NULL", "sensor_id", "last_time", "last_value", "1"),
     }
     parts = [
-        tables.read_table(spark, paths[name]).selectExpr(
+        tables.read_table(spark, written[name]).selectExpr(
             f"'{name}' AS kpi",
             f"CAST({building} AS STRING) AS building",
             f"CAST({kind} AS STRING) AS sensor_type",
@@ -437,23 +491,15 @@ def win_watermark_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(rounded(tables.read_table(spark, streamed(closing, work)), "avg_value"))
 
 
-def lagging_parts(events: DataFrame) -> list[DataFrame]:
-    """The parts in arrival order when readings of building B come one part later than the others."""
-    readings = as_readings(events, "ts")
-    on_b = F.col("building").eqNullSafe("B")
-    in_time, lagging = parts_of(readings.filter(~on_b)), parts_of(readings.filter(on_b))
-    middle = [in_time[i].unionByName(lagging[i - 1]) for i in (1, 2)]
-    return [in_time[0], *middle, lagging[2]]
-
-
 @query
 def win_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late rows count while their window is within the tolerance and are dropped beyond it."""
     work = new_workspace(spark, "win_late_data")
-    parts = lagging_parts(read_events(spark, sf_dir))
-    schema = parts[0].schema
-    for incoming in arriving(parts, f"{work}/in"):
-        source = timed(tables.stream_table(spark, incoming, schema))
+    readings = as_readings(read_events(spark, sf_dir), "ts")
+    # Readings of building B come one part later than the others.
+    part = part_number() + F.col("building").eqNullSafe("B").cast("int")
+    for incoming in arriving(readings, part, range(4), work):
+        source = timed(tables.stream_table(spark, incoming, readings.schema))
         out = streamed(slices(source.withWatermark("ts", LATE_DELAY)), work)
     return comparable(rounded(tables.read_table(spark, out), "avg_value"))
 
@@ -471,7 +517,7 @@ def mode_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mode_update_last_known(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest part arrives first, so that later epochs bring older readings, which must not win."""
     work = new_workspace(spark, "mode_update_last_known")
-    for incoming in arriving(parts_of(read_events(spark, sf_dir))[::-1], f"{work}/in"):
+    for incoming in arriving(read_events(spark, sf_dir), part_number(), (2, 1, 0), work):
         silver = silver_of(as_readings(tables.stream_table(spark, incoming, EVENTS)))
         current = aggregates.last_known(silver)
         run_until_stopped(jobs.follow_last_known(silver, f"{work}/out", f"{work}/checkpoint", AVAILABLE_NOW))
@@ -481,7 +527,7 @@ def mode_update_last_known(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def mode_complete_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = new_workspace(spark, "mode_complete_counter")
-    for incoming in arriving(parts_of(read_events(spark, sf_dir)), f"{work}/in"):
+    for incoming in arriving(read_events(spark, sf_dir), part_number(), range(3), work):
         readings = as_readings(tables.stream_table(spark, incoming, EVENTS))
         errors = aggregates.total(readings.filter(F.col("type") == "error"))
         drain(errors, sinks.snapshot_sink(f"{work}/out"), f"{work}/checkpoint", mode="complete")
@@ -502,13 +548,13 @@ def sink_append_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream ends after each part and is started again when the next has arrived."""
     work = new_workspace(spark, "sink_resume")
-    for incoming in arriving(parts_of(read_events(spark, sf_dir)), f"{work}/in"):
+    for incoming in arriving(read_events(spark, sf_dir), part_number(), range(3), work):
         out = streamed(bronze_of(as_readings(tables.stream_table(spark, incoming, EVENTS))), work)
     return comparable(tables.read_table(spark, out, BRONZE))
 
 
 def bronze_by_epoch(spark: SparkSession, sf_dir: str, work: str, runs: int = 1) -> str:
-    for incoming in arriving(parts_of(read_events(spark, sf_dir)), f"{work}/in"):
+    for incoming in arriving(read_events(spark, sf_dir), part_number(), range(3), work):
         for _ in range(runs):
             bronze = bronze_of(as_readings(tables.stream_table(spark, incoming, EVENTS)))
             drain(bronze, sinks.batch_sink(f"{work}/out"), f"{work}/checkpoint")
@@ -525,7 +571,8 @@ def sink_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bronze_by_epoch(spark, sf_dir, new_workspace(spark, "ingest_metrics"))
-    return versions.epoch_metrics(spark, out, BRONZE).select(versions.BATCH, "n_rows")
+    stored = versions.epoch_metrics(spark, out, BRONZE)
+    return stored.select(versions.BATCH, "n_rows", (F.col("n_files") > 0).alias("has_files"), (F.col("n_bytes") > 0).alias("has_bytes"))
 
 
 @query
@@ -559,7 +606,8 @@ def trig_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
         readings_in_epochs(spark, sf_dir), sinks.table_sink(f"{work}/out"), f"{work}/checkpoint", trigger=AVAILABLE_NOW
     )
     run_until_stopped(running)
-    return tables.read_table(spark, f"{work}/out", READING)
+    out = aggregates.total(tables.read_table(spark, f"{work}/out", READING))
+    return out.withColumn("ended_by_itself", F.lit(not running.isActive))
 
 
 @query
@@ -569,5 +617,6 @@ def trig_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
         readings_in_epochs(spark, sf_dir), sinks.table_sink(f"{work}/out"), f"{work}/checkpoint", trigger="1 second"
     )
     running.processAllAvailable()
+    went_on = running.isActive
     running.stop()
-    return tables.read_table(spark, f"{work}/out", READING)
+    return aggregates.total(tables.read_table(spark, f"{work}/out", READING)).withColumn("went_on", F.lit(went_on))

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-from .sources.paths import delete
+from .sources.paths import delete, delete_on_exit
 
 SHARED_DIR = "spark.checkpoint.dir"
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 SHUFFLE_WIDTH = "spark.sql.shuffle.partitions"
 
 # RocksDB keeps streaming state off the JVM heap; changelogs make each commit proportional
@@ -37,17 +37,11 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Root for tables and checkpoints: the folder the cluster names in `spark.checkpoint.dir`.
 
-    Only a local session without that setting falls back to a temporary folder, because on a
-    cluster such a folder would exist on one machine only.
+    Without that setting it is a folder of the warehouse, which every executor has to reach as well;
+    never one that exists on a single machine of a cluster.
     """
     configured = spark.conf.get(SHARED_DIR, None) or spark.sparkContext.getConf().get(SHARED_DIR)
-    if configured:
-        return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="sensorflow-")
-        spark.conf.set(SHARED_DIR, folder)
-        return folder
-    raise ValueError(f"set {SHARED_DIR} to a folder that all executors can reach")
+    return configured.rstrip("/") if configured else f"{spark.conf.get(WAREHOUSE_DIR).rstrip('/')}/_work"
 
 
 def workspaces(spark: SparkSession) -> str:
@@ -56,7 +50,11 @@ def workspaces(spark: SparkSession) -> str:
 
 
 def new_workspace(spark: SparkSession, label: str) -> str:
-    """A fresh folder path below the shared folder; nothing is shared between two calls."""
+    """A fresh folder path below the shared folder; nothing is shared between two calls.
+
+    The folders of an application are removed when it ends, by its file system.
+    """
+    delete_on_exit(spark, workspaces(spark))
     return f"{workspaces(spark)}/{label}-{uuid.uuid4().hex}"
 
 

@@ -9,10 +9,17 @@ from pyspark.sql.types import StructType
 from ..schemas import READING
 
 
+# File streams skip a new file if it is this much older than the newest one seen. Spark's default of
+# seven days would leave out files copied with their old times; the price of a long time is that the
+# checkpoint remembers the names of that many files.
+FILE_AGE = "3650d"
+
+
 def rate_limited(
-    reader: DataStreamReader, files_per_batch: int | None, bytes_per_batch: int | None
+    reader: DataStreamReader, files_per_batch: int | None, bytes_per_batch: int | None, file_age: str = FILE_AGE
 ) -> DataStreamReader:
-    """Bound what one micro-batch takes, by files or by size."""
+    """Bound what one micro-batch takes, by files or by size, and say how old a new file may be."""
+    reader = reader.option("maxFileAge", file_age)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if bytes_per_batch is not None:
@@ -31,13 +38,13 @@ def stream_json(
     schema: StructType = READING,
     files_per_batch: int | None = None,
     bytes_per_batch: int | None = None,
+    file_age: str = FILE_AGE,
 ) -> DataFrame:
     """New JSONL files of a folder. The first run takes all files present, later runs only new ones.
 
-    As with every file stream, a later run takes a new file only if it was changed less than
-    `maxFileAge` (seven days) before the newest one seen: copy old files without their old times.
+    A later run takes a new file only if it was changed less than `file_age` before the newest one seen.
     """
-    return rate_limited(spark.readStream.schema(schema), files_per_batch, bytes_per_batch).json(path)
+    return rate_limited(spark.readStream.schema(schema), files_per_batch, bytes_per_batch, file_age).json(path)
 
 
 def stream_csv(
@@ -46,9 +53,10 @@ def stream_csv(
     schema: StructType = READING,
     files_per_batch: int | None = None,
     bytes_per_batch: int | None = None,
+    file_age: str = FILE_AGE,
 ) -> DataFrame:
     """New CSV files with a header line."""
-    reader = rate_limited(spark.readStream.schema(schema), files_per_batch, bytes_per_batch)
+    reader = rate_limited(spark.readStream.schema(schema), files_per_batch, bytes_per_batch, file_age)
     return reader.option("header", True).csv(path)
 
 
@@ -57,6 +65,7 @@ def stream_text(
     path: str,
     files_per_batch: int | None = None,
     bytes_per_batch: int | None = None,
+    file_age: str = FILE_AGE,
 ) -> DataFrame:
     """New text files, one row per line in column `value`."""
-    return rate_limited(spark.readStream, files_per_batch, bytes_per_batch).text(path)
+    return rate_limited(spark.readStream, files_per_batch, bytes_per_batch, file_age).text(path)

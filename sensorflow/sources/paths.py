@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 
@@ -21,6 +23,46 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in files.globStatus(hadoop_path) or []]
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, hadoop_path = _open(spark, path)
+    return files.exists(hadoop_path)
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Create an empty file; its folder is created as well."""
+    files, hadoop_path = _open(spark, path)
+    files.create(hadoop_path, True).close()
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Give a folder another place in the same file system."""
+    files, hadoop_path = _open(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    files.mkdirs(target.getParent())
+    if not files.rename(hadoop_path, target):
+        raise OSError(f"could not move {path} to {to}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file in place of whatever is there."""
+    files, hadoop_path = _open(spark, path)
+    stream = files.create(hadoop_path, True)
+    stream.write(bytearray(text, "utf-8"))
+    stream.close()
+
+
+def literal(path: str) -> str:
+    """`path` as a pattern that matches nothing but itself."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system remove a folder when the application ends. The folder is created if need be."""
+    files, hadoop_path = _open(spark, path)
+    files.mkdirs(hadoop_path)
+    files.deleteOnExit(hadoop_path)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     files, hadoop_path = _open(spark, path)
     files.delete(hadoop_path, True)

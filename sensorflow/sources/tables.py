@@ -12,7 +12,10 @@ from pyspark.sql.types import StructType
 
 from ..session import WRITE_SETTINGS, settings
 from .files import rate_limited
-from .paths import is_file
+from .paths import exists, is_file, literal
+
+# Folders by which a table's path is known to belong to a stream.
+STREAM_FOLDERS = ("_spark_metadata", "_checkpoint")
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None, fmt: str = "parquet") -> DataFrame:
@@ -51,7 +54,7 @@ def stream_table(
 ) -> DataFrame:
     """Rows appended to a table. A table kept as one single file is watched through a pattern for its name."""
     if is_file(spark, path):
-        path = f"{path[:-1]}[{path[-1]}]"
+        path = f"{literal(path[:-1])}[{path[-1]}]"
     reader = rate_limited(spark.readStream.format(fmt).schema(schema), files_per_batch, bytes_per_batch)
     return reader.load(path)
 
@@ -65,10 +68,15 @@ def write_table(
 ) -> None:
     """Write a batch table.
 
+    A folder that a stream writes to is never overwritten: the stream's list of files, and a
+    checkpoint kept in the folder, would go with the rows.
+
     With partition columns the rows are rebalanced first: adaptive execution then joins small
     partitions and splits large ones, so a day with a third of all rows is written by many tasks
     and a short day does not become one file per task.
     """
+    if mode == "overwrite" and any(exists(df.sparkSession, f"{path}/{kept}") for kept in STREAM_FOLDERS):
+        raise ValueError(f"{path} belongs to a stream; write to another folder and let readers change over")
     if not partition_by:
         df.write.format(fmt).mode(mode).save(path)
         return

@@ -1,13 +1,15 @@
-"""Start a stream with a sink, output mode, trigger and checkpoint; wait for it; read its progress."""
+"""Start a stream with a sink, output mode, trigger and checkpoint; wait for it; read its numbers."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..session import STATE_SETTINGS, settings, state_width
+from .progress import epoch_counts, record
 
 Sink = Callable[[DataStreamWriter], DataStreamWriter]
 
@@ -48,7 +50,11 @@ def start(
     if name is not None:
         writer = writer.queryName(name)
     with settings(spark, STATE_SETTINGS), settings(spark, state_width(spark, state_partitions), override=True):
-        return writer.start()
+        query = writer.start()
+    if checkpoint is not None:
+        query.checkpoint = checkpoint
+        record(query, spark, checkpoint)
+    return query
 
 
 def drain(
@@ -75,16 +81,19 @@ def run_until_stopped(query: StreamingQuery, timeout: float | None = None) -> No
         query.stop()
 
 
+def _epochs(query: StreamingQuery) -> list:
+    return epoch_counts(SparkSession.active(), query.checkpoint).where(F.col("run_id") == str(query.runId)).collect()
+
+
 def rows_read(query: StreamingQuery) -> dict[int, int]:
-    """Source rows per epoch.
+    """Source rows per epoch of this run, however many epochs; `progress.epoch_counts` has all runs.
 
     Rows lost to a watermark are these minus the rows kept: the engine's own dropped-row metric
     counts after partial aggregation.
     """
-    return {progress.batchId: progress.numInputRows for progress in query.recentProgress}
+    return {row.epoch: row.rows_read for row in sorted(_epochs(query))}
 
 
 def observed(query: StreamingQuery, name: str) -> dict[int, dict]:
-    """Counts attached with `DataFrame.observe`, per epoch."""
-    epochs = [progress for progress in query.recentProgress if name in progress.observedMetrics]
-    return {progress.batchId: progress.observedMetrics[name].asDict() for progress in epochs}
+    """Counts attached with `DataFrame.observe`, per epoch of this run."""
+    return {row.epoch: dict(row.observed[name]) for row in _epochs(query) if name in row.observed}

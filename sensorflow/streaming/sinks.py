@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 from .runner import Sink
-from .versions import BATCH, SNAPSHOT, prune, write_version
+from .versions import BATCH, SNAPSHOT, fold_batches, prune, write_version
 
 
 def table_sink(path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> Sink:
@@ -21,15 +21,18 @@ def table_sink(path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
     return attach
 
 
-def batch_sink(path: str) -> Sink:
+def batch_sink(path: str, keys: Sequence[str] = (), fold_every: int | None = None) -> Sink:
     """Write epoch N to its own folder, replacing it when the epoch is replayed after a failure.
 
     Takes append and update mode; read it with `versions.read_batches` or, where rows replace
-    earlier rows of their key, with `versions.read_current`.
+    earlier rows of their key, with `versions.read_current`. With `fold_every`, that many epochs are
+    folded into one folder of the newest row per key, so that a reader never goes through all of them.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
         write_version(batch, path, BATCH, epoch)
+        if fold_every is not None and epoch % fold_every == fold_every - 1:
+            fold_batches(batch.sparkSession, path, batch.schema, keys)
 
     return lambda writer: writer.foreachBatch(write)
 

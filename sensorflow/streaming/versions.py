@@ -1,7 +1,9 @@
 """Numbered folders of a table written epoch by epoch.
 
-A folder counts once Spark has marked its write job as successful, so a reader never sees half an
-epoch, and writing the same number again replaces it.
+A folder counts once it carries this module's own mark, written after the rows, so a reader never
+sees half an epoch whatever the cluster's committer does, and writing the same number again replaces
+it. Numbers mean something within one query only, so a table belongs to the query that wrote to it
+first, and another one is refused.
 """
 
 from __future__ import annotations
@@ -12,11 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from ..sources.paths import delete, matching
+from ..sources.paths import delete, literal, mark, matching
 
 BATCH = "batch_id"
 FOLD = "fold"
 SNAPSHOT = "snapshot"
+COMMITTED = "_committed"
+WRITER = "_writer="
 
 
 def folder(path: str, prefix: str, version: int) -> str:
@@ -25,12 +29,26 @@ def folder(path: str, prefix: str, version: int) -> str:
 
 def committed(spark: SparkSession, path: str, prefix: str) -> list[int]:
     """Numbers of the complete folders, in order."""
-    marks = matching(spark, f"{path}/{prefix}=*/_SUCCESS")
-    return sorted(int(mark.split("/")[-2].split("=", 1)[1]) for mark in marks)
+    marks = matching(spark, f"{literal(path)}/{prefix}=*/{COMMITTED}")
+    return sorted(int(found.split("/")[-2].split("=", 1)[1]) for found in marks)
+
+
+def claim(spark: SparkSession, path: str) -> None:
+    """Make the table this streaming query's own; an error if it is another's. Outside of a query, nothing."""
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if query is None:
+        return
+    owners = {found.rsplit(WRITER, 1)[1] for found in matching(spark, f"{literal(path)}/{WRITER}*")}
+    if owners - {query}:
+        raise ValueError(f"{path} holds epochs of query {min(owners)}; a new checkpoint needs a new table")
+    if not owners:
+        mark(spark, f"{path}/{WRITER}{query}")
 
 
 def write_version(df: DataFrame, path: str, prefix: str, version: int) -> None:
+    claim(df.sparkSession, path)
     df.write.mode("overwrite").parquet(folder(path, prefix, version))
+    mark(df.sparkSession, f"{folder(path, prefix, version)}/{COMMITTED}")
 
 
 def prune(spark: SparkSession, path: str, prefix: str, keep: int) -> None:

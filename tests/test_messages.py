@@ -53,7 +53,7 @@ def test_bad_payload_is_dropped_by_silver_and_kept_as_nulls_by_the_decoder(spark
     rows = [(b"not json",), (b"",), (None,), (json.dumps(reading()).encode(),)]
     messages = spark.createDataFrame(rows, "value binary").withColumn("timestamp", F.current_timestamp())
     assert decode_readings(messages).count() == 4
-    assert [row.sensor_id for row in silver_decode(messages).collect()] == ["sensor-temp-001"]
+    assert [row.sensor_id for row in silver_decode(messages).collect()] == ["probe-t-7"]
 
 
 def test_replay_on_batch_and_stream_gives_the_source_rows(spark, inbox, tmp_path):

@@ -16,7 +16,7 @@ def connection():
     return database(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_query_equals_sql(spark, connection, name):
     sql = entry_points.oracle_sql()[name]
     ours = entry_points.queries()[name](spark, SF).toArrow()
@@ -24,7 +24,7 @@ def test_query_equals_sql(spark, connection, name):
 
 
 def test_no_sql_without_a_query():
-    assert set(entry_points.oracle_sql()) == set(entry_points.queries())
+    assert set(queries.QUERIES) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry(spark):

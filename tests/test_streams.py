@@ -87,7 +87,7 @@ def test_unfinished_epoch_is_invisible(spark, inbox, tmp_path):
     out = f"{tmp_path}/out"
     drain(bronze_clean(stream_json(spark, inbox.path)), batch_sink(out), f"{tmp_path}/checkpoint")
     versions.write_version(expected_bronze(spark, inbox), out, versions.BATCH, 1)
-    (tmp_path / "out" / "batch_id=1" / "_SUCCESS").unlink()
+    (tmp_path / "out" / "batch_id=1" / versions.COMMITTED).unlink()
     assert versions.committed(spark, out, versions.BATCH) == [0]
     assert versions.read_batches(spark, out, BRONZE).count() == 10
 
@@ -114,7 +114,7 @@ def test_epoch_metrics(spark, inbox, tmp_path):
 
 def test_update_mode_keeps_the_latest_by_event_time_not_by_arrival(spark, inbox, tmp_path):
     def at(minute, value, device="d"):
-        return reading(device_id=device, timestamp=f"2025-01-12T08:{minute:02d}:00Z", value=value)
+        return reading(device_id=device, timestamp=f"2031-03-09T08:{minute:02d}:00Z", value=value)
 
     inbox.add([at(30, 3.0), at(10, 1.0)])
     inbox.add([at(20, 2.0), at(5, 7.0, "e")])
@@ -173,7 +173,7 @@ def test_alert_messages(spark, inbox, tmp_path):
     sent = spark.read.parquet(f"{tmp_path}/out")
     assert sorted(sent.selectExpr("get_json_object(CAST(value AS STRING), '$.value')").toPandas().iloc[:, 0]) == [
         "2000.0", "30.0"]
-    assert {(bytes(row.key), row.topic) for row in sent.collect()} == {(b"sensor-temp-001", "alerts")}
+    assert {(bytes(row.key), row.topic) for row in sent.collect()} == {(b"probe-t-7", "alerts")}
 
 
 def test_debug_sinks(spark, inbox, tmp_path):

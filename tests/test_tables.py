@@ -123,7 +123,7 @@ def test_layers_from_topic_to_gold(spark, inbox, tmp_path):
     for table in (silver, replayed):
         unclocked = table.drop("kafka_ingest_time", "processing_time")
         assert count_differences(unclocked, clean.distinct()).first().n_diff == 0
-    assert (tmp_path / "replayed" / "event_date=2025-01-12").is_dir()
+    assert (tmp_path / "replayed" / "event_date=2031-03-09").is_dir()
 
     paths = layers.write_gold(spark, f"{tmp_path}/replayed", f"{tmp_path}/gold")
     for name, direct in (
@@ -168,23 +168,23 @@ def test_shared_folder_comes_from_the_session(spark):
     assert first != second and first.startswith(folder) and spark.sparkContext.applicationId in first
 
 
-def test_cluster_without_a_shared_folder_is_an_error():
+def test_without_the_setting_work_goes_below_the_warehouse():
     class Conf:
+        def __init__(self, values):
+            self.values = values
+
         def get(self, key, default=None):
-            return default
+            return self.values.get(key, default)
 
     class Context:
-        master = "spark://somewhere:7077"
-
         def getConf(self):
-            return Conf()
+            return Conf({})
 
     class Session:
-        conf = Conf()
+        conf = Conf({"spark.sql.warehouse.dir": "hdfs://x/warehouse/"})
         sparkContext = Context()
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.shared_folder(Session())
+    assert session.shared_folder(Session()) == "hdfs://x/warehouse/_work"
 
 
 def test_table_format_is_a_parameter(spark, inbox, tmp_path):
