@@ -189,5 +189,5 @@ for _name in (
     ORACLE_SQL[_name] = ALL_READINGS
 for _name in ("bronze_clean", "src_table_scan", "sink_append_table", "sink_resume", "sink_exactly_once"):
     ORACLE_SQL[_name] = ALL_BRONZE
-for _name in ("silver_valid", "silver_dedup", "layer_silver", "replay_from_raw"):
+for _name in ("silver_valid", "silver_dedup", "layer_silver", "replay_from_raw", "replay_between_streams"):
     ORACLE_SQL[_name] = ALL_SILVER

@@ -17,7 +17,7 @@ from ..sources.files import stream_json, stream_text
 from ..sources.tables import read_table_or_empty, stream_table, write_table
 from ..streaming.runner import AVAILABLE_NOW, Sink, start
 from ..streaming.sinks import batch_sink, table_sink
-from .layers import raw_rows, silver_from_raw
+from .layers import by_day, raw_rows, silver_from_raw
 
 # Epochs after which a table that is kept current is folded.
 FOLD_EVERY = 100
@@ -33,9 +33,10 @@ def ingest_bronze(
     fmt: str = "parquet",
     name: str | None = None,
 ) -> StreamingQuery:
-    """Watch a folder of JSONL readings and append cleaned, classified rows to the bronze table."""
+    """Watch a folder of JSONL readings and append cleaned, classified rows to the bronze table, by event day."""
     readings = observe_quality(stream_json(pin_utc(spark), input_path, files_per_batch=files_per_batch))
-    return start(bronze_clean(readings), table_sink(table, fmt), checkpoint, trigger=trigger, name=name)
+    bronze = by_day(bronze_clean(readings), "timestamp_parsed")
+    return start(bronze, table_sink(table, fmt, ["event_date"]), checkpoint, trigger=trigger, name=name)
 
 
 def ingest_silver(
@@ -47,10 +48,11 @@ def ingest_silver(
     fmt: str = "parquet",
     name: str | None = None,
 ) -> StreamingQuery:
-    """Decode a message stream into the silver table; the checkpoint sits in the table's folder by default."""
+    """Decode a message stream into the silver table, by event day; the checkpoint sits in its folder by default."""
     pin_utc(messages.sparkSession)
-    silver = silver_decode(messages, time_pattern)
-    return start(silver, table_sink(table, fmt), checkpoint or f"{table}/_checkpoint", trigger=trigger, name=name)
+    silver = by_day(silver_decode(messages, time_pattern))
+    sink = table_sink(table, fmt, ["event_date"])
+    return start(silver, sink, checkpoint or f"{table}/_checkpoint", trigger=trigger, name=name)
 
 
 def ingest_raw(messages: DataFrame, table: str, checkpoint: str, trigger: str = "5 seconds") -> StreamingQuery:
@@ -68,10 +70,15 @@ def refine_silver(
     time_pattern: str = SECONDS_PATTERN,
     delay: str = "10 minutes",
     bytes_per_batch: int | None = None,
+    reduce_first: bool = False,
 ) -> StreamingQuery:
-    """Follow the raw table and append valid, deduplicated rows to silver."""
+    """Follow the raw table and append valid, deduplicated rows to silver, by event day.
+
+    For a table that is to be rebuilt from raw now and then, see `generations`.
+    """
     raw = stream_table(pin_utc(spark), raw_path, RAW, bytes_per_batch=bytes_per_batch)
-    return start(silver_from_raw(raw, time_pattern, delay), table_sink(table), checkpoint, trigger=trigger)
+    silver = by_day(silver_from_raw(raw, time_pattern, delay, reduce_first))
+    return start(silver, table_sink(table, partition_by=["event_date"]), checkpoint, trigger=trigger)
 
 
 def follow_hourly_kpi(

@@ -30,7 +30,14 @@ def raw_messages(raw: DataFrame) -> DataFrame:
     return raw.withColumnRenamed("kafka_ingest_time", "timestamp")
 
 
-def silver_from_raw(raw: DataFrame, time_pattern: str = SECONDS_PATTERN, delay: str = "10 minutes") -> DataFrame:
+def by_day(df: DataFrame, time: str = "event_time") -> DataFrame:
+    """Rows with the day their files are laid out by, so that reads of some days skip the others."""
+    return df.withColumn("event_date", F.to_date(time))
+
+
+def silver_from_raw(
+    raw: DataFrame, time_pattern: str = SECONDS_PATTERN, delay: str = "10 minutes", reduce_first: bool = False
+) -> DataFrame:
     """Decode, validate and deduplicate raw messages.
 
     Of repeated readings the first arrival stays. On a stream, `delay` bounds the state; a backfill
@@ -39,7 +46,7 @@ def silver_from_raw(raw: DataFrame, time_pattern: str = SECONDS_PATTERN, delay:
     position = () if raw.isStreaming else ("partition", "offset")
     valid = silver_valid(silver_decode(raw_messages(raw), time_pattern, position), keep=position)
     if raw.isStreaming:
-        return dedup_stream(valid, delay=delay)
+        return dedup_stream(valid, delay=delay, reduce_first=reduce_first)
     return dedup_batch(valid, order=("kafka_ingest_time", *position)).select(*SILVER.fieldNames())
 
 
@@ -49,23 +56,26 @@ def replay_from_raw(
     silver_path: str,
     time_pattern: str = SECONDS_PATTERN,
 ) -> None:
-    """Rebuild silver from the whole raw layer, by event day."""
+    """Rebuild silver from the whole raw layer, by event day, in a folder that no stream writes to.
+
+    `generations.rebuild` does it for a table that a stream feeds.
+    """
     silver = silver_from_raw(read_table(spark, raw_path, RAW), time_pattern)
-    by_day = silver.withColumn("event_date", F.to_date("event_time"))
-    write_table(by_day, silver_path, partition_by=["event_date"])
+    write_table(by_day(silver), silver_path, partition_by=["event_date"])
 
 
 def write_gold(spark: SparkSession, silver_path: str, gold_path: str) -> dict[str, str]:
-    """Write the gold tables of a deduplicated silver table and return where they are.
+    """Write the gold tables of a deduplicated silver table, KPIs by day, and return where they are.
 
     Silver is read twice: once for the five-minute partials that the mean KPIs are folded from,
     once (three columns) for the last known values.
     """
     paths = {name: f"{gold_path}/{name}" for name in ("slices", "temperature_5min", "hourly", "last_known")}
     silver = read_table(spark, silver_path, SILVER)
-    write_table(slice_partials(silver), paths["slices"])
+    day = ["event_date"]
+    write_table(by_day(slice_partials(silver), "window_start"), paths["slices"], partition_by=day)
     slices = read_table(spark, paths["slices"])
-    write_table(mean_temperature_from_partials(slices), paths["temperature_5min"])
-    write_table(hourly_kpi_from_partials(slices), paths["hourly"])
+    write_table(by_day(mean_temperature_from_partials(slices), "window_start"), paths["temperature_5min"], partition_by=day)
+    write_table(by_day(hourly_kpi_from_partials(slices), "window_start"), paths["hourly"], partition_by=day)
     write_table(last_known(silver, unique_times=True), paths["last_known"])
     return paths

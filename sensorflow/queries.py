@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .adapters import EVENTS, as_readings, events_path, read_events, read_readings, stream_readings
 from .functions import alerts, json, labels, times
 from .operators import aggregates, cleaning, compare, decoding, dedup, profile
-from .plans import jobs, layers
+from .plans import generations, jobs, layers
 from .schemas import BRONZE, RAW, READING, SILVER, without
 from .session import new_workspace, pin_utc
 from .sources import files, messages, paths, tables
@@ -221,8 +221,27 @@ def replay_to_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def replay_from_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = new_workspace(spark, "replay_from_raw")
-    layers.replay_from_raw(spark, landed_raw(spark, sf_dir, work), f"{work}/silver", times.MICROS_PATTERN)
-    return comparable(tables.read_table(spark, f"{work}/silver", SILVER).select(*SILVER.fieldNames()))
+    generations.rebuild(spark, landed_raw(spark, sf_dir, work), f"{work}/silver", times.MICROS_PATTERN)
+    return comparable(generations.read_silver(spark, f"{work}/silver", unique=False).select(*SILVER.fieldNames()))
+
+
+@query
+def replay_between_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw arrives in three parts; silver follows the first two, is rebuilt, and follows the third."""
+    work = new_workspace(spark, "replay_between_streams")
+    events = read_events(spark, sf_dir)
+    delay = whole_span(events)
+    for number, incoming in enumerate(arriving(events, part_number(), range(3), work)):
+        arrived = tables.read_table_or_empty(spark, f"{incoming}/part={number}", EVENTS)
+        tables.write_table(decoding.as_kafka_rows(messages_of(as_readings(arrived))), f"{work}/topic", "append")
+        topic = messages.stream_messages(spark, f"{work}/topic")
+        run_until_stopped(jobs.ingest_raw(topic, f"{work}/raw", f"{work}/raw_checkpoint", AVAILABLE_NOW))
+        run_until_stopped(
+            generations.follow_raw(spark, f"{work}/raw", f"{work}/silver", AVAILABLE_NOW, times.MICROS_PATTERN, delay)
+        )
+        if number == 1:
+            generations.rebuild(spark, f"{work}/raw", f"{work}/silver", times.MICROS_PATTERN)
+    return comparable(generations.read_silver(spark, f"{work}/silver").select(*SILVER.fieldNames()))
 
 
 # --- cleaning ------------------------------------------------------------------------------

@@ -69,6 +69,9 @@ KAFKA_ROW = _schema(
     ("timestampType", IntegerType()),
 )
 
+# The same with the day its files are laid out by.
+SILVER_BY_DAY = StructType([*SILVER.fields, StructField("event_date", DateType(), True)])
+
 RAW = _schema(
     ("key", BinaryType()),
     ("value", BinaryType()),
