@@ -128,6 +128,9 @@ def overlaps(
         F.least(F.col("place"), F.lit(LEAD)).alias("place"),
         F.col("place").alias("at"),
     )
+    # Written, so that the long expressions of the verification stay out of the loop over all places:
+    # together they make one generated method too large for the JVM to compile.
+    met = stored(met, "seeds-met")
     equal = F.col("equal")
     windows = [
         F.bit_count(equal.bitwiseAND(F.expr(f"shiftleft(shiftleft(1, length) - 1, {shift})"))) for shift in range(LEAD + 1)
