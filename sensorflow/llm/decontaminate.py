@@ -1,7 +1,7 @@
 """Benchmark decontamination by spaced-seed hashing.
 
 Words of a document and of a benchmark item overlap if, laid side by side, some window of 13 words
-differs in two at most. Two fixed masks of six positions each pick words out of every stretch of
+differs in two at most; places beyond the end of either text count as different. Two fixed masks of six positions each pick words out of every stretch of
 text and ignore the others; whatever the places of two substitutions in a window, one of the masks
 fits between them somewhere. So joining the masked hashes of documents and items finds every
 overlap, and counting equal words in the windows around a hit verifies it. Items of fewer than 13
@@ -10,8 +10,6 @@ words must occur whole.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,24 +53,25 @@ def _seeds(items: DataFrame, masks: dict[int, tuple[int, ...]]) -> DataFrame:
         items.withColumn("place", F.explode(F.sequence(F.lit(0), n - 1)))
         .select(
             "item_id",
-            F.col("place").alias("item_place"),
             around.alias("around"),
             F.least(n, F.lit(WINDOW)).alias("length"),
             F.explode(F.array(*found)).alias("found"),
         )
-        .select("item_id", "item_place", "around", "length", F.col("found.seed").alias("seed"))
+        .select("item_id", "around", "length", F.col("found.seed").alias("seed"))
         .where(F.col("seed").isNotNull())
+        .distinct()  # an item that repeats itself has each seed and its surroundings once
     )
 
 
 def _equal_words() -> Column:
     """Bits of the places around a hit at which document and item have the same word."""
-    def at(j: int) -> Column:
-        place = F.col("place") + j
-        here = F.when(place >= 0, F.get("hashes", F.greatest(place, F.lit(0))))
-        return F.when(here == F.get("around", F.lit(j + LEAD)), 1 << (j + LEAD)).otherwise(0)
 
-    return reduce(lambda x, y: x.bitwiseOR(y), (at(j) for j in range(-LEAD, WINDOW)))
+    def add(bits: Column, k: Column) -> Column:
+        at = F.col("place") - LEAD + k
+        here = F.when(at >= 0, F.get("hashes", F.greatest(at, F.lit(0))))
+        return F.when(here == F.get("around", k), bits + F.pow(F.lit(2), k).cast("int")).otherwise(bits)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(LEAD + WINDOW - 1)), F.lit(0), add)
 
 
 def overlaps(
@@ -87,8 +86,8 @@ def overlaps(
     """One row for each document and benchmark item that overlap.
 
     Columns: `doc_id`, `text_hash` (of the document's text), `item_id`, `equal_words` (most equal
-    words in a window), `first_word` and `last_word` (of the document, from 0: where the
-    first and the last verified seed begins).
+    words in a window), `first_word` and `last_word` (of the document, from 0: where the first
+    overlapping window begins and the last one ends).
 
     Null and empty texts and items have no words and overlap with nothing. Repeated rows of
     documents and of items count as one; a null id is an id like any other. Empty tables give no
@@ -127,25 +126,30 @@ def overlaps(
         around.alias("hashes"),
         F.least(F.col("place"), F.lit(LEAD)).alias("place"),
         F.col("place").alias("at"),
+        F.size("hashes").alias("words"),
     )
     # Written, so that the long expressions of the verification stay out of the loop over all places:
     # together they make one generated method too large for the JVM to compile.
     met = stored(met, "seeds-met")
-    equal = F.col("equal")
-    windows = [
-        F.bit_count(equal.bitwiseAND(F.expr(f"shiftleft(shiftleft(1, length) - 1, {shift})"))) for shift in range(LEAD + 1)
-    ]
+    # Places of a document with the same words around them are verified once.
+    met = met.groupBy("doc_id", "text_hash", "words", "seed", "hashes", "place").agg(
+        F.min("at").alias("first_at"), F.max("at").alias("last_at")
+    )
     allowed = F.when(F.col("length") < WINDOW, 0).otherwise(SUBSTITUTIONS)
+    window = F.expr("shiftleft(1, length) - 1")
+    counts = F.array(*(F.bit_count(F.col("equal").bitwiseAND(F.shiftleft(window, shift))) for shift in range(LEAD + 1)))
+    reached = F.transform("counts", lambda n, shift: F.when(n >= F.col("length") - allowed, shift))
     return (
         met.join(seeds, "seed")
-        .withColumn("equal", _equal_words())
-        .withColumn("equal_words", F.greatest(*windows))
-        .where(F.col("equal_words") >= F.col("length") - allowed)
+        .select("doc_id", "text_hash", "item_id", "first_at", "last_at", "words", "length", _equal_words().alias("equal"))
+        .withColumn("counts", counts)
+        .withColumn("reached", reached)
+        .where(F.array_max("reached").isNotNull())
         .groupBy("doc_id", "text_hash", "item_id")
         .agg(
-            F.max("equal_words").cast("int").alias("equal_words"),
-            F.min("at").alias("first_word"),
-            F.max("at").alias("last_word"),
+            F.max(F.array_max("counts")).cast("int").alias("equal_words"),
+            F.greatest(F.min(F.col("first_at") - LEAD + F.array_min("reached")), F.lit(0)).alias("first_word"),
+            F.max(F.least(F.col("last_at") - LEAD + F.array_max("reached") + F.col("length"), F.col("words")) - 1).alias("last_word"),
         )
     )
 

@@ -12,6 +12,7 @@ from .bpe import bpe_round_trip, token_digests
 from .chat import format_chats
 from .decontaminate import overlaps
 from .licenses import licenses
+from .oracles import ORACLE_SQL
 from .pii import listed, personal_data
 from .piecewise import compared_with_next
 from .quality import quality_scores
@@ -73,6 +74,8 @@ def op10_license_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses(table(spark, sf_dir, "documents"))
 
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_byte_index": op1_simhash_byte_index,
     "op2_role_repair": op2_role_repair,
@@ -85,5 +88,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_discriminant": op9_quality_discriminant,
     "op10_license_paragraphs": op10_license_paragraphs,
 }
-
-ORACLE_SQL: dict[str, str] = {}
