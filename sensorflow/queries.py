@@ -110,9 +110,9 @@ def part_number() -> Column:
 
 
 def arriving(rows: DataFrame, part: Column, numbers: Iterable[int], work: str) -> Iterator[str]:
-    """Let the parts arrive in a folder one after the other; one pass over the rows splits them."""
+    """Let the parts arrive in a folder one after the other; one pass over the rows, without a shuffle, splits them."""
     spark = rows.sparkSession
-    tables.write_table(rows.withColumn("part", part), f"{work}/parts", partition_by=["part"])
+    rows.withColumn("part", part).write.partitionBy("part").parquet(f"{work}/parts")
     for number in numbers:
         if paths.exists(spark, f"{work}/parts/part={number}"):
             paths.move(spark, f"{work}/parts/part={number}", f"{work}/in/part={number}")
