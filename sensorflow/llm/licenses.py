@@ -144,11 +144,13 @@ def _examples(docs: DataFrame, templates: DataFrame, id_col: str, text_col: str,
     """Training rows `family` and `hashes`: pieces of templates, and paragraphs of the corpus as `other`.
 
     The sample are the different texts with the smallest hashes, so it is the same however the table
-    is split into files. Only hashes below a bound that some four times as many texts stay under are
-    sorted, so that no task gets a sample of every other one.
+    is split into files. Only hashes below a bound that some four times as many different texts stay
+    under are sorted, so that no task gets a sample of every other one. The bound goes by the number
+    of different texts (estimated to a few hundredths), so copies and nulls do not lower it.
     """
-    share = min(1.0, 4 * sample_docs / max(docs.count(), 1))
     mark = F.xxhash64(text_col)
+    texts = docs.where(F.col(text_col).isNotNull()).agg(F.approx_count_distinct(mark)).first()[0]
+    share = min(1.0, 4 * sample_docs / max(texts, 1))
     some = docs.where(F.col(text_col).isNotNull() & (mark <= int(share * (1 << 64)) - (1 << 63) - 1))
     some = some.select(F.slice(F.split(text_col, "\n", -1), 1, sample_lines).alias("lines"), mark.alias("mark"))
     some = some.groupBy("mark").agg(F.first("lines").alias("lines"))  # one of equal texts, before they are sent

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from sensorflow.llm import licenses as module
 from sensorflow.llm.licenses import TEMPLATES, UNKNOWN, licenses
 
 from .conftest import prose
@@ -44,3 +47,14 @@ def test_awkward_rows(spark, awkward):
     found = licenses(noted).collect()  # rows without a text have no notice
     assert len(found) == 7 and {r.family for r in found} == {"MIT"}
     assert sum(r.doc_id is None for r in found) == 2
+
+
+def test_copies_do_not_thin_the_sample_of_other_text(spark, rng):
+    texts = [prose(rng, 12) for _ in range(50)]
+    chosen = F.get(F.array(*map(F.lit, texts)), F.when(F.col("id") < 50, F.col("id")).otherwise(0).cast("int"))
+    docs = spark.range(50_000).select(F.col("id").alias("doc_id"), chosen.alias("text"))  # 99.9 % copies
+    fixed = module.template_table(spark, TEMPLATES)
+    others = module._examples(docs, fixed, "doc_id", "text", 400, 20).where(F.col("family") == module.OTHER)
+    assert others.count() == 50
+    some = module._examples(docs, fixed, "doc_id", "text", 5, 20).where(F.col("family") == module.OTHER)
+    assert some.count() == 5
