@@ -11,6 +11,8 @@ paragraph that looks like a licence but agrees with no template is reported as `
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from math import log
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
@@ -29,6 +31,7 @@ AGREEMENT = 0.6  # least share of three-word runs in common with a template
 SAMPLE_DOCS = 400  # documents whose paragraphs are examples of other text: bounds the training rows
 SAMPLE_LINES = 20  # paragraphs taken of each of them
 SHORTEST = 4  # words of the shortest piece of a template that is an example
+PLACES = 8192  # of the arrays in which a paragraph's features are looked up
 TEMPERATURES = (0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0)
 # Paragraphs with such words are no examples of other text.
 CUES = r"(?i)licen[sc]|copyright|copyleft|warrant|redistribut|sublicens|public domain|rights reserved|creative commons"
@@ -115,6 +118,11 @@ def _runs(found: Column, size: int) -> Column:
     return F.transform(starts, lambda i: F.xxhash64(F.lit(size), *(F.get(found, i + j) for j in range(size))))
 
 
+def _longest_runs(found: Column) -> Column:
+    """Runs of three words, or of all words where there are fewer."""
+    return F.when(F.size(found) >= 3, _runs(found, 3)).when(F.size(found) == 2, _runs(found, 2)).otherwise(_runs(found, 1))
+
+
 def _hashes(text: Column) -> Column:
     return F.transform(words(text), lambda w: F.xxhash64(w))
 
@@ -225,12 +233,13 @@ def licenses(
     result; a null id is kept. An empty table gives no rows, and so does one in which nothing reads
     like a licence. Other columns are not read, whatever their names.
 
-    A paragraph without any three-word run of a template is no licence notice, whatever its score, so
-    those with one are found where the text is read, and only they are scored and compared.
+    Every paragraph with a feature of the model is judged by its score. Where the text is read, an
+    upper bound of the score leaves out those that cannot reach the threshold. Templates only confirm:
+    a paragraph of one or two words agrees with one that has these words as a run.
     """
     fixed = template_table(docs.sparkSession, templates)
     model = fit_licenses(_examples(docs, fixed, id_col, text_col, sample_docs, sample_lines))
-    found = _near_templates(docs, fixed, id_col, text_col)
+    found = _possible(docs, model, id_col, text_col, threshold)
 
     features = found.select("row", "paragraph", F.explode(_features(F.col("hashes"))).alias("feature"))
     sums = [F.sum(F.get("weights", F.lit(k))).alias(f"sum{k}") for k in range(len(model.families))]
@@ -241,12 +250,12 @@ def licenses(
     named = chances.select("row", "paragraph", best.alias("probability"), F.get(F.lit(list(model.families)), F.array_position("chances", best).cast("int") - 1).alias("family"))
     likely = stored(named.where((F.col("probability") >= threshold) & (F.col("family") != OTHER)).join(found, ["row", "paragraph"]), "license-likely")
 
-    own = likely.select("row", "paragraph", "family", F.explode(F.array_distinct(_runs(F.col("hashes"), 3))).alias("run"))
-    theirs = fixed.select("family", "template", F.array_distinct(_runs(F.col("hashes"), 3)).alias("runs"))
-    theirs = theirs.select("family", "template", F.size("runs").alias("size"), F.explode("runs").alias("run"))
+    compared = F.array_distinct(_longest_runs(F.col("hashes")))
+    own = likely.select("row", "paragraph", "family", F.explode(compared).alias("run"))
+    theirs = [fixed.select("family", "template", F.array_distinct(_runs(F.col("hashes"), n)).alias("runs")) for n in (1, 2, 3)]
+    theirs = reduce(DataFrame.union, (x.select("family", "template", F.size("runs").alias("size"), F.explode("runs").alias("run")) for x in theirs))
     common = own.join(theirs, ["family", "run"]).groupBy("row", "paragraph", "template", "size").agg(F.count("*").alias("common"))
-    size = F.size(F.array_distinct(_runs(F.col("hashes"), 3)))
-    shares = common.join(likely.select("row", "paragraph", size.alias("own")), ["row", "paragraph"])
+    shares = common.join(likely.select("row", "paragraph", F.size(compared).alias("own")), ["row", "paragraph"])
     shares = shares.groupBy("row", "paragraph").agg(F.max(F.col("common") / F.least("own", "size")).alias("agreement"))
     share = F.coalesce("agreement", F.lit(0.0))
     return likely.join(shares, ["row", "paragraph"], "left").select(
@@ -258,17 +267,55 @@ def licenses(
     )
 
 
-def _near_templates(docs: DataFrame, templates: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Paragraphs that have some run of three words of a template: `row`, `doc_id`, `paragraph`, `hashes`, stored."""
+def _margin(model: LicenseModel, found: Column) -> Column:
+    """More than a paragraph's raw score of any family can exceed that of other text, by its words' hashes.
+
+    Every feature counts with the largest weight that some family has beyond other text. The features
+    are in arrays by some bits of their hash; those that meet there are in further arrays.
+    """
+    rest = [k for k, family in enumerate(model.families) if family != OTHER]
+    other = model.families.index(OTHER)
+    best = {row.feature: max(row.weights[k] - row.weights[other] for k in rest) for row in model.weights.collect()}
+    start = max(model.intercepts[k] - model.intercepts[other] for k in rest)
+
+    def dealt(shift: int) -> list[dict[int, int]]:
+        layers: list[dict[int, int]] = []
+        for feature in best:
+            at = feature >> shift & (PLACES - 1)
+            layer = next((x for x in layers if at not in x), None)
+            if layer is None:
+                layers.append(layer := {})
+            layer[at] = feature
+        return layers
+
+    shift = min(range(0, 48, 4), key=lambda x: len(dealt(x)))
+    tables = []
+    for layer in dealt(shift):
+        keys = (str(layer.get(at, 0)) for at in range(PLACES))
+        values = (repr(best[layer[at]] if at in layer else 0.0) for at in range(PLACES))
+        tables.append([F.split(F.lit(",".join(x)), ",").cast(kind) for x, kind in ((keys, "array<bigint>"), (values, "array<double>"))])
+
+    def beyond(feature: Column) -> Column:
+        at = F.shiftright(feature, shift).bitwiseAND(PLACES - 1).cast("int")
+        out = F.lit(0.0)
+        for keys, values in reversed(tables):
+            out = F.when(F.get(keys, at) == feature, F.get(values, at)).otherwise(out)
+        return out
+
+    return F.aggregate(_features(found), F.lit(start), lambda total, feature: total + beyond(feature))
+
+
+def _possible(docs: DataFrame, model: LicenseModel, id_col: str, text_col: str, threshold: float) -> DataFrame:
+    """Paragraphs whose family may be likelier than the threshold: `row`, `doc_id`, `paragraph`, `hashes`, stored."""
     lines = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(id_col).alias("doc_id"),
         F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)).alias("paragraph", "line"),
-    ).select("row", "doc_id", "paragraph", _hashes(F.col("line")).alias("hashes"))
-    n = F.size("hashes")
-    places = lines.withColumn("place", F.explode(F.when(n >= 3, F.sequence(F.lit(0), n - 3))))
-    run = F.xxhash64(F.lit(3), *(F.get("hashes", F.col("place") + j) for j in range(3)))
-    known = templates.select(F.explode(_runs(F.col("hashes"), 3)).alias("run")).distinct()
-    # The templates are fixed, so their runs are a few hundred rows whatever the corpus.
-    met = places.withColumn("run", run).join(F.broadcast(known), "run", "left_semi")
-    return stored(met.groupBy("row", "doc_id", "paragraph").agg(F.first("hashes").alias("hashes")), "license-paragraphs")
+    )
+    # Exploded, so that the hashes are made once and not anew for each feature.
+    found = lines.select("row", "doc_id", "paragraph", F.explode(F.array(_hashes(F.col("line")))).alias("hashes"))
+    found = found.where(F.size("hashes") > 0)
+    if OTHER in model.families and 0 < threshold < 1:
+        least = max(0.0, model.temperature * log(threshold / (1 - threshold)))
+        found = found.where(_margin(model, F.col("hashes")) >= least - 1e-6)  # sums are not in the scores' order
+    return stored(found, "license-paragraphs")

@@ -58,3 +58,30 @@ def test_copies_do_not_thin_the_sample_of_other_text(spark, rng):
     assert others.count() == 50
     some = module._examples(docs, fixed, "doc_id", "text", 5, 20).where(F.col("family") == module.OTHER)
     assert some.count() == 5
+
+
+def test_every_line_is_scored(spark, rng):
+    # no line but the last has a run of three words in common with a template
+    notices = ["Eclipse Public License 2.0", "Licensed under MIT", "MIT License", "Licensed under the EPL", "Released under the MIT License."]
+    docs = [(i, text) for i, text in enumerate(notices)] + [(100 + i, prose(rng, 40)) for i in range(40)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses(docs, threshold=0.02).collect()}
+    assert found[1].family == UNKNOWN and found[1].agreement == 0 and found[4].family == "MIT"
+
+    # the bound leaves out no line that reaches the threshold
+    fixed = module.template_table(spark, TEMPLATES)
+    model = module.fit_licenses(module._examples(docs, fixed, "doc_id", "text", 400, 20))
+    lines = docs.select("doc_id", module._hashes(F.col("text")).alias("hashes"))
+    weights = {r.feature: r.weights for r in model.weights.collect()}
+    margins = {r.doc_id: r.margin for r in lines.select("doc_id", module._margin(model, F.col("hashes")).alias("margin")).collect()}
+    other = model.families.index(module.OTHER)
+    for row in lines.select("doc_id", module._features(F.col("hashes")).alias("features")).collect():
+        hits = [weights[f] for f in row.features if f in weights]
+        raw = [x + sum(w[k] for w in hits) for k, x in enumerate(model.intercepts)]
+        assert max(x for k, x in enumerate(raw) if k != other) - raw[other] <= margins[row.doc_id] + 1e-9
+
+
+def test_short_lines_are_confirmed_by_shorter_runs(spark):
+    lines = spark.createDataFrame([(["mit", "license"],), (["mit"],), (["released", "under", "the"],)], "w array<string>")
+    sizes = lines.select(F.size(module._longest_runs(F.transform("w", lambda x: F.xxhash64(x)))).alias("n")).collect()
+    assert [r.n for r in sizes] == [1, 1, 1]
