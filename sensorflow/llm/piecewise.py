@@ -3,7 +3,10 @@
 A rolling hash over the last seven bytes cuts a text where its value ends in a pattern, so a cut
 depends on what stands there and not on what came before. Every chunk gives one signature letter.
 Block sizes are 3, 6, 12 and so on; a fingerprint has the signatures at one block size, which grows
-with the text, and at its double. Two fingerprints are compared by the edit distance of signatures
+with the text and is doubled while there are more chunks than letters, and at its double. Where
+doubling would leave too few chunks, every chunk still has its letter, so repeated lines make a
+longer signature. Only where chunks are on average shorter than the window (a few bytes repeated)
+does what follows the first 63 share one letter. Two fingerprints are compared by the edit distance of signatures
 at the same block size.
 """
 
@@ -21,7 +24,7 @@ from pyspark.sql.window import Window
 
 from .tables import stored, width
 
-LETTERS = 64  # most letters of a signature
+LETTERS = 64  # with more chunks the block size is doubled
 FEWEST = 16  # with fewer chunks the block size is halved
 WINDOW = 7
 SMALLEST = 3
@@ -86,7 +89,8 @@ def _cuts(data: bytes, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
 def _signature(ends: np.ndarray, sums: np.ndarray, size: int, total: int) -> str:
     """Letters of the chunks that end at `ends`; what follows the last one is a chunk, too."""
-    ends, sums = ends[: LETTERS - 1], sums[: LETTERS - 1]
+    if len(ends) * WINDOW > size:
+        ends, sums = ends[: LETTERS - 1], sums[: LETTERS - 1]
     if not len(ends) or ends[-1] < size:
         ends, sums = np.append(ends, size), np.append(sums, np.uint64(total))
     starts = np.concatenate([[0], ends[:-1]])
@@ -112,6 +116,8 @@ def fingerprint(text: str | None) -> str:
             if level == 0 or (levels >= level).sum() >= FEWEST:
                 break
             lowest = max(0, lowest - 4)
+        while (levels >= level).sum() >= LETTERS and (levels > level).sum() >= FEWEST:
+            level += 1
         parts = [_signature(ends[levels >= k], sums[levels >= k], len(data), total) for k in (level, level + 1)]
     return f"{SMALLEST << level}:{parts[0]}:{parts[1]}"
 

@@ -95,3 +95,25 @@ def test_awkward_rows(spark, awkward):
     assert compared_with_next(awkward.limit(0)).count() == 0
     (one,) = compared_with_next(spark.createDataFrame([(1, "abcd")], "doc_id long, text string")).collect()
     assert one.edited_sha256 == hashlib.sha256(b"abab").hexdigest() and one.near_next == 1.0
+
+
+def test_every_chunk_of_repeated_lines_has_a_letter(rng):
+    line, more = prose(rng, 12) + "\n", prose(rng, 12) + "\n"
+    text, half, end = line * 400, line * 200 + more * 200, line * 399 + more
+    assert like(fingerprint(text), fingerprint(half)) < 0.7
+    assert 0.95 < like(fingerprint(text), fingerprint(end)) < 1
+    # what differs only after the first 63 chunks, in several places
+    mixed = "".join(line if i % 4 else more for i in range(400))
+    assert like(fingerprint(text), fingerprint(line * 100 + mixed)) < 0.95
+
+
+def test_block_size_is_doubled_while_there_are_too_many_chunks(rng):
+    for text in (prose(rng, n) for n in range(200, 500, 5)):
+        size, first, _ = fingerprint(text).split(":")
+        assert len(first) <= piecewise.LETTERS
+        data = text.encode()
+        with np.errstate(over="ignore"):
+            _, levels, _, _ = piecewise._cuts(data, 0)
+        level = (int(size) // piecewise.SMALLEST).bit_length() - 1
+        cuts = int((levels >= level).sum())
+        assert cuts < piecewise.LETTERS or int((levels > level).sum()) < piecewise.FEWEST
