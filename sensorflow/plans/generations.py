@@ -3,13 +3,15 @@
 A stream's table has a list of its files and must not be overwritten. So silver is kept in
 generations: each has the rows rebuilt from raw up to a moment (`rebuilt`) and those a stream has
 added since (`live`). A rebuild writes the next generation beside the present one; readers change
-over when it is marked as ready, and the stream is started anew for it and takes up where the
-rebuild ended. Both parts are laid out by event day and have one schema.
+over when it is marked as ready, and the stream is started anew for it and takes the raw files that
+the rebuild has not read. Files tell the two apart whatever the rows' times and offsets are: broker
+times are equal, disordered or missing, and offsets start again when a topic is made anew. Both
+parts are laid out by event day and have one schema.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,19 +19,24 @@ from ..functions.times import SECONDS_PATTERN
 from ..operators.dedup import KEY, dedup_batch
 from ..schemas import RAW, SILVER_BY_DAY
 from ..session import pin_utc
-from ..sources.paths import literal, mark, matching
+from ..sources.paths import exists, literal, mark, matching
 from ..sources.tables import read_table, read_table_or_empty, stream_table, write_table
 from ..streaming.runner import start
 from ..streaming.sinks import table_sink
 from .layers import by_day, silver_from_raw
 
-READY = "_ready_from="  # followed by the first raw time, in microseconds, that the stream takes
+READY = "_ready"  # older generations have a time after it
+SEEN = "seen"  # the raw files that a rebuild has read
 
 
-def _ready(spark: SparkSession, root: str) -> dict[int, int]:
-    """Generations that are complete and the raw time from which their stream reads."""
+def _ready(spark: SparkSession, root: str) -> set[int]:
+    """Generations that are complete."""
     found = matching(spark, f"{literal(root)}/generation=*/{READY}*")
-    return {int(path.split("generation=")[1].split("/")[0]): int(path.rsplit(READY, 1)[1]) for path in found}
+    return {int(path.split("generation=")[1].split("/")[0]) for path in found}
+
+
+def _file() -> Column:
+    return F.col("_metadata.file_path").alias("raw_file")
 
 
 def _folder(root: str, generation: int) -> str:
@@ -49,12 +56,13 @@ def follow_raw(
     """Append valid, deduplicated rows to the newest generation, after what its rebuild has read."""
     pin_utc(spark)
     if not (ready := _ready(spark, root)):
-        mark(spark, f"{_folder(root, 0)}/{READY}0")
-        ready = {0: 0}
-    generation = max(ready)
-    raw = stream_table(spark, raw_path, RAW, bytes_per_batch=bytes_per_batch)
-    new = raw.where(F.col("kafka_ingest_time") >= F.timestamp_micros(F.lit(ready[generation])))
-    place = _folder(root, generation)
+        mark(spark, f"{_folder(root, 0)}/{READY}")
+        ready = {0}
+    place = _folder(root, max(ready))
+    new = stream_table(spark, raw_path, RAW, bytes_per_batch=bytes_per_batch)
+    if exists(spark, f"{place}/{SEEN}"):
+        seen = read_table(spark, f"{place}/{SEEN}")
+        new = new.select("*", _file()).join(seen, "raw_file", "left_anti").select(*RAW.fieldNames())
     silver = by_day(silver_from_raw(new, time_pattern, delay, reduce_first))
     return start(silver, table_sink(f"{place}/live", partition_by=["event_date"]), f"{place}/checkpoint", trigger=trigger)
 
@@ -62,18 +70,16 @@ def follow_raw(
 def rebuild(spark: SparkSession, raw_path: str, root: str, time_pattern: str = SECONDS_PATTERN) -> int:
     """Write the next generation from all raw rows there are, and make it the one that is read.
 
-    Stop the stream of the present generation first and start `follow_raw` afterwards. Raw rows that
-    land while this runs come later than its last one and are left to the stream.
+    Stop the stream of the present generation first and start `follow_raw` afterwards. Raw files that
+    land while this runs are not in its snapshot and are left to the stream.
     """
     pin_utc(spark)
-    raw = read_table(spark, raw_path, RAW)
-    newest = raw.agg(F.unix_micros(F.max("kafka_ingest_time")).alias("t")).first().t
-    until = 0 if newest is None else newest + 1
-    seen = raw.where(F.col("kafka_ingest_time") < F.timestamp_micros(F.lit(until)))
+    raw = read_table(spark, raw_path, RAW)  # one listing of files for both tables
     generation = max(_ready(spark, root), default=-1) + 1
     place = _folder(root, generation)
-    write_table(by_day(silver_from_raw(seen, time_pattern)), f"{place}/rebuilt", partition_by=["event_date"])
-    mark(spark, f"{place}/{READY}{until}")
+    write_table(by_day(silver_from_raw(raw, time_pattern)), f"{place}/rebuilt", partition_by=["event_date"])
+    write_table(raw.select(_file()).distinct(), f"{place}/{SEEN}")
+    mark(spark, f"{place}/{READY}")
     return generation
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sensorflow.operators.compare import count_differences
 from sensorflow.operators.decoding import as_kafka_rows, lines_to_messages, silver_columns, silver_valid
-from sensorflow.plans import generations, jobs
+from sensorflow.plans import generations, jobs, layers
 from sensorflow.schemas import SILVER, SILVER_BY_DAY
 from sensorflow.sources.files import read_json
 from sensorflow.sources.messages import stream_messages
@@ -49,3 +49,32 @@ def test_stream_rebuild_and_stream_again(spark, inbox, tmp_path):
     day = generations.read_silver(spark, root, unique=False).where(F.col("event_date") == "2031-03-09")
     assert "PartitionFilters: [isnotnull(event_date" in day._jdf.queryExecution().executedPlan().toString()
     assert read_table(spark, f"{root}/generation=2/rebuilt").select(*SILVER.fieldNames()).count() == 60
+
+
+def test_rows_without_a_later_time_are_followed(spark, inbox, tmp_path):
+    rows = sample(12)
+    raw, root = f"{tmp_path}/raw", f"{tmp_path}/silver"
+    noon = F.lit("2031-03-10 12:00:00").cast("timestamp")
+    times = {"first": noon, "older": noon - F.expr("interval 1 hour"), "equal": noon, "null": F.lit(None).cast("timestamp"), "none": F.timestamp_millis(F.lit(-1))}
+
+    def land(part, time):
+        inbox.add(part)
+        lines = spark.read.text(f"{inbox.path}/part_{inbox.arrived - 1:03d}.json")
+        messages = as_kafka_rows(lines_to_messages(lines, "t"), timestamp=times[time])
+        write_table(layers.raw_rows(messages), raw, "append", partition_by=["ingest_date"])
+
+    def follow():
+        run_until_stopped(generations.follow_raw(spark, raw, root, AVAILABLE_NOW, delay="1 day"))
+        return generations.read_silver(spark, root, unique=False).count()
+
+    land(rows[:2], "first")
+    land(rows[2:3], "null")
+    land(rows[3:4], "none")
+    assert follow() == 4
+    assert generations.rebuild(spark, raw, root) == 1
+    assert follow() == 4  # what the rebuild has read is not taken again
+    for number, time in enumerate(("older", "equal", "null", "none")):
+        land(rows[4 + 2 * number : 6 + 2 * number], time)
+        assert follow() == 6 + 2 * number
+    assert generations.rebuild(spark, raw, root) == 2
+    assert follow() == 12
