@@ -191,8 +191,8 @@ def _spans(kind: str, rule: bool) -> Column:
 def with_candidates(docs: DataFrame, text: Column, *columns: Column) -> DataFrame:
     """A stored table of `columns` with the candidate spans of `text` in `candidates`; null counts as empty.
 
-    Spellings that overlap with a span of the rules, or repeat a candidate, are left out. Pieces and
-    sums are columns of their own: inside a function over an array they would be made anew for each
+    Spellings that overlap with a span of the rules, or repeat a candidate of their kind, are left
+    out. Pieces and sums are columns of their own: inside a function over an array they would be made anew for each
     element.
     """
     ways = [(kind, rule) for rule in (True, False) for kind in KINDS]
@@ -206,7 +206,8 @@ def with_candidates(docs: DataFrame, text: Column, *columns: Column) -> DataFram
     def taken(s: Column) -> Column:
         return F.exists(
             "__strict",
-            lambda b: (b["base"] & (s["start"] < b["end"]) & (b["start"] < s["end"])) | ((s["start"] == b["start"]) & (s["end"] == b["end"])),
+            lambda b: (b["base"] & (s["start"] < b["end"]) & (b["start"] < s["end"]))
+            | ((s["kind"] == b["kind"]) & (s["start"] == b["start"]) & (s["end"] == b["end"])),
         )
 
     return stored(found.select(*names, F.concat("__strict", F.filter("__loose", lambda s: ~taken(s))).alias("candidates")), "pii")

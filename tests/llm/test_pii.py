@@ -112,3 +112,15 @@ def test_awkward_rows(spark, awkward):
     text = spark.createDataFrame([(1, "a@b.c 1.2.3.4")], "doc_id long, text string")
     assert personal_data(text).select(listed(F.col("base")).alias("b")).first().b == "email:0:5,ip:6:13"
     assert KINDS == ("email", "ip", "card", "phone")
+
+
+def test_local_numbers_are_candidates_beside_a_card(spark):
+    far = " and then some more plain words that stand in between here "
+    texts = [f"call {number} today" + far + rest for number in ("555-123-4567", "555 123 4567", "(555) 123-4567") for rest in ("", "4111 1111 1111 1111", "1234567890123")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.candidates for r in with_candidates(docs, F.col("text"), F.col("doc_id")).collect()}
+    phones = [[(s.start, s.end) for s in found[i] if s.kind == KINDS.index("phone")] for i in range(9)]
+    assert phones == [[(5, 17)]] * 6 + [[(5, 19)]] * 3
+    assert all(len({(s.start, s.kind, s.end) for s in spans}) == len(spans) for spans in found.values())
+    spans = {r.doc_id: [tuple(s) for s in r.spans if s.kind == KINDS.index("phone")] for r in personal_data(docs).collect()}
+    assert all(spans[i] == spans[i + 1] == spans[i + 2] for i in (0, 3, 6))
