@@ -30,4 +30,26 @@ SELECT doc_id, item_id, CAST(max(equal) AS INT) AS equal_words, CAST(greatest(mi
 FROM windows WHERE equal >= size - pad GROUP BY doc_id, item_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_spaced_seeds": OVERLAPS}
+NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pair AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+positive AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pair WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INT) AS rank,
+  other_id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN pair USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_spaced_seeds": OVERLAPS, "op12_secondary_sort_negatives": NEGATIVES}

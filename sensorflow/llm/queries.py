@@ -12,7 +12,9 @@ from .bpe import bpe_round_trip, token_digests
 from .chat import format_chats
 from .decontaminate import overlaps
 from .licenses import licenses
+from .negatives import hard_negatives
 from .oracles import ORACLE_SQL
+from .pieces import piece_round_trip
 from .pii import listed, personal_data
 from .piecewise import compared_with_next
 from .quality import quality_scores
@@ -20,6 +22,7 @@ from .sharding import interleave
 from .simhash import simhash_groups
 from .tables import table
 from .toxicity import severities
+from .whitening import whiten
 
 
 def op1_simhash_byte_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +77,22 @@ def op10_license_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_bidiagonal_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_secondary_sort_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mislabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", mislabelled.alias("label"), "embedding")
+    return hard_negatives(vectors, anchors=F.col("vec_id") % 50 == 0)
+
+
+def op13_piece_backtracking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = piece_round_trip(table(spark, sf_dir, "documents"), path)
+    return token_digests(encoded).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -87,4 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_transducer": op8_bpe_transducer,
     "op9_quality_discriminant": op9_quality_discriminant,
     "op10_license_paragraphs": op10_license_paragraphs,
+    "op11_bidiagonal_whitening": op11_bidiagonal_whitening,
+    "op12_secondary_sort_negatives": op12_secondary_sort_negatives,
+    "op13_piece_backtracking": op13_piece_backtracking,
 }

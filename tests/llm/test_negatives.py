@@ -1,0 +1,145 @@
+from __future__ import annotations
+
+import math
+import random
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from sensorflow.llm import negatives as module
+from sensorflow.llm.negatives import _packed, first_positives, hard_negatives, mined, unpacked
+
+NAN, INF = math.nan, math.inf
+
+
+def plain(rows, is_anchor, positives=5, negatives=3, low=50, high=95):
+    """Rows (id, label, vector): every anchor against every row, sorted."""
+    kept = [
+        (i, label, [math.floor(256 * c) for c in v])
+        for i, label, v in rows
+        if i is not None and label is not None and v is not None and all(c is not None and math.isfinite(c) for c in v)
+    ]
+    out = []
+    for a, own, q in kept:
+        if not is_anchor(a):
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(q, p)), i, label) for i, label, p in kept)
+        for best, i, _ in [s for s in scored if s[2] == own and s[1] != a][:positives]:
+            fit = [(-s, j) for s, j, label in scored if label != own and low * -best <= 100 * -s <= high * -best]
+            out += [(a, i, rank + 1, j, -best, score) for rank, (score, j) in enumerate(fit[:negatives])]
+    return sorted(out)
+
+
+def run(spark, rows, every=5, parts=4, **options):
+    frame = spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").repartition(parts)
+    return sorted(map(tuple, hard_negatives(frame, F.col("vec_id") % every == 0, **options).collect()))
+
+
+def random_rows(rng, n, labels=4, size=6, grain=8):
+    return [(i, rng.randrange(labels), [rng.randint(-grain // 3, grain) / grain for _ in range(size)]) for i in range(n)]
+
+
+def test_whole_query_equals_all_pairs(spark, monkeypatch):
+    rows = random_rows(random.Random(1), 260)  # coarse components: many equal scores
+    rows += [(500, 1, None), (505, None, rows[0][2]), (510, 1, [None] * 6), (515, 1, [NAN] * 6), (520, 1, [INF] * 6)]
+    expected = plain(rows, lambda i: i % 5 == 0)
+    assert len(expected) > 300
+    assert run(spark, rows) == expected
+
+
+def test_any_cells_give_the_same(spark, monkeypatch):
+    rows = random_rows(random.Random(2), 200, labels=3)
+    expected = plain(rows, lambda i: i % 5 == 0)
+    monkeypatch.setattr(module, "ANCHORS", 7)
+    monkeypatch.setattr(module, "ROWS", 30)
+    assert run(spark, rows) == expected
+
+
+def test_small_tiles_and_pending_lists_give_the_same(rng):
+    """A cell by itself, fed in small batches, keeps what counts."""
+    import numpy as np
+    import pyarrow as pa
+
+    rows = random_rows(rng, 120, labels=2)
+    q = [np.array([math.floor(256 * c) for c in v]).tobytes() for _, _, v in rows]
+    batch = pa.record_batch({"id": [r[0] for r in rows], "label": [r[1] for r in rows], "q": q, "number": [r[0] for r in rows], "scores": pa.array([[] for _ in rows], pa.list_(pa.int64()))})
+    cell = module._Cell(5)
+    cell.anchors.append(batch.slice(0, 10))
+    old = module._TILE, module._PENDING
+    module._TILE, module._PENDING = 40, 50
+    try:
+        for at in range(0, 120, 16):
+            cell.add(batch.slice(at, 16))
+        packs = [pack["keys"][0] for pack in cell.close()]
+    finally:
+        module._TILE, module._PENDING = old
+    keys = sorted(pack[at : at + 33] for pack in packs for at in range(0, len(pack), 33))
+    found = [(a, i, s) for _, a, i, s in first_positives(iter(keys), 5)]
+    vectors = [np.frombuffer(x, np.int64) for x in q]
+    for a in range(10):
+        best = sorted((-int(vectors[a] @ vectors[i]), i) for i in range(120) if i != a and rows[i][1] == rows[a][1])[:5]
+        assert [(i, s) for x, i, s in found if x == a] == [(i, -s) for s, i in best]
+
+
+def test_repeated_rows_and_one_vector_for_most(spark):
+    rng = random.Random(3)
+    rows = random_rows(rng, 40)
+    rows += [(1000 + i, rng.randrange(2), rows[3][2]) for i in range(80)]  # equal scores beyond any batch
+    rows += [rows[5], rows[5], rows[10], rows[11], rows[11]]  # repeated ids, anchors among them
+    assert run(spark, rows) == plain(rows, lambda i: i % 5 == 0)
+
+
+def test_zero_and_negative_positives(spark):
+    rows = [(0, 1, [1.0, 0.0]), (1, 1, [0.0, 1.0]), (2, 2, [0.0, 3.0]), (3, 2, [1.0, 0.0]), (4, 2, [0.0, -1.0]), (5, 1, [-1.0, 0.0]), (6, 2, [-0.6, 0.0])]
+    found = run(spark, rows)
+    assert found == plain(rows, lambda i: i % 5 == 0)
+    assert (0, 1, 1, 2, 0, 0) in found and (0, 1, 2, 4, 0, 0) in found  # a window of the score zero alone
+    assert not [r for r in found if r[4] < 0]
+
+
+@settings(max_examples=100, deadline=None)
+@given(*[st.integers(-(2**62), 2**62)] * 3, st.integers(0, 2**62))
+def test_keys_sort_and_unpack(anchor, score, other, number):
+    import numpy as np
+
+    def key(*values, kind=0):
+        return _packed(*[np.array([v], np.int64) for v in values[:3]], kind, np.array([values[3]], np.int64))
+
+    assert unpacked(key(number, anchor, score, other)) == (number, anchor, score, 0, other)
+    assert key(number, anchor, score, other) < key(number, anchor, score, other, kind=1) < key(number, anchor, score, other + 1, kind=1)
+    assert key(number, anchor, score, other, kind=1) < key(number, anchor, score - 1, other - 1)
+    assert key(number, anchor, score - 1, other) < key(number + 1, anchor, score, other)
+
+
+def test_the_iterator_reads_no_further_than_it_must():
+    import numpy as np
+
+    def keys(*rows):
+        for number, score, kind, other in rows:
+            yield _packed(*[np.array([v], np.int64) for v in (number, number, score)], kind, np.array([other], np.int64))
+
+    walked = mined(keys((1, 100, 0, 5), (1, 95, 1, 6), (1, 90, 1, 7)), 3, 50, 95)
+    assert next(walked) == (1, 5, 1, 6, 100, 95)  # handed on before the anchor's other rows are read
+
+
+def test_huge_components_are_exact_or_an_error(spark):
+    rows = [(0, 1, [3e6, 1.0]), (1, 1, [2e6, 1.0]), (2, 2, [1e6, 3.0]), (3, 2, [1.5e6, -1.0])]
+    assert run(spark, rows) == plain(rows, lambda i: i % 5 == 0)
+    larger = [(i, label, [c * 2 for c in v]) for i, label, v in rows]  # sums that fit a long, of products that might not
+    assert run(spark, larger) == plain(larger, lambda i: i % 5 == 0) != []
+    with pytest.raises(Exception, match="does not fit a long"):
+        run(spark, [(0, 1, [1e9, 1.0]), (1, 1, [1e9, 1.0]), (2, 2, [1e9, 1.0])])
+
+
+def test_rows_of_every_kind(spark):
+    schema = "vec_id long, label int, embedding array<float>, number string, anchor string, q string, kind int"
+    rows = [(0, 1, [1.0, 0.5], "a", "b", "c", 1), (None, 1, [1.0, 0.5], "a", "b", "c", 1), (5, 1, [], None, None, None, None), (10, 1, [1.0], "a", "b", "c", 1), (1, 1, [1.0, 1.0], "a", "b", "c", 1), (2, 2, [0.6, 0.5], "a", "b", "c", 1)]
+    frame = spark.createDataFrame(rows, schema)
+    anchors = F.col("vec_id") % 5 == 0
+    found = hard_negatives(frame, anchors)
+    assert found.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    assert [tuple(r)[:4] for r in found.collect()] == [(0, 1, 1, 2)]
+    for none in (frame.limit(0), frame.where("vec_id = 1"), frame.where("vec_id in (0, 2)"), frame.where("vec_id in (0, 1)")):
+        assert hard_negatives(none, anchors).count() == 0
