@@ -101,19 +101,21 @@ def last_known(
     event_time: str = "event_time",
     value: str = "sensor_value",
     unique_times: bool = False,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """The reading with the latest event time per key; equal times are settled by the larger value.
+    """The reading with the latest event time per key, and per `by` columns if given; equal times are settled by the larger value.
 
     Arrival order plays no part, so an old reading that arrives late cannot replace a newer one.
     On deduplicated rows there are no equal times to settle: `unique_times` then lets Spark use a
     hash aggregate, several times faster than the sort that comparing pairs needs.
     """
     if unique_times:
-        return df.groupBy(key).agg(
+        return df.groupBy(*by, key).agg(
             F.max(event_time).alias("last_time"), F.max_by(value, event_time).alias("last_value")
         )
-    latest = df.groupBy(key).agg(F.max(F.struct(event_time, value)).alias("latest"))
+    latest = df.groupBy(*by, key).agg(F.max(F.struct(event_time, value)).alias("latest"))
     return latest.select(
+        *by,
         key,
         F.col(f"latest.{event_time}").alias("last_time"),
         F.col(f"latest.{value}").alias("last_value"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -115,6 +116,31 @@ def silver_rejects(readings: DataFrame, time_pattern: str = SECONDS_PATTERN) ->
     return readings.groupBy(silver_reject_reason(time_pattern).alias("reason")).agg(F.count("*").alias("n"))
 
 
+def sorted_readings(messages: DataFrame, time_pattern: str = SECONDS_PATTERN) -> DataFrame:
+    """Every message as a silver row with the `reason` for which it is none, or `accepted`; rejected ones keep `raw_value`.
+
+    The reasons are those of `silver_reject_reason`, and `no_json_object` for text that is none.
+    Topic, partition and offset come along.
+    """
+    place = ("topic", "partition", "offset")
+    readings = decode_readings(messages.withColumn("raw_value", F.col("value")), ("raw_value", *place))
+    timed = evaluate_once(readings, parse_time(F.col("timestamp"), time_pattern), "event_time")
+    nothing = reduce(Column.__and__, [F.col(name).isNull() for name in READING.fieldNames()])
+    reason = (
+        F.when(nothing & ~is_json_object(F.col("raw_value").cast("string")), "no_json_object")
+        .when(F.col("device_id").isNull(), "missing_sensor_id")
+        .when(F.col("value").isNull(), "missing_value")
+        .when(F.col("timestamp").isNull(), "missing_time")
+        .when(F.col("event_time").isNull(), "unparsed_time")
+        .when(F.col("value") < 0, "negative_value")
+        .otherwise(ACCEPTED)
+    )
+    rows = evaluate_once(timed, reason, "reason").withColumnsRenamed(SILVER_NAMES)
+    rejected_value = F.when(F.col("reason") != ACCEPTED, F.col("raw_value"))
+    rows = rows.withColumns({"raw_value": rejected_value, "processing_time": F.current_timestamp()})
+    return rows.select(*SILVER.fieldNames(), "raw_value", *place, "reason")
+
+
 def as_kafka_rows(messages: DataFrame, partitions: int = 3, timestamp: Column | None = None) -> DataFrame:
     """Give a batch of messages the columns a Kafka source returns, for topics kept as files.
 

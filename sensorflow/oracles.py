@@ -47,6 +47,22 @@ silver AS (
 )"""
 )
 
+# The third of its time that a row belongs to.
+PARTS = """
+span AS (SELECT epoch_us(min(ts)) AS lo, (epoch_us(max(ts)) - epoch_us(min(ts))) // 3 AS third FROM events),
+parted AS (
+  SELECT readings.*, CAST(CASE WHEN epoch_us(ts) < lo + third THEN 0 WHEN epoch_us(ts) < lo + 2 * third THEN 1 ELSE 2 END AS BIGINT) AS part
+  FROM readings, span)"""
+
+# Rows of part k are late if their window closed before the watermark the earlier parts left.
+LATE = """
+arrived AS (SELECT * REPLACE (part + CASE WHEN building = 'B' THEN 1 ELSE 0 END AS part) FROM parted),
+marks AS (SELECT part, date_trunc('millisecond', max(ts)) - INTERVAL '5 days' AS mark FROM arrived GROUP BY 1),
+limits AS (SELECT a.part, max(b.mark) AS late_before FROM marks a LEFT JOIN marks b ON b.part < a.part GROUP BY 1),
+judged AS (
+  SELECT arrived.*, coalesce(time_bucket(INTERVAL '5 minutes', ts) + INTERVAL '5 minutes' <= late_before, ts IS NULL) AS late
+  FROM arrived JOIN limits USING (part))"""
+
 FIELDS = '"timestamp", device_id, building, floor, type, value, unit'
 
 ALL_READINGS = f"WITH {READINGS} SELECT {FIELDS} FROM readings"
@@ -80,6 +96,8 @@ def _column_stats(name: str, relation: str, extra: str = "") -> str:
     )
 
 
+REASON = """CASE WHEN device_id IS NULL THEN 'missing_sensor_id' WHEN value IS NULL THEN 'missing_value'
+            WHEN ts IS NULL THEN 'missing_time' WHEN value < 0 THEN 'negative_value' ELSE 'accepted' END"""
 READING_FIELDS = ("timestamp", "device_id", "building", "floor", "type", "value", "unit")
 EVENT_FIELDS = (
     ("event_id", "bigint"),
@@ -112,8 +130,7 @@ ORACLE_SQL: dict[str, str] = {
     "trig_available_now": "SELECT count(*) AS n, true AS ended_by_itself FROM events",
     "trig_processing_time": "SELECT count(*) AS n, true AS went_on FROM events",
     "silver_rejects": f"""WITH {READINGS}
-        SELECT CASE WHEN device_id IS NULL THEN 'missing_sensor_id' WHEN value IS NULL THEN 'missing_value'
-            WHEN ts IS NULL THEN 'missing_time' WHEN value < 0 THEN 'negative_value' ELSE 'accepted' END AS reason,
+        SELECT {REASON} AS reason,
           count(*) AS n
         FROM readings GROUP BY 1""",
     "gold_follow_hourly": f"WITH {SILVER} {HOURLY}",
@@ -127,7 +144,7 @@ ORACLE_SQL: dict[str, str] = {
           count(*) AS n
         FROM readings GROUP BY 1""",
     "silver_decode": f"WITH {SILVER} SELECT * FROM decoded",
-    "layer_raw": f"WITH {READINGS} SELECT {FIELDS}, 'iot_sensors_raw' AS topic FROM readings",
+    "layer_raw": f"WITH {READINGS} SELECT {FIELDS}, 'plant_readings' AS topic FROM readings",
     "agg_total": f"WITH {BRONZE} SELECT count(*) AS n FROM bronze",
     "agg_by_building": f"WITH {BRONZE} SELECT building, count(*) AS n FROM bronze GROUP BY 1",
     "agg_by_type": f"WITH {BRONZE} SELECT type, count(*) AS n FROM bronze GROUP BY 1",
@@ -158,28 +175,49 @@ ORACLE_SQL: dict[str, str] = {
     "win_watermark_append": f"""WITH {READINGS}, slices AS ({SLICES} FROM readings GROUP BY 1)
         SELECT * FROM slices WHERE window_start + INTERVAL '5 minutes'
           <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL '10 minutes' FROM events)""",
-    # Rows of part k are late if their window closed before the watermark the earlier parts left.
-    "win_late_data": f"""WITH {READINGS},
-        arrived AS (
-          SELECT *, CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END
-            + CASE WHEN building = 'B' THEN 1 ELSE 0 END AS part
-          FROM readings),
-        marks AS (
-          SELECT part, date_trunc('millisecond', max(ts)) - INTERVAL '5 days' AS mark FROM arrived GROUP BY 1),
-        limits AS (
-          SELECT a.part, max(b.mark) AS late_before FROM marks a LEFT JOIN marks b ON b.part < a.part GROUP BY 1),
-        kept AS (
-          SELECT arrived.* FROM arrived JOIN limits USING (part)
-          WHERE late_before IS NULL
-            OR time_bucket(INTERVAL '5 minutes', ts) + INTERVAL '5 minutes' > late_before),
-        slices AS ({SLICES} FROM kept GROUP BY 1)
+    "win_late_data": f"""WITH {READINGS}, {PARTS}, {LATE}, slices AS ({SLICES} FROM judged WHERE NOT late GROUP BY 1)
         SELECT * FROM slices WHERE window_start + INTERVAL '5 minutes' <= (SELECT max(mark) FROM marks)""",
+    "win_late_kept": f"""WITH {READINGS}, {PARTS}, {LATE}, slices AS ({SLICES} FROM judged WHERE NOT late GROUP BY 1)
+        SELECT * FROM slices WHERE window_start + INTERVAL '5 minutes' <= (SELECT max(mark) FROM marks)""",
+    "win_late_counts": f"""WITH {READINGS}, {PARTS}, {LATE}
+        SELECT part AS batch_id, count(*) AS n_read, count(*) FILTER (NOT late) AS n_kept, count(*) FILTER (late) AS n_late
+        FROM judged GROUP BY 1""",
+    "win_late_rows": f"""WITH {READINGS}, {PARTS}, {LATE} SELECT {FIELDS}, ts, part AS batch_id FROM judged WHERE late""",
+    "state_bounded": f"""WITH {READINGS}, {PARTS}, run AS (SELECT unnest([0, 1, 2]) AS run),
+        seen AS (
+          SELECT DISTINCT run, time_bucket(INTERVAL '5 minutes', ts) AS window_start FROM run JOIN parted ON part <= run),
+        marks AS (SELECT run, date_trunc('millisecond', max(ts)) - INTERVAL '1 day' AS mark FROM run JOIN parted ON part <= run GROUP BY 1),
+        judged AS (SELECT *, window_start + INTERVAL '5 minutes' > mark AS held FROM seen JOIN marks USING (run))
+        SELECT run, count(*) AS n_seen, count(*) FILTER (NOT held) AS n_closed, count(*) FILTER (held) AS n_held,
+          min(window_start) FILTER (held) AS oldest_held
+        FROM judged GROUP BY 1""",
+    "state_last_known": f"""WITH {SILVER}, known AS ({LAST_KNOWN}),
+        held AS (
+          SELECT DISTINCT sensor_id FROM silver
+          WHERE time_bucket(INTERVAL '1 day', event_time) + INTERVAL '1 day'
+            > (SELECT date_trunc('millisecond', max(event_time)) - INTERVAL '1 day' FROM silver))
+        SELECT known.*, sensor_id IN (SELECT sensor_id FROM held) AS held FROM known""",
+    "silver_dedup_stored": f"""WITH {SILVER}
+        SELECT * FROM silver UNION ALL SELECT * REPLACE (event_time + INTERVAL '60 days' AS event_time) FROM silver""",
+    "silver_quarantine": f"""WITH {READINGS}, {PARTS}, judged AS (
+          SELECT {FIELDS}, 'plant_readings' AS topic, {REASON} AS reason, part AS batch_id FROM parted)
+        SELECT * FROM judged WHERE reason <> 'accepted'""",
+    "silver_epochs": f"""WITH {READINGS}, {PARTS}, judged AS (SELECT part, {REASON} = 'accepted' AS good FROM parted)
+        SELECT part AS batch_id, count(*) AS n_read, count(*) FILTER (good) AS n_accepted,
+          count(*) FILTER (NOT good) AS n_rejected, CAST(0 AS BIGINT) AS n_copies
+        FROM judged GROUP BY 1""",
+    "sink_compacted": f"WITH {BRONZE} SELECT *, 1 AS n_folders FROM bronze",
+    "profile_footers": " UNION ALL ".join(
+        f"SELECT '{name}' AS column_name, count(*) AS n_rows, count(*) - count({name}) AS n_nulls, "
+        + ", ".join(f"CAST({f'{end}({name})' if kind == 'bigint' else 'NULL'} AS VARCHAR) AS {end}_value" for end in ("min", "max"))
+        + " FROM events"
+        for name, kind in EVENT_FIELDS
+    ),
     "mode_complete_counter": "SELECT count(*) AS n FROM events WHERE event_type = 'error'",
-    "ingest_metrics": f"""WITH {BRONZE}
-        SELECT CAST(CASE WHEN timestamp_parsed < TIMESTAMP '2024-01-11' THEN 0
-            WHEN timestamp_parsed < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS BIGINT) AS batch_id,
-          count(*) AS n_rows, true AS has_files, true AS has_bytes
-        FROM bronze GROUP BY 1""",
+    "ingest_metrics": f"""WITH {READINGS}, {PARTS}
+        SELECT part AS batch_id, count(*) AS rows_read, count(*) FILTER (device_id IS NOT NULL AND value >= 0) AS n_rows,
+          CAST(1 AS BIGINT) AS n_files, 0 AS n_missing
+        FROM parted GROUP BY 1""",
 }
 
 for _name in (

@@ -11,17 +11,21 @@ from ..operators.aggregates import counts_by, hourly_kpi, last_known, mean_tempe
 from ..operators.cleaning import bronze_clean, observe_quality
 from ..operators.decoding import as_kafka_rows, lines_to_messages, silver_decode, to_messages
 from ..operators.profile import preview, schema_listing
-from ..schemas import BRONZE, RAW, SILVER
+from ..schemas import BRONZE, LAST_KNOWN, RAW, SILVER
 from ..session import pin_utc
 from ..sources.files import stream_json, stream_text
 from ..sources.tables import read_table_or_empty, stream_table, write_table
 from ..streaming.runner import AVAILABLE_NOW, Sink, start
 from ..streaming.sinks import batch_sink, table_sink
+from ..streaming.versions import read_current
 from .layers import by_day, raw_rows, silver_from_raw
 
 # Epochs after which a table that is kept current is folded.
 FOLD_EVERY = 100
 
+# Of two rows of a sensor the later reading counts, of equal times the larger value.
+LAST_KNOWN_ORDER = ("last_time", "last_value")
+
 
 def ingest_bronze(
     spark: SparkSession,
@@ -98,10 +102,28 @@ def follow_temperature(
     return start(changed, batch_sink(path, ("window_start",), FOLD_EVERY), checkpoint, mode="update", trigger=trigger)
 
 
-def follow_last_known(silver: DataFrame, path: str, checkpoint: str, trigger: str = "10 seconds") -> StreamingQuery:
-    """Keep the last known value of every sensor: each epoch writes the sensors it changed."""
-    sink = batch_sink(path, ("sensor_id",), FOLD_EVERY)
-    return start(last_known(silver), sink, checkpoint, mode="update", trigger=trigger)
+def follow_last_known(
+    silver: DataFrame, path: str, checkpoint: str, trigger: str = "10 seconds", forget: str | None = None
+) -> StreamingQuery:
+    """Keep the last known value of every sensor: each epoch writes the sensors it changed.
+
+    Without `forget` the state keeps every sensor for ever. With it, the state has a sensor's newest
+    reading per slice of that length, and a slice leaves the state once readings are `forget` ahead of
+    its end: sensors that fell silent cost no memory, and the table still answers for them. Readings
+    of a slice that has left are dropped as late. Read the table with `read_last_known`.
+    """
+    if forget is not None:
+        timed = silver.withWatermark("event_time", forget)
+        current = last_known(timed.withColumn("slice", F.window("event_time", forget)), by=["slice"]).drop("slice")
+    else:
+        current = last_known(silver)
+    sink = batch_sink(path, ("sensor_id",), FOLD_EVERY, LAST_KNOWN_ORDER)
+    return start(current, sink, checkpoint, mode="update", trigger=trigger)
+
+
+def read_last_known(spark: SparkSession, path: str) -> DataFrame:
+    """The newest reading of every sensor there has been."""
+    return read_current(spark, path, LAST_KNOWN, ["sensor_id"], LAST_KNOWN_ORDER)
 
 
 def send_alerts(

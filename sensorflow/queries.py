@@ -8,26 +8,28 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from functools import reduce, wraps
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .adapters import EVENTS, as_readings, events_path, read_events, read_readings, stream_readings
 from .functions import alerts, json, labels, times
-from .operators import aggregates, cleaning, compare, decoding, dedup, profile
-from .plans import generations, jobs, layers
+from .operators import aggregates, cleaning, compare, decoding, dedup, footers, profile
+from .plans import generations, gold, jobs, layers
 from .schemas import BRONZE, RAW, READING, SILVER, without
 from .session import new_workspace, pin_utc
 from .sources import files, messages, paths, tables
-from .streaming import sinks, versions
-from .streaming.progress import epoch_counts
+from .streaming import late, sinks, state, versions
+from .streaming.progress import epoch_counts, epochs_without_counts
 from .streaming.runner import AVAILABLE_NOW, drain, run_until_stopped, start
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-TOPIC = "iot_sensors_raw"
+TOPIC = "plant_readings"
 FIELDS = READING.fieldNames()
 BRONZE_STORED = without(BRONZE, "ingestion_time")
 CLOCK_COLUMNS = ("ingestion_time", "kafka_ingest_time", "processing_time")
@@ -42,7 +44,18 @@ ROWS_PER_FILE, FILES_PER_EPOCH = 250, 3
 # after a failure, and what a stateful operator shuffles at once.
 EPOCH_BYTES = 1 << 40
 
-PART_BOUNDS = ("2024-01-11", "2024-01-21")
+SMALL_EPOCHS = 12
+
+# How far readings may be behind before a sensor's state goes, and a window's.
+FORGET = "1 day"
+
+
+class Timeline(NamedTuple):
+    """Where two thirds of the table's span begin, in microseconds, and a delay that covers all of it."""
+
+    second: int
+    third: int
+    delay: str
 
 
 def query(function: Query) -> Query:
@@ -103,10 +116,24 @@ def streamed(df: DataFrame, work: str) -> str:
     return f"{work}/out"
 
 
-def part_number() -> Column:
-    """Which of three parts a row belongs to by event time."""
-    first, second = (F.lit(bound).cast("timestamp_ntz") for bound in PART_BOUNDS)
-    return F.when(F.col("ts") < first, 0).when(F.col("ts") < second, 1).otherwise(2)
+def in_parts(spark: SparkSession, sf_dir: str, numbers: Iterable[int], work: str) -> Iterator[str]:
+    """The events of one third of their time after the other."""
+    events = read_events(spark, sf_dir)
+    return arriving(events, part_number(timeline(events)), numbers, work)
+
+
+def timeline(events: DataFrame) -> Timeline:
+    """Thirds of the events' time, and a delay that forgets none of them in whatever order and epochs they are read."""
+    ends = events.agg(*[F.unix_micros(end("ts").cast("timestamp")).alias(end.__name__) for end in (F.min, F.max)]).first()
+    first, last = ends["min"] or 0, ends["max"] or 0
+    third = (last - first) // 3
+    return Timeline(first + third, first + 2 * third, f"{(last - first) // 1_000_000 + 1} seconds")
+
+
+def part_number(line: Timeline) -> Column:
+    """Which third a row belongs to by event time."""
+    time = F.unix_micros(F.col("ts").cast("timestamp"))
+    return F.when(time < line.second, 0).when(time < line.third, 1).otherwise(2)
 
 
 def arriving(rows: DataFrame, part: Column, numbers: Iterable[int], work: str) -> Iterator[str]:
@@ -119,12 +146,6 @@ def arriving(rows: DataFrame, part: Column, numbers: Iterable[int], work: str) -
         yield f"{work}/in"
 
 
-def whole_span(events: DataFrame) -> str:
-    """A delay that forgets nothing of the table, in whatever order and however many epochs it is read."""
-    span = events.agg((F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(F.min("ts").cast("timestamp"))).alias("span"))
-    return f"{(span.first().span or 0) // 1_000_000 + 1} seconds"
-
-
 # --- sources -------------------------------------------------------------------------------
 
 
@@ -221,26 +242,33 @@ def replay_to_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def replay_from_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = new_workspace(spark, "replay_from_raw")
-    generations.rebuild(spark, landed_raw(spark, sf_dir, work), f"{work}/silver", times.MICROS_PATTERN)
-    return comparable(generations.read_silver(spark, f"{work}/silver", unique=False).select(*SILVER.fieldNames()))
+    layers.replay_from_raw(spark, landed_raw(spark, sf_dir, work), f"{work}/silver", times.MICROS_PATTERN)
+    return comparable(tables.read_table(spark, f"{work}/silver").select(*SILVER.fieldNames()))
 
 
-@query
-def replay_between_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw arrives in three parts; silver follows the first two, is rebuilt, and follows the third."""
-    work = new_workspace(spark, "replay_between_streams")
+def raw_in_parts(spark: SparkSession, sf_dir: str, work: str) -> Iterator[str]:
+    """A raw layer that grows by a third of the readings at a time."""
     events = read_events(spark, sf_dir)
-    delay = whole_span(events)
-    for number, incoming in enumerate(arriving(events, part_number(), range(3), work)):
+    for number, incoming in enumerate(arriving(events, part_number(timeline(events)), range(3), work)):
         arrived = tables.read_table_or_empty(spark, f"{incoming}/part={number}", EVENTS)
         tables.write_table(decoding.as_kafka_rows(messages_of(as_readings(arrived))), f"{work}/topic", "append")
         topic = messages.stream_messages(spark, f"{work}/topic")
         run_until_stopped(jobs.ingest_raw(topic, f"{work}/raw", f"{work}/raw_checkpoint", AVAILABLE_NOW))
-        run_until_stopped(
-            generations.follow_raw(spark, f"{work}/raw", f"{work}/silver", AVAILABLE_NOW, times.MICROS_PATTERN, delay)
-        )
+        yield f"{work}/raw"
+
+
+def follow_raw(spark: SparkSession, raw: str, work: str) -> None:
+    run_until_stopped(generations.follow_raw(spark, raw, f"{work}/silver", AVAILABLE_NOW, times.MICROS_PATTERN))
+
+
+@query
+def replay_between_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw arrives in three parts; silver follows the first two, is rebuilt, and follows the third."""
+    work = new_workspace(spark, "replay_between_streams")
+    for number, raw in enumerate(raw_in_parts(spark, sf_dir, work)):
+        follow_raw(spark, raw, work)
         if number == 1:
-            generations.rebuild(spark, f"{work}/raw", f"{work}/silver", times.MICROS_PATTERN)
+            generations.rebuild(spark, raw, f"{work}/silver", times.MICROS_PATTERN)
     return comparable(generations.read_silver(spark, f"{work}/silver").select(*SILVER.fieldNames()))
 
 
@@ -338,7 +366,7 @@ def silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row arrives in two epochs, and twice in each; one of the four is left."""
     work = new_workspace(spark, "silver_dedup")
     events = read_events(spark, sf_dir)
-    delay = whole_span(events)
+    delay = timeline(events).delay
     for _ in range(2):
         tables.write_table(events, f"{work}/in", "append")
         source = [silver_of(as_readings(tables.stream_table(spark, f"{work}/in", EVENTS))) for _ in range(2)]
@@ -366,12 +394,44 @@ def layer_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = landed_raw(spark, sf_dir, work)
     refine = jobs.refine_silver(
         spark, raw, f"{work}/silver", f"{work}/checkpoint", AVAILABLE_NOW, times.MICROS_PATTERN,
-        whole_span(read_events(spark, sf_dir)),
+        timeline(read_events(spark, sf_dir)).delay,
     )
     run_until_stopped(refine)
     return comparable(tables.read_table(spark, f"{work}/silver").select(*SILVER.fieldNames()))
 
 
+@query
+def silver_dedup_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All readings arrive, then the same 60 days on, then the first ones again, 60 days late; the stored ones refuse them."""
+    work = new_workspace(spark, "silver_dedup_stored")
+    events = read_events(spark, sf_dir)
+    later = events.withColumn("ts", F.col("ts") + F.expr("interval 60 days"))
+    for number, rows in enumerate((events, later, events)):
+        sent = decoding.as_kafka_rows(messages_of(as_readings(rows)))
+        tables.write_table(layers.raw_rows(sent), f"{work}/raw", "append", ["ingest_date"])
+        follow_raw(spark, f"{work}/raw", work)
+    return comparable(generations.read_silver(spark, f"{work}/silver").select(*SILVER.fieldNames()))
+
+
+@query
+def silver_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that silver rejects, as they came, with the reason and the epoch."""
+    work = new_workspace(spark, "silver_quarantine")
+    for raw in raw_in_parts(spark, sf_dir, work):
+        follow_raw(spark, raw, work)
+    rejects = generations.read_rejects(spark, f"{work}/silver").withColumn("payload", F.col("raw_value").cast("string"))
+    return json.decode(rejects, "payload", READING).select("data.*", "topic", "reason", versions.BATCH)
+
+
+@query
+def silver_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every epoch: messages read, readings accepted, messages rejected, and copies refused, as committed with its rows."""
+    work = new_workspace(spark, "silver_epochs")
+    for raw in raw_in_parts(spark, sf_dir, work):
+        follow_raw(spark, raw, work)
+    return generations.epoch_report(spark, f"{work}/silver").select(versions.BATCH, "n_read", "n_accepted", "n_rejected", "n_copies")
+
+
 # --- reads ---------------------------------------------------------------------------------
 
 
@@ -410,6 +470,14 @@ def profile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.profile_columns(read_readings(spark, sf_dir))
 
 
+@query
+def profile_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of all columns, and extremes of the whole numbers, from the file's footer."""
+    found = footers.profile_footers(spark, events_path(sf_dir))
+    whole = F.col("column_name").isin("event_id", "user_id")  # other engines write fractions another way
+    return found.withColumns({name: F.when(whole, F.col(name)) for name in ("min_value", "max_value")})
+
+
 @query
 def profile_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.profile_per_file(read_events(spark, sf_dir), below=sf_dir)
@@ -431,15 +499,17 @@ def gold_hourly_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gold_last_known(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(aggregates.last_known(silver_of(read_readings(spark, sf_dir))))
+    """Of unique readings: equal times are settled by the deduplication, so the last value needs no sort."""
+    return comparable(aggregates.last_known(dedup.dedup(silver_of(read_readings(spark, sf_dir))), unique_times=True))
 
 
 def followed(spark: SparkSession, sf_dir: str, work: str, follow, like) -> DataFrame:
     """The table that a following job keeps while silver arrives in three parts."""
-    delay = whole_span(read_events(spark, sf_dir))
-    for incoming in arriving(read_events(spark, sf_dir), part_number(), range(3), work):
+    events = read_events(spark, sf_dir)
+    line = timeline(events)
+    for incoming in arriving(events, part_number(line), range(3), work):
         silver = silver_of(as_readings(tables.stream_table(spark, incoming, EVENTS)))
-        run_until_stopped(follow(silver, f"{work}/out", f"{work}/checkpoint", delay, AVAILABLE_NOW))
+        run_until_stopped(follow(silver, f"{work}/out", f"{work}/checkpoint", line.delay, AVAILABLE_NOW))
     schema = like(silver_of(read_readings(spark, sf_dir))).schema
     keys = [name for name in ("window_start", "building", "sensor_type") if name in schema.fieldNames()]
     return versions.read_current(spark, f"{work}/out", schema, keys)
@@ -460,17 +530,22 @@ def gold_follow_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def layer_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three gold tables, one below the other."""
+    """Raw to silver to gold in two rounds, the second of which writes the days it touched; the gold tables, one below the other."""
     work = new_workspace(spark, "layer_gold")
-    tables.write_table(dedup.dedup(silver_of(read_readings(spark, sf_dir))), f"{work}/silver")
-    written = layers.write_gold(spark, f"{work}/silver", f"{work}/gold")
+    for number, raw in enumerate(raw_in_parts(spark, sf_dir, work)):
+        if number == 0:
+            continue
+        follow_raw(spark, raw, work)
+        gold.refresh_gold(spark, f"{work}/silver", f"{work}/gold")
+    written = {name: tables.read_table(spark, f"{work}/gold/{name}") for name in ("temperature_5min", "hourly")}
+    written["last_known"] = gold.read_last_known(spark, f"{work}/gold")
     columns = {
         "temperature_5min": ("NULL", "'temperature'", "NULL", "window_start", "avg_temperature", "n"),
         "hourly": ("building", "sensor_type", "NULL", "window_start", "avg_value", "n"),
         "last_known": ("NULL", "NULL", "sensor_id", "last_time", "last_value", "1"),
     }
     parts = [
-        tables.read_table(spark, written[name]).selectExpr(
+        written[name].selectExpr(
             f"'{name}' AS kpi",
             f"CAST({building} AS STRING) AS building",
             f"CAST({kind} AS STRING) AS sensor_type",
@@ -510,19 +585,80 @@ def win_watermark_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(rounded(tables.read_table(spark, streamed(closing, work)), "avg_value"))
 
 
+def late_building(spark: SparkSession, sf_dir: str, work: str) -> tuple[DataFrame, Iterator[str]]:
+    """The readings, and a folder that receives them in four parts: those of building B come one part later than the others."""
+    events = read_events(spark, sf_dir)
+    readings = as_readings(events, "ts")
+    part = part_number(timeline(events)) + F.col("building").eqNullSafe("B").cast("int")
+    return readings, arriving(readings, part, range(4), work)
+
+
 @query
 def win_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late rows count while their window is within the tolerance and are dropped beyond it."""
     work = new_workspace(spark, "win_late_data")
-    readings = as_readings(read_events(spark, sf_dir), "ts")
-    # Readings of building B come one part later than the others.
-    part = part_number() + F.col("building").eqNullSafe("B").cast("int")
-    for incoming in arriving(readings, part, range(4), work):
+    readings, parts = late_building(spark, sf_dir, work)
+    for incoming in parts:
         source = timed(tables.stream_table(spark, incoming, readings.schema))
         out = streamed(slices(source.withWatermark("ts", LATE_DELAY)), work)
     return comparable(rounded(tables.read_table(spark, out), "avg_value"))
 
 
+def split_late(spark: SparkSession, sf_dir: str, work: str) -> StructType:
+    """The same readings with the late rows kept aside, in `out`."""
+    readings, parts = late_building(spark, sf_dir, work)
+    for incoming in parts:
+        source = timed(tables.stream_table(spark, incoming, readings.schema)).select(*readings.columns)
+        drain(source, late.split_sink(f"{work}/out", "ts", aggregates.FIVE_MINUTES, LATE_DELAY), f"{work}/checkpoint")
+    return source.schema
+
+
+@query
+def win_late_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read, kept and late in every epoch."""
+    work = new_workspace(spark, "win_late_counts")
+    split_late(spark, sf_dir, work)
+    return late.split_counts(spark, f"{work}/out")
+
+
+@query
+def win_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that were late, with the epoch they came in."""
+    work = new_workspace(spark, "win_late_rows")
+    schema = split_late(spark, sf_dir, work)
+    return comparable(late.read_split(spark, f"{work}/out", schema, late.LATE))
+
+
+@query
+def win_late_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed windows of the rows that were kept: what the engine's watermark leaves."""
+    work = new_workspace(spark, "win_late_kept")
+    schema = split_late(spark, sf_dir, work)
+    mean = [F.count("*").alias("n"), F.avg("value").alias("avg_value")]
+    closed = late.closed_windows(spark, f"{work}/out", schema, "ts", aggregates.FIVE_MINUTES, LATE_DELAY, *mean)
+    return comparable(rounded(closed, "avg_value"))
+
+
+@query
+def state_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After each of three runs: windows seen so far, written as closed, and held by the state, read back from it."""
+    work = new_workspace(spark, "state_bounded")
+    found = []
+    for run, incoming in enumerate(in_parts(spark, sf_dir, range(3), work)):
+        readings = timed(as_readings(tables.stream_table(spark, incoming, EVENTS), "ts"))
+        out = streamed(slices(readings.withWatermark("ts", FORGET)), work)
+        # By the parts' own paths: Spark takes two reads of one path for the same, whatever files it has by then.
+        arrived = timed(as_readings(spark.read.schema(EVENTS).parquet(*[f"{incoming}/part={part}" for part in range(run + 1)]), "ts"))
+        found.append(
+            side_by_side(
+                aggregates.total(slices(arrived)).withColumnRenamed("n", "n_seen"),
+                aggregates.total(tables.read_table(spark, out)).withColumnRenamed("n", "n_closed"),
+                state.open_windows(spark, f"{work}/checkpoint").agg(F.sum("n_groups").alias("n_held"), F.min("window_start").alias("oldest_held")),
+            ).select(F.lit(run).alias("run"), "*")
+        )
+    return comparable(reduce(DataFrame.unionByName, found))
+
+
 # --- output modes --------------------------------------------------------------------------
 
 
@@ -536,17 +672,28 @@ def mode_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mode_update_last_known(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest part arrives first, so that later epochs bring older readings, which must not win."""
     work = new_workspace(spark, "mode_update_last_known")
-    for incoming in arriving(read_events(spark, sf_dir), part_number(), (2, 1, 0), work):
+    for incoming in in_parts(spark, sf_dir, (2, 1, 0), work):
         silver = silver_of(as_readings(tables.stream_table(spark, incoming, EVENTS)))
-        current = aggregates.last_known(silver)
         run_until_stopped(jobs.follow_last_known(silver, f"{work}/out", f"{work}/checkpoint", AVAILABLE_NOW))
-    return comparable(versions.read_current(spark, f"{work}/out", current.schema, ["sensor_id"]))
+    return comparable(jobs.read_last_known(spark, f"{work}/out"))
+
+
+@query
+def state_last_known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sensors that have been silent leave the state; the table still has their last value."""
+    work = new_workspace(spark, "state_last_known")
+    for incoming in in_parts(spark, sf_dir, range(3), work):
+        silver = silver_of(as_readings(tables.stream_table(spark, incoming, EVENTS)))
+        run_until_stopped(jobs.follow_last_known(silver, f"{work}/out", f"{work}/checkpoint", AVAILABLE_NOW, FORGET))
+    held = state.state_rows(spark, f"{work}/checkpoint").select(F.col("key.sensor_id").alias("sensor_id")).distinct()
+    known = jobs.read_last_known(spark, f"{work}/out").join(held.withColumn("held", F.lit(True)), "sensor_id", "left")
+    return comparable(known.withColumn("held", F.coalesce("held", F.lit(False))))
 
 
 @query
 def mode_complete_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = new_workspace(spark, "mode_complete_counter")
-    for incoming in arriving(read_events(spark, sf_dir), part_number(), range(3), work):
+    for incoming in in_parts(spark, sf_dir, range(3), work):
         readings = as_readings(tables.stream_table(spark, incoming, EVENTS))
         errors = aggregates.total(readings.filter(F.col("type") == "error"))
         drain(errors, sinks.snapshot_sink(f"{work}/out"), f"{work}/checkpoint", mode="complete")
@@ -567,13 +714,13 @@ def sink_append_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream ends after each part and is started again when the next has arrived."""
     work = new_workspace(spark, "sink_resume")
-    for incoming in arriving(read_events(spark, sf_dir), part_number(), range(3), work):
+    for incoming in in_parts(spark, sf_dir, range(3), work):
         out = streamed(bronze_of(as_readings(tables.stream_table(spark, incoming, EVENTS))), work)
     return comparable(tables.read_table(spark, out, BRONZE))
 
 
 def bronze_by_epoch(spark: SparkSession, sf_dir: str, work: str, runs: int = 1) -> str:
-    for incoming in arriving(read_events(spark, sf_dir), part_number(), range(3), work):
+    for incoming in in_parts(spark, sf_dir, range(3), work):
         for _ in range(runs):
             bronze = bronze_of(as_readings(tables.stream_table(spark, incoming, EVENTS)))
             drain(bronze, sinks.batch_sink(f"{work}/out"), f"{work}/checkpoint")
@@ -587,11 +734,28 @@ def sink_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(versions.read_batches(spark, out, BRONZE).drop(versions.BATCH))
 
 
+@query
+def sink_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twelve small epochs, of which every four become one folder; the rows, and what is left to list."""
+    work = new_workspace(spark, "sink_compacted")
+    read_events(spark, sf_dir).repartition(SMALL_EPOCHS).write.parquet(f"{work}/in")
+    bronze = bronze_of(as_readings(tables.stream_table(spark, f"{work}/in", EVENTS, files_per_batch=1)))
+    drain(bronze, sinks.epoch_sink(f"{work}/out", compact_every=4), f"{work}/checkpoint")
+    stored = comparable(versions.read_batches(spark, f"{work}/out", bronze.schema).drop(versions.BATCH))
+    return stored.withColumn("n_folders", F.lit(versions.folders_read(spark, f"{work}/out")))
+
+
 @query
 def ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = bronze_by_epoch(spark, sf_dir, new_workspace(spark, "ingest_metrics"))
-    stored = versions.epoch_metrics(spark, out, BRONZE)
-    return stored.select(versions.BATCH, "n_rows", (F.col("n_files") > 0).alias("has_files"), (F.col("n_bytes") > 0).alias("has_bytes"))
+    """Of every epoch: rows read, by the listener, rows and files written, and whether every committed epoch is there."""
+    work = new_workspace(spark, "ingest_metrics")
+    for incoming in in_parts(spark, sf_dir, range(3), work):
+        bronze = bronze_of(as_readings(tables.stream_table(spark, incoming, EVENTS)))
+        drain(bronze.coalesce(1), sinks.batch_sink(f"{work}/out"), f"{work}/checkpoint")
+    read = epoch_counts(spark, f"{work}/checkpoint").where(F.col("rows_read") > 0).select(F.col("epoch").alias(versions.BATCH), "rows_read")
+    stored = versions.epoch_metrics(spark, f"{work}/out", BRONZE).join(read, versions.BATCH, "left")
+    missing = len(epochs_without_counts(spark, f"{work}/checkpoint"))
+    return stored.select(versions.BATCH, "rows_read", "n_rows", "n_files", F.lit(missing).alias("n_missing"))
 
 
 @query

@@ -72,6 +72,21 @@ KAFKA_ROW = _schema(
 # The same with the day its files are laid out by.
 SILVER_BY_DAY = StructType([*SILVER.fields, StructField("event_date", DateType(), True)])
 
+# An epoch of silver: accepted readings, and rejected messages with what is known of them.
+KIND = "kind"
+SILVER_EPOCH = StructType(
+    [
+        *SILVER.fields,
+        StructField("raw_value", BinaryType(), True),
+        StructField("topic", StringType(), True),
+        StructField("partition", IntegerType(), True),
+        StructField("offset", LongType(), True),
+        StructField("reason", StringType(), True),
+        StructField(KIND, StringType(), True),
+        StructField("event_date", DateType(), True),
+    ]
+)
+
 RAW = _schema(
     ("key", BinaryType()),
     ("value", BinaryType()),
@@ -82,6 +97,12 @@ RAW = _schema(
     ("ingest_date", DateType()),
 )
 
+LAST_KNOWN = _schema(
+    ("sensor_id", StringType()),
+    ("last_time", TimestampType()),
+    ("last_value", DoubleType()),
+)
+
 ALERT_RULE = _schema(
     ("type", StringType()),
     ("op", StringType()),

@@ -8,7 +8,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-from .sources.paths import delete, delete_on_exit
+from .sources.paths import delete, delete_on_exit, is_local
 
 SHARED_DIR = "spark.checkpoint.dir"
 WAREHOUSE_DIR = "spark.sql.warehouse.dir"
@@ -37,11 +37,17 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Root for tables and checkpoints: the folder the cluster names in `spark.checkpoint.dir`.
 
-    Without that setting it is a folder of the warehouse, which every executor has to reach as well;
-    never one that exists on a single machine of a cluster.
+    Without that setting it is a folder of the warehouse, which every executor has to reach as well.
+    A warehouse on a machine's own disk, Spark's default, is refused on a cluster: each executor would
+    write to another disk. A local path in `spark.checkpoint.dir` is taken at its word, as a mounted share.
     """
     configured = spark.conf.get(SHARED_DIR, None) or spark.sparkContext.getConf().get(SHARED_DIR)
-    return configured.rstrip("/") if configured else f"{spark.conf.get(WAREHOUSE_DIR).rstrip('/')}/_work"
+    if configured:
+        return configured.rstrip("/")
+    warehouse = spark.conf.get(WAREHOUSE_DIR).rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and is_local(spark, warehouse):
+        raise ValueError(f"set {SHARED_DIR} to a folder that all machines reach; {warehouse} is each machine's own")
+    return f"{warehouse}/_work"
 
 
 def workspaces(spark: SparkSession) -> str:

@@ -9,10 +9,11 @@ from pyspark.sql.types import StructType
 from ..schemas import READING
 
 
-# File streams skip a new file if it is this much older than the newest one seen. Spark's default of
-# seven days would leave out files copied with their old times; the price of a long time is that the
-# checkpoint remembers the names of that many files.
-FILE_AGE = "3650d"
+# File streams skip a new file if it is this much older than the newest one seen, without a word.
+# Archives and object stores hand out files dated 1970, so the default reaches beyond that: no file
+# is skipped by its date. The price is that the stream remembers the names of all files of its
+# folder; a folder that keeps files for ever can be given a shorter time.
+FILE_AGE = "36500d"
 
 
 def rate_limited(
@@ -42,7 +43,7 @@ def stream_json(
 ) -> DataFrame:
     """New JSONL files of a folder. The first run takes all files present, later runs only new ones.
 
-    A later run takes a new file only if it was changed less than `file_age` before the newest one seen.
+    A file counts as new by its name. One changed more than `file_age` before the newest one seen is skipped.
     """
     return rate_limited(spark.readStream.schema(schema), files_per_batch, bytes_per_batch, file_age).json(path)
 

@@ -12,6 +12,12 @@ def _open(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def is_local(spark: SparkSession, path: str) -> bool:
+    """Whether a path is on the machine's own file system."""
+    files, _ = _open(spark, path)
+    return files.getUri().getScheme() == "file"
+
+
 def is_file(spark: SparkSession, path: str) -> bool:
     files, hadoop_path = _open(spark, path)
     return files.exists(hadoop_path) and files.getFileStatus(hadoop_path).isFile()
@@ -51,6 +57,16 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     stream.close()
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    files, hadoop_path = _open(spark, path)
+    stream = files.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def literal(path: str) -> str:
     """`path` as a pattern that matches nothing but itself."""
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
@@ -63,6 +79,23 @@ def delete_on_exit(spark: SparkSession, path: str) -> None:
     files.deleteOnExit(hadoop_path)
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    files, hadoop_path = _open(spark, path)
+    return files.getContentSummary(hadoop_path).getLength()
+
+
+def files_of(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Number and bytes of the Parquet files below a folder."""
+    files, hadoop_path = _open(spark, path)
+    found, number, size = files.listFiles(hadoop_path, True), 0, 0
+    while found.hasNext():
+        status = found.next()
+        if status.getPath().getName().endswith(".parquet"):
+            number, size = number + 1, size + status.getLen()
+    return number, size
+
+
 def delete(spark: SparkSession, path: str) -> None:
     files, hadoop_path = _open(spark, path)
     files.delete(hadoop_path, True)

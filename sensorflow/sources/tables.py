@@ -65,9 +65,12 @@ def write_table(
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
+    only_days: bool = False,
 ) -> None:
     """Write a batch table.
 
+    With `only_days`, overwriting replaces the partitions that `df` has rows for and leaves the others.
+
     A folder that a stream writes to is never overwritten: the stream's list of files, and a
     checkpoint kept in the folder, would go with the rows.
 
@@ -82,4 +85,5 @@ def write_table(
         return
     balanced = df.hint("rebalance", *[F.col(name) for name in partition_by])
     with settings(df.sparkSession, WRITE_SETTINGS):
-        balanced.write.format(fmt).mode(mode).partitionBy(*partition_by).save(path)
+        writer = balanced.write.format(fmt).mode(mode).partitionBy(*partition_by)
+        (writer.option("partitionOverwriteMode", "dynamic") if only_days else writer).save(path)

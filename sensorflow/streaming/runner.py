@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import signal
+import threading
+import time
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..session import STATE_SETTINGS, settings, state_width
-from .progress import epoch_counts, record
+from .progress import epoch_counts, recorder
 
 Sink = Callable[[DataStreamWriter], DataStreamWriter]
 
@@ -49,11 +53,10 @@ def start(
         writer = writer.option("checkpointLocation", checkpoint)
     if name is not None:
         writer = writer.queryName(name)
-    with settings(spark, STATE_SETTINGS), settings(spark, state_width(spark, state_partitions), override=True):
+    noted = nullcontext() if checkpoint is None else recorder(spark).of(checkpoint)
+    with noted, settings(spark, STATE_SETTINGS), settings(spark, state_width(spark, state_partitions), override=True):
         query = writer.start()
-    if checkpoint is not None:
-        query.checkpoint = checkpoint
-        record(query, spark, checkpoint)
+    query.checkpoint = checkpoint
     return query
 
 
@@ -70,15 +73,58 @@ def drain(
     return query
 
 
-def run_until_stopped(query: StreamingQuery, timeout: float | None = None) -> None:
-    """Wait for the query; on an interrupt or when the time is over, stop it after the current batch."""
+def stop_between_epochs(query: StreamingQuery, patience: float | None = None, poll: float = 0.05) -> bool:
+    """Stop the query once the epoch that is running now has ended and is committed; whether it got so far.
+
+    Between two epochs nothing is cut short. Where epochs follow each other without a pause, the next
+    one may have begun when the query stops; it has written nothing that counts and is done again at
+    the next start. After `patience` seconds the running epoch is cancelled, and done again as well.
+    """
+    started = time.monotonic()
+    last = query.lastProgress
+    running = (last.batchId if last else -1) + 1 if query.status["isTriggerActive"] else None
+    ended = True
+    while running is not None and query.isActive and query.status["isTriggerActive"]:
+        last = query.lastProgress
+        if last and last.batchId >= running:
+            break
+        if patience is not None and time.monotonic() - started > patience:
+            ended = False
+            break
+        time.sleep(poll)
+    query.stop()
+    return ended
+
+
+def run_until_stopped(query: StreamingQuery, timeout: float | None = None, patience: float | None = None) -> None:
+    """Wait for the query; on an interrupt, a request to terminate, or when the time is over, stop it between epochs."""
+    until = None if timeout is None else time.monotonic() + timeout
+    with _termination() as asked:
+        try:
+            while query.isActive and not asked.is_set():
+                left = None if until is None else until - time.monotonic()
+                if left is not None and left <= 0:
+                    break
+                query.awaitTermination(1 if left is None else min(1, left))
+        except KeyboardInterrupt:
+            pass
+        if query.isActive:
+            stop_between_epochs(query, patience)
+    query.awaitTermination()  # raises what the query failed with
+
+
+@contextmanager
+def _termination() -> Iterator[threading.Event]:
+    """An event that a request to terminate the process sets; only the main thread can be told of one."""
+    asked = threading.Event()
+    if threading.current_thread() is not threading.main_thread():
+        yield asked
+        return
+    before = signal.signal(signal.SIGTERM, lambda *_: asked.set())
     try:
-        if timeout is None:
-            query.awaitTermination()
-        elif not query.awaitTermination(timeout):
-            query.stop()
-    except KeyboardInterrupt:
-        query.stop()
+        yield asked
+    finally:
+        signal.signal(signal.SIGTERM, before)
 
 
 def _epochs(query: StreamingQuery) -> list:

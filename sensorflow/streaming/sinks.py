@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 from .runner import Sink
-from .versions import BATCH, SNAPSHOT, fold_batches, prune, write_version
+from .versions import BATCH, COMPACT_BYTES, SNAPSHOT, compact, fold_batches, prune, write_version
 
 
 def table_sink(path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> Sink:
@@ -21,18 +21,34 @@ def table_sink(path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
     return attach
 
 
-def batch_sink(path: str, keys: Sequence[str] = (), fold_every: int | None = None) -> Sink:
+def batch_sink(path: str, keys: Sequence[str] = (), fold_every: int | None = None, order: Sequence[str] = (BATCH,)) -> Sink:
     """Write epoch N to its own folder, replacing it when the epoch is replayed after a failure.
 
     Takes append and update mode; read it with `versions.read_batches` or, where rows replace
     earlier rows of their key, with `versions.read_current`. With `fold_every`, that many epochs are
-    folded into one folder of the newest row per key, so that a reader never goes through all of them.
+    folded into one folder of the newest row per key (by `order`), so that a reader never goes
+    through all of them.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
         write_version(batch, path, BATCH, epoch)
         if fold_every is not None and epoch % fold_every == fold_every - 1:
-            fold_batches(batch.sparkSession, path, batch.schema, keys)
+            fold_batches(batch.sparkSession, path, batch.schema, keys, order)
+
+    return lambda writer: writer.foreachBatch(write)
+
+
+def epoch_sink(path: str, partition_by: Sequence[str] = (), compact_every: int | None = 100, compact_bytes: int = COMPACT_BYTES) -> Sink:
+    """Append epoch N as a folder of its own and make many small epochs few large files now and then.
+
+    Read it with `versions.read_batches`, which a compaction does not disturb. For tables that are read
+    as a whole; one that another stream follows belongs in `table_sink`.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        write_version(batch, path, BATCH, epoch, partition_by)
+        if compact_every is not None and epoch % compact_every == compact_every - 1:
+            compact(batch.sparkSession, path, batch.schema, partition_by, compact_bytes)
 
     return lambda writer: writer.foreachBatch(write)
 

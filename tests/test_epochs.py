@@ -1,0 +1,323 @@
+"""Epoch tables: compaction, late rows, counts of every epoch, state read back, and stopping between epochs."""
+
+from __future__ import annotations
+
+import os
+import signal
+import subprocess
+import sys
+import threading
+import time
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from sensorflow.operators import footers
+from sensorflow.operators.aggregates import tumbling
+from sensorflow.operators.compare import count_differences
+from sensorflow.plans import jobs
+from sensorflow.schemas import READING, SILVER
+from sensorflow.session import settings
+from sensorflow.sources.files import stream_csv, stream_json
+from sensorflow.sources.tables import read_table, stream_table, write_table
+from sensorflow.streaming import late, state, versions
+from sensorflow.streaming.progress import epoch_counts, epochs_without_counts
+from sensorflow.streaming.runner import AVAILABLE_NOW, drain, rows_read, run_until_stopped, start, stop_between_epochs
+from sensorflow.streaming.sinks import batch_sink, epoch_sink, table_sink
+
+from .conftest import ROOT, reading, sample
+
+SCHEMA = "n long, day string"
+
+
+def numbers(spark, first, last):
+    return spark.range(first, last).select(F.col("id").alias("n"), F.concat(F.lit("d"), (F.col("id") % 3).cast("string")).alias("day"))
+
+
+def test_many_small_epochs_become_few_folders_while_a_reader_and_the_stream_go_on(spark, inbox, tmp_path):
+    rows = sample(400)
+    path, checkpoint = f"{tmp_path}/out", f"{tmp_path}/checkpoint"
+    for part in range(60):
+        inbox.add(rows[2 * part : 2 * part + 2])
+    source = stream_json(spark, inbox.path, files_per_batch=1)
+    running = start(source, epoch_sink(path, compact_every=15), checkpoint)
+    seen = set()
+    while running.isActive:
+        seen.add(versions.read_batches(spark, path, READING).count())  # a reader that lists and reads meanwhile
+        time.sleep(1)
+    running.awaitTermination()
+    assert len(seen) > 2 and all(n % 2 == 0 for n in seen)
+    found = versions.read_batches(spark, path, READING)
+    assert found.count() == 120 and found.select(versions.BATCH).distinct().count() == 60
+    assert versions.folders_read(spark, path) == 1
+    assert len(list(Path(path).glob("batch_id=*"))) <= 16 and len(list(Path(path).glob("compact=*"))) <= 2
+    inbox.add([reading()])
+    drain(source, epoch_sink(path, compact_every=15), checkpoint)
+    assert versions.read_batches(spark, path, READING).count() == 121
+
+
+def test_a_reader_keeps_what_it_listed_before_a_compaction(spark, tmp_path):
+    path = f"{tmp_path}/out"
+    schema = numbers(spark, 0, 1).schema
+    for epoch in range(6):
+        versions.write_version(numbers(spark, 10 * epoch, 10 * epoch + 10), path, versions.BATCH, epoch, ["day"])
+    before = versions.read_batches(spark, path, schema)
+    assert versions.compact(spark, path, schema, ["day"]) == (0, 5)
+    assert before.count() == 60  # read after the change
+    after = versions.read_batches(spark, path, schema)
+    assert after.count() == 60 and {r.day for r in after.select("day").distinct().collect()} == {"d0", "d1", "d2"}
+    assert versions.read_batches(spark, path, schema, after=3).count() == 20
+    assert versions.read_batches(spark, path, schema, after=1, upto=2).agg(F.sum("n")).first()[0] == sum(range(20, 30))
+    for epoch in range(6, 8):
+        versions.write_version(numbers(spark, 10 * epoch, 10 * epoch + 10), path, versions.BATCH, epoch, ["day"])
+    assert versions.compact(spark, path, schema, ["day"], most_bytes=1) == (6, 7)  # the first folder counts as large
+    assert versions.compact(spark, path, schema, ["day"]) is None
+    assert versions.folders_read(spark, path) == 2
+    versions.write_version(numbers(spark, 80, 90), path, versions.BATCH, 8, ["day"])
+    assert versions.compact(spark, path, schema, ["day"]) == (6, 8)
+    assert versions.read_batches(spark, path, schema).agg(F.sum("n"), F.count("*")).first()[:] == (sum(range(90)), 90)
+
+
+def test_a_compaction_that_fails_changes_nothing(spark, tmp_path, monkeypatch):
+    path, schema = f"{tmp_path}/out", numbers(spark, 0, 1).schema
+    for epoch in range(3):
+        versions.write_version(numbers(spark, epoch, epoch + 1), path, versions.BATCH, epoch)
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "mark", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError):
+            versions.compact(spark, path, schema)
+    assert versions.read_batches(spark, path, schema).count() == 3 and versions.folders_read(spark, path) == 3
+    assert versions.compact(spark, path, schema) == (0, 2)
+    assert versions.read_batches(spark, path, schema).count() == 3
+
+
+def timed_rows(spark, folder, rows):
+    write_table(spark.createDataFrame(rows, "id long, t string").select("id", F.col("t").cast("timestamp").alias("ts")), folder, "append")
+
+
+def test_late_rows_are_kept_aside_as_the_engine_would_drop_them(spark, tmp_path):
+    folder, path = f"{tmp_path}/in", f"{tmp_path}/out"
+    epochs = [
+        [(1, "2031-01-01 10:01:00"), (2, "2031-01-01 10:21:00")],
+        [(3, "2031-01-01 10:09:00"), (4, "2031-01-01 10:10:00"), (5, None), (6, "2031-01-01 10:02:00")],
+        [(7, "2031-01-01 12:00:00.000999")],
+        [],
+        [(8, "2031-01-01 11:45:00"), (9, "2031-01-01 11:49:59.999"), (10, "2031-01-01 11:50:00")],
+    ]
+    for rows in epochs:
+        timed_rows(spark, folder, rows)
+        source = stream_table(spark, folder, spark.createDataFrame([], "id long, ts timestamp").schema)
+        drain(source, late.split_sink(path, "ts", "5 minutes", "10 minutes"), f"{tmp_path}/c")
+        counted = tumbling(source.withWatermark("ts", "10 minutes"), "ts", "5 minutes", F.count("*").alias("n"))
+        drain(counted, table_sink(f"{tmp_path}/engine"), f"{tmp_path}/engine_c")
+    rows = late.read_split(spark, path, source.schema, late.LATE)
+    assert sorted(r.id for r in rows.collect()) == [3, 5, 6, 8, 9]
+    counts = [tuple(r) for r in late.split_counts(spark, path).orderBy("batch_id").select("n_read", "n_kept", "n_late").collect()]
+    assert [c for c in counts if c[0]] == [(2, 2, 0), (4, 1, 3), (1, 1, 0), (3, 1, 2)]
+    closed = late.closed_windows(spark, path, source.schema, "ts", "5 minutes", "10 minutes", F.count("*").alias("n"))
+    assert count_differences(closed, read_table(spark, f"{tmp_path}/engine")).first().n_diff == 0
+    assert closed.count() > 2
+
+
+def test_a_replayed_epoch_is_split_as_before(spark, tmp_path):
+    path = f"{tmp_path}/out"
+    schema = spark.createDataFrame([], "id long, ts timestamp").schema
+    sink = {}
+
+    class Writer:
+        def foreachBatch(self, function):
+            sink["write"] = function
+
+    late.split_sink(path, "ts", "5 minutes", "10 minutes")(Writer())
+    first = spark.sql("SELECT 1L AS id, timestamp'2031-01-01 10:30:00' AS ts")
+    second = spark.sql("SELECT 2L AS id, timestamp'2031-01-01 10:00:00' AS ts UNION ALL SELECT 3L, timestamp'2031-01-01 11:30:00'")
+    for epoch, rows in ((0, first), (1, second), (1, second), (0, first), (1, second)):
+        sink["write"](rows, epoch)
+    assert [r.id for r in late.read_split(spark, path, schema, late.LATE).collect()] == [2]
+    assert late.split_counts(spark, path).agg(F.sum("n_read")).first()[0] == 3
+
+
+def test_every_epoch_is_counted_in_every_session(spark, inbox, tmp_path):
+    for part in range(5):
+        inbox.add([reading()] * (part + 1))
+    second = spark.newSession()
+    second.conf.set("spark.sql.session.timeZone", "UTC")
+    checkpoint = f"{tmp_path}/c"
+    for session, upto in ((spark, 5), (second, 8), (spark, 9), (second.newSession(), 11)):
+        while inbox.arrived < upto:
+            inbox.add([reading()])
+        running = drain(stream_json(session, inbox.path, files_per_batch=1), batch_sink(f"{tmp_path}/out"), checkpoint)
+        assert sum(rows_read(running).values()) > 0
+        assert epochs_without_counts(session, checkpoint) == []
+    counts = {r.epoch: r.rows_read for r in epoch_counts(spark, checkpoint).collect()}
+    assert counts == {0: 1, 1: 2, 2: 3, 3: 4, 4: 5} | {epoch: 1 for epoch in range(5, 11)}
+    os.remove(f"{checkpoint}/epoch_counts/7.json")
+    assert epochs_without_counts(spark, checkpoint) == [7]
+
+
+def test_streams_started_side_by_side_are_told_apart(spark, inbox, tmp_path):
+    inbox.add([reading()] * 3)
+    found = {}
+
+    def run(number):
+        query = drain(stream_json(spark, inbox.path), batch_sink(f"{tmp_path}/out{number}"), f"{tmp_path}/c{number}")
+        found[number] = sum(rows_read(query).values())
+
+    threads = [threading.Thread(target=run, args=(number,)) for number in range(4)]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert found == dict.fromkeys(range(4), 3)
+
+
+def slow_sink(path, seconds=2.0):
+    def write(batch, epoch):
+        time.sleep(seconds)
+        versions.write_version(batch, path, versions.BATCH, epoch)
+
+    return lambda writer: writer.foreachBatch(write)
+
+
+@pytest.mark.parametrize("trigger", ["0 seconds", "30 seconds"])
+def test_a_stop_lets_the_running_epoch_end(spark, inbox, tmp_path, trigger):
+    for _ in range(3):
+        inbox.add([reading()])
+    path, checkpoint = f"{tmp_path}/out", f"{tmp_path}/c"
+    running = start(stream_json(spark, inbox.path, files_per_batch=1), slow_sink(path), checkpoint, trigger=trigger)
+    while not running.status["isTriggerActive"] or not Path(f"{checkpoint}/offsets/0").exists():
+        time.sleep(0.02)
+    time.sleep(0.5)  # in the middle of epoch 0
+    assert versions.committed(spark, path, versions.BATCH) == []
+    assert stop_between_epochs(running)
+    assert not running.isActive and running.exception() is None
+    # Without a pause the next epoch may have begun; what it wrote is written again.
+    assert versions.committed(spark, path, versions.BATCH)[0] == 0 and Path(f"{checkpoint}/commits/0").exists()
+    drain(stream_json(spark, inbox.path), batch_sink(path), checkpoint)
+    assert versions.read_batches(spark, path, READING).count() == 3
+
+
+def test_patience_ends(spark, inbox, tmp_path):
+    inbox.add([reading()])
+    running = start(stream_json(spark, inbox.path), slow_sink(f"{tmp_path}/out", 5), f"{tmp_path}/c", trigger="0 seconds")
+    while not running.status["isTriggerActive"] or not Path(f"{tmp_path}/c/offsets/0").exists():
+        time.sleep(0.02)
+    assert not stop_between_epochs(running, patience=0.2)
+    assert not running.isActive
+
+
+def test_an_idle_stream_stops_at_once(spark, inbox, tmp_path):
+    inbox.add([reading()])
+    running = start(stream_json(spark, inbox.path), batch_sink(f"{tmp_path}/out"), f"{tmp_path}/c", trigger="1 hour")
+    running.processAllAvailable()
+    started = time.monotonic()
+    run_until_stopped(running, timeout=0.1)
+    assert time.monotonic() - started < 5 and not running.isActive
+
+
+CHILD = """
+import sys, time
+from compare_with_sql import local_session
+from sensorflow.sources.files import stream_json
+from sensorflow.streaming import versions
+from sensorflow.streaming.runner import run_until_stopped, start
+inbox, out, checkpoint = sys.argv[1:]
+def write(batch, epoch):
+    print("began", epoch, flush=True)
+    time.sleep(3)
+    versions.write_version(batch, out, versions.BATCH, epoch)
+run_until_stopped(start(stream_json(local_session(2), inbox, files_per_batch=1), lambda w: w.foreachBatch(write), checkpoint, trigger="0 seconds"))
+print("ended", flush=True)
+"""
+
+
+def test_a_request_to_terminate_the_process_waits_for_the_epoch(inbox, tmp_path):
+    for _ in range(3):
+        inbox.add([reading()])
+    out, checkpoint = f"{tmp_path}/out", f"{tmp_path}/c"
+    child = subprocess.Popen([sys.executable, "-c", CHILD, inbox.path, out, checkpoint], cwd=ROOT, stdout=subprocess.PIPE, stderr=subprocess.DEVNULL, text=True)
+    assert child.stdout.readline() == "began 0\n"
+    os.kill(child.pid, signal.SIGTERM)
+    rest = child.communicate(timeout=90)[0].splitlines()
+    assert rest[-1] == "ended" and child.returncode == 0
+    assert Path(f"{checkpoint}/commits/0").exists() and Path(f"{out}/batch_id=0/_committed").exists()
+
+
+def silver_rows(spark, rows):
+    typed = spark.createDataFrame(rows, "sensor_id string, t string, sensor_value double").withColumn("event_time", F.col("t").cast("timestamp"))
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in SILVER.fields if f.name not in ("sensor_id", "event_time", "sensor_value")]
+    return typed.select("sensor_id", "event_time", "sensor_value", *missing).select(*SILVER.fieldNames())
+
+
+def test_silent_sensors_leave_the_state_and_stay_in_the_table(spark, tmp_path):
+    folder = f"{tmp_path}/in"
+    parts = [
+        [("a", "2031-01-01 10:00:00", 1.0), ("b", "2031-01-01 11:00:00", 2.0), ("a", "2031-01-01 09:00:00", 9.0)],
+        [("b", "2031-01-04 11:00:00", 3.0), ("c", "2031-01-05 01:00:00", 4.0), ("b", "2031-01-04 11:00:00", 5.0)],
+        [("c", "2031-01-08 01:00:00", 6.0), ("c", "2031-01-08 00:30:00", 7.0)],
+        [("a", "2031-01-09 01:00:00", 8.0)],
+    ]
+    held = []
+    for rows in parts:
+        write_table(silver_rows(spark, rows), folder, "append")
+        run_until_stopped(jobs.follow_last_known(stream_table(spark, folder, SILVER), f"{tmp_path}/out", f"{tmp_path}/c", AVAILABLE_NOW, "1 day"))
+        held.append(sorted(r[0] for r in state.state_rows(spark, f"{tmp_path}/c").select("key.sensor_id").distinct().collect()))
+    assert held == [["a", "b"], ["b", "c"], ["c"], ["a", "c"]]
+    known = {r.sensor_id: (str(r.last_time), r.last_value) for r in jobs.read_last_known(spark, f"{tmp_path}/out").collect()}
+    assert known == {"a": ("2031-01-09 01:00:00", 8.0), "b": ("2031-01-04 11:00:00", 5.0), "c": ("2031-01-08 01:00:00", 6.0)}
+    operators = state.state_operators(spark, f"{tmp_path}/c").collect()
+    assert [r.operatorName for r in operators] == ["stateStoreSave"]
+    versions.fold_batches(spark, f"{tmp_path}/out", jobs.LAST_KNOWN, ["sensor_id"], jobs.LAST_KNOWN_ORDER)
+    assert jobs.read_last_known(spark, f"{tmp_path}/out").count() == 3
+
+
+def test_open_windows_are_those_behind_which_the_watermark_is(spark, tmp_path):
+    folder = f"{tmp_path}/in"
+    sizes = []
+    for hour in range(10, 14):
+        timed_rows(spark, folder, [(minute, f"2031-01-01 {hour}:{minute:02d}:30") for minute in range(0, 60, 5)])
+        source = stream_table(spark, folder, spark.createDataFrame([], "id long, ts timestamp").schema)
+        counted = tumbling(source.withWatermark("ts", "10 minutes"), "ts", "5 minutes", F.count("*").alias("n"))
+        drain(counted, table_sink(f"{tmp_path}/out"), f"{tmp_path}/c")
+        sizes.append((state.open_windows(spark, f"{tmp_path}/c").count(), read_table(spark, f"{tmp_path}/out").count()))
+    assert sizes == [(3, 9), (3, 21), (3, 33), (3, 45)]  # the state stays as it is while the table grows
+    first = state.open_windows(spark, f"{tmp_path}/c", epoch=6)  # with data, before it closed any window
+    assert first.count() == 15
+
+
+@pytest.mark.parametrize("kind", ["json", "csv"])
+def test_files_dated_1970_are_taken(spark, tmp_path, kind):
+    folder, out = tmp_path / "in", f"{tmp_path}/out"
+    folder.mkdir()
+    read = {"json": stream_json, "csv": stream_csv}[kind]
+    total = 0
+    for number, (rows, time_) in enumerate(((3, 1_900_000_000), (4, 0), (5, 1_900_000_100), (2, 1))):
+        spark.createDataFrame([tuple(reading()[n] for n in READING.fieldNames())] * rows, READING).coalesce(1).write.option("header", True).format(kind).save(f"{tmp_path}/w{number}")
+        file = next(Path(f"{tmp_path}/w{number}").glob(f"*.{kind}"))
+        target = folder / f"{number}.{kind}"
+        target.write_bytes(file.read_bytes())
+        os.utime(target, (time_, time_))
+        total += rows
+        drain(read(spark, str(folder)), table_sink(out), f"{tmp_path}/c")
+        assert read_table(spark, out, READING).count() == total
+
+
+def test_footers_answer_without_reading_rows(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    frame = spark.range(100).select(F.col("id").alias("a"), F.when(F.col("id") > 9, F.col("id") / 2).alias("b"), F.lit(None).cast("int").alias("c"), F.col("id").cast("string").alias("d"))
+    frame.repartition(4).write.parquet(path)
+    found = {r.column_name: tuple(r)[1:] for r in footers.profile_footers(spark, path).collect()}
+    assert found == {"a": (100, 0, "0", "99"), "b": (100, 10, "5.0", "49.5"), "c": (100, 100, None, None), "d": (100, 0, None, None)}
+    with settings(spark, footers.FOOTER_SETTINGS, override=True):
+        plan = footers.footer_row(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)" in plan or "PushedAggregation: [COUNT(*)" in plan.replace("\n", " ")
+
+
+def test_columns_without_extremes_in_the_footers_are_read(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "x double").coalesce(1).write.parquet(path)
+    assert [tuple(r) for r in footers.profile_footers(spark, path).collect()] == [("x", 3, 0, "1.0", "nan")]
+    empty = f"{tmp_path}/e"
+    spark.createDataFrame([], "x double, y int").write.parquet(empty)
+    assert [tuple(r) for r in footers.profile_footers(spark, empty).collect()] == [("x", 0, 0, None, None), ("y", 0, 0, None, None)]

@@ -82,3 +82,20 @@ def test_streaming_aggregates_combine_before_their_shuffle(spark, tmp_path):
         query = drain(aggregate(silver), batch_sink(f"{place}/out"), f"{place}/checkpoint", mode="update")
         above, below = query._jsq.explainInternal(False).split("Exchange", 1)
         assert "StateStoreSave" in above and "partial_" in below and "Exchange" not in below
+
+
+def test_a_machines_own_warehouse_is_refused_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from sensorflow import session
+
+    conf = SimpleNamespace(get=lambda key, default=None: "file:/tmp/warehouse" if key == session.WAREHOUSE_DIR else default)
+    named = {}
+    context = SimpleNamespace(master="spark://host:7077", getConf=lambda: named)
+    cluster = SimpleNamespace(conf=conf, sparkContext=context, _jvm=spark._jvm, _jsc=spark._jsc)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(cluster)
+    context.master = "local[4]"
+    assert session.shared_folder(cluster) == "file:/tmp/warehouse/_work"
+    context.master, named["spark.checkpoint.dir"] = "spark://host:7077", "file:/mnt/share/"
+    assert session.shared_folder(cluster) == "file:/mnt/share"
