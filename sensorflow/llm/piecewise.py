@@ -1,18 +1,20 @@
 """Document fingerprints by context-triggered piecewise hashing.
 
-A rolling hash over the last seven bytes cuts a text where its value ends in a pattern, so a cut
-depends on what stands there and not on what came before. Every chunk gives one signature letter.
-Block sizes are 3, 6, 12 and so on; a fingerprint has the signatures at one block size, which grows
-with the text and is doubled while there are more chunks than letters, and at its double. Where
-doubling would leave too few chunks, every chunk still has its letter, so repeated lines make a
-longer signature. Only where chunks are on average shorter than the window (a few bytes repeated)
-does what follows the first 63 share one letter. Two fingerprints are compared by the edit distance of signatures
-at the same block size.
+A rolling hash over the last seven bytes ends a chunk where its value is a multiple of the block
+size, so a boundary depends on what stands there and not on what came before. Every chunk gives one
+signature letter. Block sizes are 3, 6, 12 and so on, by the length of the text; a fingerprint has
+the signatures at its block size and at twice that. A chunk has a quarter of the block size at least
+and four times at most: where no boundary comes in that range, the smallest value of the rolling
+hash in it, the first of equals, is one. So repeated lines, or a single repeated letter, give chunks
+like any other text, every chunk has its letter, and a signature has 12 to 256 letters whatever the
+text is like (fewer for texts of under 40 bytes). Two fingerprints are compared by the edit distance of
+signatures at the same block size.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,12 +26,12 @@ from pyspark.sql.window import Window
 
 from .tables import stored, width
 
-LETTERS = 64  # with more chunks the block size is doubled
-FEWEST = 16  # with fewer chunks the block size is halved
+LETTERS = 64  # as many blocks a text has, or down to half as many
 WINDOW = 7
 SMALLEST = 3
+SHORT, LONG = 4, 4  # a chunk has at least a block over SHORT, and at most LONG blocks
 _SPAN = 1 << 20  # bytes looked at together: bounds memory for texts of any length
-_ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
+_FIRST_LETTER, _LETTER_BITS = 0x4E00, 12  # 4,096 letters, one code point each: a pattern and another rarely share one
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2^64
 _MASK = (1 << 64) - 1
 
@@ -56,49 +58,72 @@ def _sized(inverse: bool, size: int) -> np.ndarray:
     return _powers(inverse, 1 << max(12, (size - 1).bit_length()))
 
 
-def _cuts(data: bytes, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """Where chunks end at block size 3 * 2^level or above: ends, their levels, prefix sums there; and the whole sum.
+def _spans(data: bytes) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Begin of a span, bytes before it that are included so that its first windows are complete, and the sums up to each byte.
 
-    The prefix sum up to i adds value(byte) * base^i, so both a window's and a chunk's hash are a
-    difference of two of them, shifted back to position zero.
+    The sum up to i adds value(byte) * base^i, so the hash of a window or a chunk is a difference of
+    two of them, shifted back to position zero.
     """
-    found, total = [], 0
     whole = np.frombuffer(data, np.uint8)
     for begin in range(0, len(data), _SPAN):
-        # A few bytes before the span, so that the windows at its start are complete.
         lead = min(begin, WINDOW)
         span = whole[begin - lead : begin + _SPAN]
-        n = len(span)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_VALUES[span] * _sized(False, n + 1)[:n], out=sums[1:])
+        sums = np.zeros(len(span) + 1, np.uint64)
+        np.cumsum(_VALUES[span] * _sized(False, len(span) + 1)[: len(span)], out=sums[1:])
+        yield begin, lead, sums
+
+
+def _rolled(data: bytes) -> np.ndarray:
+    """The rolling hash at every byte: 1 to 2^31."""
+    out = np.empty(len(data), np.uint32)
+    for begin, lead, sums in _spans(data):
         rolled = sums[1:].copy()
-        rolled[WINDOW:] -= sums[1:-WINDOW] if n > WINDOW else 0
-        rolled *= _sized(True, n + 1)[:n]
+        if len(rolled) > WINDOW:
+            rolled[WINDOW:] -= sums[1:-WINDOW]
+        rolled *= _sized(True, len(sums))[: len(rolled)]
         rolled = ((rolled >> np.uint64(24)).astype(np.uint32) & np.uint32(0x7FFFFFFF)) + np.uint32(1)
-        block = SMALLEST << level
-        ends = np.nonzero(rolled % np.uint32(block) == 0)[0]
-        ends = ends[ends >= lead]
-        multiples = rolled[ends] // np.uint32(SMALLEST)
-        levels = np.bitwise_count((multiples & (~multiples + np.uint32(1))) - np.uint32(1))
-        shift = pow(_BASE, begin - lead, 1 << 64)
-        before = (total - shift * int(sums[lead])) & _MASK
-        found.append((ends + 1 + begin - lead, levels, np.uint64(before) + np.uint64(shift) * sums[ends + 1]))
-        total = (before + shift * int(sums[n])) & _MASK
-    return *(np.concatenate(x) for x in zip(*found)), total
+        out[begin : begin + _SPAN] = rolled[lead:]
+    return out
 
 
-def _signature(ends: np.ndarray, sums: np.ndarray, size: int, total: int) -> str:
-    """Letters of the chunks that end at `ends`; what follows the last one is a chunk, too."""
-    if len(ends) * WINDOW > size:
-        ends, sums = ends[: LETTERS - 1], sums[: LETTERS - 1]
-    if not len(ends) or ends[-1] < size:
-        ends, sums = np.append(ends, size), np.append(sums, np.uint64(total))
+def _sums_at(data: bytes, ends: np.ndarray) -> np.ndarray:
+    """Sums over the whole text up to each of `ends`, which rise."""
+    out, total = np.empty(len(ends), np.uint64), 0
+    for begin, lead, sums in _spans(data):
+        shift = pow(_BASE, begin - lead, 1 << 64)
+        before = (total - shift * int(sums[lead])) & _MASK
+        some = slice(*np.searchsorted(ends, [begin, min(begin + _SPAN, len(data))], side="right"))
+        out[some] = np.uint64(before) + np.uint64(shift) * sums[ends[some] - begin + lead]
+        total = (before + shift * int(sums[-1])) & _MASK
+    return out
+
+
+def _ends(rolled: np.ndarray, triggers: list[int], block: int) -> np.ndarray:
+    """Where the chunks end; `triggers` are the ends at which the rolling hash is a multiple of the block size."""
+    size, least, most = len(rolled), max(1, block // SHORT), block * LONG
+    found, begin, next_one = [], 0, 0
+    while size - begin > least:
+        next_one = bisect_left(triggers, begin + least, next_one)
+        if next_one < len(triggers) and triggers[next_one] <= begin + most:
+            begin = triggers[next_one]
+        elif begin + most < size:
+            begin += least + int(rolled[begin + least - 1 : begin + most].argmin())
+        else:
+            break
+        found.append(begin)
+    if begin < size:
+        found.append(size)
+    return np.array(found, np.int64)
+
+
+def _letters(data: bytes, ends: np.ndarray) -> str:
     starts = np.concatenate([[0], ends[:-1]])
-    chunks = np.diff(sums, prepend=np.uint64(0))
+    chunks = np.diff(_sums_at(data, ends), prepend=np.uint64(0))
     back = _sized(True, _SPAN)[starts % _SPAN]
-    if size > _SPAN:
+    if len(data) > _SPAN:
         back = back * np.array([pow(_BASE, -int(s // _SPAN * _SPAN), 1 << 64) for s in starts], np.uint64)
-    return _ALPHABET[_mixed(chunks * back) >> np.uint64(58)].tobytes().decode()
+    letters = (_mixed(chunks * back) >> np.uint64(64 - _LETTER_BITS)).astype("<u4") + np.uint32(_FIRST_LETTER)
+    return letters.tobytes().decode("utf-32-le")
 
 
 def fingerprint(text: str | None) -> str:
@@ -106,20 +131,13 @@ def fingerprint(text: str | None) -> str:
     data = (text or "").encode("utf-8", "replace")
     if not data:
         return f"{SMALLEST}::"
-    level = (len(data) // (SMALLEST * LETTERS)).bit_length()  # a chunk for each letter, or half as many
-    lowest = max(0, level - 2)
+    block = SMALLEST << (len(data) // (SMALLEST * LETTERS)).bit_length()
     with np.errstate(over="ignore"):
-        while True:
-            ends, levels, sums, total = _cuts(data, lowest)
-            while level > lowest and (levels >= level).sum() < FEWEST:
-                level -= 1
-            if level == 0 or (levels >= level).sum() >= FEWEST:
-                break
-            lowest = max(0, lowest - 4)
-        while (levels >= level).sum() >= LETTERS and (levels > level).sum() >= FEWEST:
-            level += 1
-        parts = [_signature(ends[levels >= k], sums[levels >= k], len(data), total) for k in (level, level + 1)]
-    return f"{SMALLEST << level}:{parts[0]}:{parts[1]}"
+        rolled = _rolled(data)
+        at = np.flatnonzero(rolled % np.uint32(block) == 0)
+        double = at[rolled[at] % np.uint32(2 * block) == 0]
+        parts = [_letters(data, _ends(rolled, (where + 1).tolist(), size)) for where, size in ((at, block), (double, 2 * block))]
+    return f"{block}:{parts[0]}:{parts[1]}"
 
 
 def likeness(left: Column, right: Column) -> Column:
