@@ -4,8 +4,11 @@ Words of a document and of a benchmark item overlap if, laid side by side, some
 differs in two at most; places beyond the end of either text count as different. Two fixed masks of six positions each pick words out of every stretch of
 text and ignore the others; whatever the places of two substitutions in a window, one of the masks
 fits between them somewhere. So joining the masked hashes of documents and items finds every
-overlap, and counting equal words in the windows around a hit verifies it. Items of fewer than 13
-words must occur whole.
+overlap, and counting equal words in the windows around a hit verifies it.
+
+An item of 8 to 12 words is one window, in which one word may differ: of two masks that take every
+second word, one from the first on and one from the second on, a substitution meets only one. An
+item of fewer than 8 words must occur whole: one substitution in seven words is more than two in 13.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from .tables import stored
 
 WINDOW = 13
 SUBSTITUTIONS = 2
+SHORT_WINDOW, SHORT_SUBSTITUTIONS = 8, 1  # of items that are shorter than the window
 # Every pair of places among 13 is left out by one of these masks at one of its shifts.
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 3, 6, 7, 8))
 LEAD = WINDOW - 1 - min(max(mask) for mask in MASKS)  # words before a hit that a window around it can reach
@@ -39,15 +43,42 @@ def _masked(mask: tuple[int, ...], number: int) -> Column:
     return F.when(fits, F.xxhash64(F.lit(number), *(F.get("hashes", F.col("place") + at) for at in mask)))
 
 
+def allowed(length: Column) -> Column:
+    """Words that may differ in a window of this many."""
+    return F.when(length >= WINDOW, SUBSTITUTIONS).when(length >= SHORT_WINDOW, SHORT_SUBSTITUTIONS).otherwise(0)
+
+
+_EVERY, _WHOLE = 100, 200  # numbers of the masks of short items, less how many words they take
+
+
+def _masks(lengths: list[int]) -> dict[int, tuple[int, ...]]:
+    """All masks by number: those of long items and those that items of `lengths` need."""
+    every = {taken for n in lengths if n >= SHORT_WINDOW for taken in ((n + 1) // 2, n // 2)}
+    whole = {n for n in lengths if n < SHORT_WINDOW}
+    return (
+        dict(enumerate(MASKS))
+        | {_EVERY + n: tuple(range(0, 2 * n, 2)) for n in sorted(every)}
+        | {_WHOLE + n: tuple(range(n)) for n in sorted(whole)}
+    )
+
+
+def _belongs(number: int) -> Column:
+    """Whether the item in this row has a seed by this mask at this place."""
+    n, place = F.size("hashes"), F.col("place")
+    if number >= _WHOLE:
+        return (n == number - _WHOLE) & (place == 0)
+    if number >= _EVERY:
+        from_first, from_second = F.expr("(size(hashes) + 1) div 2"), F.expr("size(hashes) div 2")
+        return n.between(SHORT_WINDOW, WINDOW - 1) & (
+            ((place == 0) & (from_first == number - _EVERY)) | ((place == 1) & (from_second == number - _EVERY))
+        )
+    return n >= WINDOW
+
+
 def _seeds(items: DataFrame, masks: dict[int, tuple[int, ...]]) -> DataFrame:
     """`seed` of every place of every item, with the words around it and what a window there must reach."""
     n = F.size("hashes")
-    # an item shorter than the window has its own mask, all of its words, at its start
-    whole = (n < WINDOW) & (F.col("place") == 0)
-    found = [
-        F.struct(F.when(n >= WINDOW if number < len(MASKS) else whole & (n == len(mask)), _masked(mask, number)).alias("seed"))
-        for number, mask in masks.items()
-    ]
+    found = [F.struct(F.when(_belongs(number), _masked(mask, number)).alias("seed")) for number, mask in masks.items()]
     around = F.array(*(F.when(F.col("place") + j >= 0, F.get("hashes", F.greatest(F.col("place") + j, F.lit(0)))) for j in range(-LEAD, WINDOW)))
     return (
         items.withColumn("place", F.explode(F.sequence(F.lit(0), n - 1)))
@@ -96,14 +127,48 @@ def overlaps(
     Documents are read once and not shuffled while the distinct seeds are few enough to be sent to
     the executors: only the places that meet one go into the join that verifies them.
     """
+    met, seeds = _hits(docs, benchmark, id_col, text_col, item_col, item_text_col, broadcast_seeds)
+    # Places of a document with the same words around them are verified once.
+    met = met.groupBy("doc_id", "text_hash", "words", "seed", "hashes", "place").agg(
+        F.min("at").alias("first_at"), F.max("at").alias("last_at")
+    )
+    return (
+        _verified(met, seeds, "doc_id", "text_hash", "item_id", "first_at", "last_at", "words", "length")
+        .groupBy("doc_id", "text_hash", "item_id")
+        .agg(
+            F.max(F.array_max("counts")).cast("int").alias("equal_words"),
+            F.greatest(F.min(F.col("first_at") - LEAD + F.array_min("reached")), F.lit(0)).alias("first_word"),
+            F.max(F.least(F.col("last_at") - LEAD + F.array_max("reached") + F.col("length"), F.col("words")) - 1).alias("last_word"),
+        )
+    )
+
+
+def _verified(met: DataFrame, seeds: DataFrame, *keep: str) -> DataFrame:
+    """Hits around which some window has enough equal words: `counts` of all windows, and those `reached`."""
+    window = F.expr("shiftleft(1, length) - 1")
+    counts = F.array(*(F.bit_count(F.col("equal").bitwiseAND(F.shiftleft(window, shift))) for shift in range(LEAD + 1)))
+    reached = F.transform("counts", lambda n, shift: F.when(n >= F.col("length") - allowed(F.col("length")), shift))
+    return (
+        met.join(seeds, "seed")
+        .select(*dict.fromkeys([*keep, "length"]), _equal_words().alias("equal"))
+        .withColumn("counts", counts)
+        .withColumn("reached", reached)
+        .where(F.array_max("reached").isNotNull())
+    )
+
+
+def _hits(
+    docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, broadcast_seeds: int
+) -> tuple[DataFrame, DataFrame]:
+    """Places of documents whose seed the benchmark has, with the words around them; and the seeds. Both stored."""
     items = stored(
         benchmark.select(F.col(item_col).alias("item_id"), _hashed(F.col(item_text_col)).alias("hashes"))
         .where(F.size("hashes") > 0)
         .distinct(),
         "items",
     )
-    short = [row.n for row in items.where(F.size("hashes") < WINDOW).select(F.size("hashes").alias("n")).distinct().collect()]
-    masks = dict(enumerate(MASKS)) | {100 + n: tuple(range(n)) for n in sorted(short)}
+    lengths = [row.n for row in items.where(F.size("hashes") < WINDOW).select(F.size("hashes").alias("n")).distinct().collect()]
+    masks = _masks(lengths)
     seeds = stored(_seeds(items, masks), "seeds")
     places = (
         docs.select(
@@ -115,11 +180,8 @@ def overlaps(
         .withColumn("place", F.explode(F.when(F.size("hashes") > 0, F.sequence(F.lit(0), F.size("hashes") - 1))))
         .withColumn("seed", F.explode(F.array(*(_masked(mask, number) for number, mask in masks.items()))))
     )
-    # Only places whose seed the benchmark has go on, with the words around them.
-    known = seeds.select("seed").distinct()
-    known = F.broadcast(known) if seeds.count() <= broadcast_seeds else known
     around = F.slice("hashes", F.greatest(F.col("place") - LEAD, F.lit(0)) + 1, LEAD + WINDOW)
-    met = places.join(known, "seed", "left_semi").select(
+    columns = [
         "doc_id",
         "text_hash",
         "seed",
@@ -127,31 +189,16 @@ def overlaps(
         F.least(F.col("place"), F.lit(LEAD)).alias("place"),
         F.col("place").alias("at"),
         F.size("hashes").alias("words"),
-    )
+    ]
+    # Only places whose seed the benchmark has go on, with the words around them.
+    known = seeds.select("seed").distinct()
+    if seeds.count() <= broadcast_seeds:
+        met = places.join(F.broadcast(known), "seed", "left_semi").select(*columns)
+    else:  # what is shuffled for a place are the words around it, never those of the whole text
+        met = places.where(F.col("seed").isNotNull()).select(*columns).join(known, "seed", "left_semi")
     # Written, so that the long expressions of the verification stay out of the loop over all places:
     # together they make one generated method too large for the JVM to compile.
-    met = stored(met, "seeds-met")
-    # Places of a document with the same words around them are verified once.
-    met = met.groupBy("doc_id", "text_hash", "words", "seed", "hashes", "place").agg(
-        F.min("at").alias("first_at"), F.max("at").alias("last_at")
-    )
-    allowed = F.when(F.col("length") < WINDOW, 0).otherwise(SUBSTITUTIONS)
-    window = F.expr("shiftleft(1, length) - 1")
-    counts = F.array(*(F.bit_count(F.col("equal").bitwiseAND(F.shiftleft(window, shift))) for shift in range(LEAD + 1)))
-    reached = F.transform("counts", lambda n, shift: F.when(n >= F.col("length") - allowed, shift))
-    return (
-        met.join(seeds, "seed")
-        .select("doc_id", "text_hash", "item_id", "first_at", "last_at", "words", "length", _equal_words().alias("equal"))
-        .withColumn("counts", counts)
-        .withColumn("reached", reached)
-        .where(F.array_max("reached").isNotNull())
-        .groupBy("doc_id", "text_hash", "item_id")
-        .agg(
-            F.max(F.array_max("counts")).cast("int").alias("equal_words"),
-            F.greatest(F.min(F.col("first_at") - LEAD + F.array_min("reached")), F.lit(0)).alias("first_word"),
-            F.max(F.least(F.col("last_at") - LEAD + F.array_max("reached") + F.col("length"), F.col("words")) - 1).alias("last_word"),
-        )
-    )
+    return stored(met, "seeds-met"), seeds
 
 
 def without_overlaps(
@@ -162,8 +209,15 @@ def without_overlaps(
     item_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """`docs`, all columns, without the rows that overlap with a benchmark item."""
-    found = overlaps(docs, benchmark, id_col, text_col, item_col, item_text_col)
-    found = stored(found.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "overlaps")
-    same = docs[id_col].eqNullSafe(found["__id"]) & (F.xxhash64(docs[text_col]) == found["__hash"])
-    return docs.join(found, same, "left_anti")
+    """`docs`, all columns, without the rows that overlap with a benchmark item.
+
+    A passage that many documents share is compared once with one that many items share: what is
+    verified are the different stretches of words that were met, and the documents are sought by these.
+    """
+    met, seeds = _hits(docs, benchmark, id_col, text_col, item_col, item_text_col, BROADCAST_SEEDS)
+    stretch = ["seed", "hashes", "place"]
+    found = stored(_verified(met.select(*stretch).distinct(), seeds.drop("item_id").distinct(), *stretch).select(*stretch).distinct(), "overlaps")
+    hit = met.join(found, stretch, "left_semi").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    hit = stored(hit, "overlapping")
+    same = docs[id_col].eqNullSafe(hit["__id"]) & (F.xxhash64(docs[text_col]) == hit["__hash"])
+    return docs.join(hit, same, "left_anti")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-# Every window of 13 aligned words with two differences at most has four equal words in a row, so
+# Every window of 13 aligned words with two differences at most, and of 8 with one, has four equal words in a row, so
 # pairs are looked for on the diagonals that such runs mark. `eq` has an entry for each place of the
 # item, and two more on either side, on one diagonal.
 _WORDS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '')"
@@ -10,7 +10,7 @@ OVERLAPS = f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 b AS (SELECT DISTINCT item_id, {_WORDS} AS w FROM benchmark),
 item AS (SELECT item_id, w, len(w) AS n, least(len(w), 4) AS run, least(len(w), 13) AS size,
-    CASE WHEN len(w) < 13 THEN 0 ELSE 2 END AS pad FROM b WHERE len(w) > 0),
+    CASE WHEN len(w) >= 13 THEN 2 WHEN len(w) >= 8 THEN 1 ELSE 0 END AS pad FROM b WHERE len(w) > 0),
 runs AS (SELECT DISTINCT run FROM item),
 item_run AS (SELECT item_id, run, j, array_to_string(w[j + 1:j + run], ' ') AS g
   FROM (SELECT item_id, run, w, unnest(range(0, n - run + 1)) AS j FROM item)),
