@@ -1,7 +1,8 @@
 """Personal data by weak supervision: labelers vote on spans, EM weighs them, a classifier decides.
 
 Patterns find candidate spans of four kinds. Five labelers vote for or against each one, or abstain:
-the kind's own rule, a checksum or range, a gazetteer, cue words around the span and its borders.
+the kind's own rule, its form (a checksum or range where no rule has asked for it, else whether it is
+written as usual), a gazetteer, cue words around the span and its borders.
 Expectation-maximisation estimates, without labels, how reliable each labeler is for each kind and
 how likely every pattern of votes is personal data. Those probabilities train a logistic classifier
 over the span's surface, which decides about spans that the kinds' strict rules do not settle. Spans
@@ -14,7 +15,7 @@ and surface, whose number is fixed by the labelers and not by the data.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 from math import exp, log
@@ -44,10 +45,10 @@ SPELLINGS = {
     "card": r"(?<![0-9])(?:[0-9]{16}|[0-9]{4}(?:[\x20-][0-9]{4}){3})(?![0-9])",
     "phone": r"(?<![0-9+])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
 }
-# What a text must have before a pattern is tried on it.
+# What a text must have before a pattern is tried on it; of several hints, all.
 _HINTS = {
     ("email", True): "@",
-    ("email", False): r"(?i)(?:at\]|at\)|\x20at\x20)[^\n]{1,60}(?:dot\]|dot\)|\x20dot\x20)",
+    ("email", False): (r"(?i)at\]|at\)|\x20at\x20", r"(?i)dot\]|dot\)|\x20dot\x20"),
     ("card", True): r"[0-9](?:[\x20-]?[0-9]){12}",
 }
 GAZETTEER = {
@@ -68,7 +69,7 @@ COUNTER_CUES = {
     "card": r"(?i)order|invoice|isbn|serial|tracking|token|hash|\bid\b",
     "phone": r"(?i)order|invoice|isbn|serial|version|token|\bid\b",
 }
-LABELERS = ("rule", "checksum", "gazetteer", "cue", "border")
+LABELERS = ("rule", "form", "gazetteer", "cue", "border")
 SURFACE = ("digits", "separators", "before", "after", "cue", "checksum", "listed")
 VALUES = 4  # each surface feature is 0 to 3
 
@@ -103,6 +104,18 @@ def _valid(kind: str, match: Column, digits: Column) -> Column:
     return F.lit(True)
 
 
+def _plausible(kind: str, match: Column, digits: Column) -> Column:
+    """What the rules do not ask: whether a match is written as such data usually is."""
+    n = F.length(digits)
+    if kind == "email":
+        return F.rlike(match, F.lit(r"^[A-Za-z0-9][^@]{0,63}@.*\.[A-Za-z]{2,24}$")) & ~F.contains(match, F.lit(".."))
+    if kind == "ip":
+        return ~F.rlike(match, F.lit(r"(?:^|\.)0[0-9]|[0-9]{4}"))
+    if kind == "card":
+        return n.between(13, 19) & F.rlike(match, F.lit(r"^(?:[0-9]+|[0-9]{4}(?:\x20[0-9]{2,7})+|[0-9]{4}(?:-[0-9]{2,7})+)$"))
+    return n.between(9, 14) & ~F.rlike(match, F.lit(r"\([^)]*\(|\)[^(]*\)|[.-]{2}|\x20{2}"))
+
+
 def _votes_and_surface(kind: str, rule: bool, span: Column) -> list[Column]:
     match, before, after = span["match"], span["before"], span["after"]
     digits = F.regexp_replace(match, "[^0-9]", "")
@@ -124,7 +137,7 @@ def _votes_and_surface(kind: str, rule: bool, span: Column) -> list[Column]:
         (valid if rule else F.lit(False)).alias("base"),
         F.array(
             one(valid) if rule else F.lit(0),
-            one(valid),
+            one(_flag(_plausible(kind, match, digits))) if rule else one(valid),  # the rule has asked for validity already
             one(listed),
             F.when(against, -1).when(cue, 1).otherwise(0),
             F.when((left == 2) | (right == 2), -1).otherwise(1),
@@ -148,8 +161,8 @@ def _pattern(kind: str, rule: bool) -> str:
 def _cut(text: Column, kind: str, rule: bool) -> list[Column]:
     """A text's matches of a pattern and the pieces around them, under names of their own."""
     pattern = _pattern(kind, rule)
-    hint = _HINTS.get((kind, rule), pattern)
-    there = F.contains(text, F.lit(hint)) if hint == "@" else F.rlike(text, F.lit(hint))
+    hints = _HINTS.get((kind, rule), pattern)
+    there = reduce(Column.__and__, (F.contains(text, F.lit(h)) if h == "@" else F.rlike(text, F.lit(h)) for h in ([hints] if isinstance(hints, str) else hints)))
     none = F.array().cast("array<string>")
     return [
         F.when(there, F.split(text, pattern, -1)).otherwise(none).alias(f"pieces_{kind}_{rule}"),
@@ -157,11 +170,36 @@ def _cut(text: Column, kind: str, rule: bool) -> list[Column]:
     ]
 
 
-def _ends(kind: str, rule: bool) -> Column:
-    """Where the matches end, after a 0: the lengths of pieces and matches, added up."""
+RUN = 128  # elements of an array that are gone through at once
+
+
+def running(values: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """Running results of `merge` over an array of whole numbers, 0 before them.
+
+    Built in runs: an array that grows by one element at a time is copied with each, so it is only
+    let grow to a run's length. `values` should be a stored column, for it is looked at several times.
+    """
+    runs = F.when(F.size(values) > 0, F.sequence(F.lit(0), F.floor((F.size(values) - 1) / RUN).cast("int"))).otherwise(
+        F.array().cast("array<int>")
+    )
+    pieces = F.transform(runs, lambda r: F.slice(values, r * RUN + 1, RUN))
+    grow = lambda done, x: F.concat(done, F.array(merge(F.element_at(done, -1), x)))
+    totals = F.transform(pieces, lambda piece: F.aggregate(piece, F.lit(0), merge))
+    carried = F.aggregate(totals, F.array(F.lit(0)), grow)
+    parts = F.zip_with(pieces, F.slice(carried, 1, F.size(pieces)), lambda piece, before: F.slice(F.aggregate(piece, F.array(before), grow), 2, RUN))
+    return F.concat(F.array(F.lit(0)), F.flatten(parts))
+
+
+def _lengths(kind: str, rule: bool) -> Column:
+    """How far each match ends behind the one before it."""
     pieces, matches = f"pieces_{kind}_{rule}", f"matches_{kind}_{rule}"
-    lengths = F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: F.length(p) + F.length(m))
-    return F.aggregate(lengths, F.array(F.lit(0)), lambda sums, x: F.concat(sums, F.array(F.element_at(sums, -1) + x)))
+    return F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: F.length(p) + F.length(m))
+
+
+def first_behind(spans: str, place: Column) -> Column:
+    """How many of the spans of a column, which are in order and apart, end at or before `place`: where the first one behind it is."""
+    steps = F.array(*(F.lit(1 << k) for k in range(30, -1, -1)))
+    return F.aggregate(steps, F.lit(0), lambda low, step: F.when(F.get(spans, low + step - 1)["end"] <= place, low + step).otherwise(low))
 
 
 _SPAN_TYPE = "array<struct<start:int,end:int,kind:int,base:boolean,votes:array<int>,surface:array<int>>>"
@@ -199,18 +237,20 @@ def with_candidates(docs: DataFrame, text: Column, *columns: Column) -> DataFram
     names = docs.select(*columns).columns
     found = docs.select(*columns, F.coalesce(text, F.lit("")).alias("__text"))
     found = found.select(*names, *(c for kind, rule in ways for c in _cut(F.col("__text"), kind, rule)))
-    found = found.select("*", *(_ends(kind, rule).alias(f"ends_{kind}_{rule}") for kind, rule in ways))
-    strict, loose = (F.concat(*(_spans(kind, rule) for kind in KINDS)) for rule in (True, False))
-    found = found.select(*names, strict.alias("__strict"), loose.alias("__loose"))
-
-    def taken(s: Column) -> Column:
-        return F.exists(
-            "__strict",
-            lambda b: (b["base"] & (s["start"] < b["end"]) & (b["start"] < s["end"]))
-            | ((s["kind"] == b["kind"]) & (s["start"] == b["start"]) & (s["end"] == b["end"])),
-        )
+    found = found.select("*", *(_lengths(kind, rule).alias(f"lengths_{kind}_{rule}") for kind, rule in ways))
+    found = found.select("*", *(running(F.col(f"lengths_{kind}_{rule}"), Column.__add__).alias(f"ends_{kind}_{rule}") for kind, rule in ways))
+    found = found.select(*names, *(_spans(kind, rule).alias(f"spans_{kind}_{rule}") for kind, rule in ways))
+    found = found.select("*", *(F.filter(f"spans_{kind}_True", lambda s: s["base"]).alias(f"base_{kind}") for kind in KINDS))
 
-    return stored(found.select(*names, F.concat("__strict", F.filter("__loose", lambda s: ~taken(s))).alias("candidates")), "pii")
+    def free(own: str, s: Column) -> Column:
+        """Whether nothing is there. The matches of one pattern are in order and apart, so one of them at most can be in the way: the first behind the start."""
+        same = F.get(f"spans_{own}_True", first_behind(f"spans_{own}_True", s["start"]))
+        overlaps = (F.get(f"base_{kind}", first_behind(f"base_{kind}", s["start"]))["start"] < s["end"] for kind in KINDS)
+        return ~reduce(Column.__or__, map(_flag, (*overlaps, (same["start"] == s["start"]) & (same["end"] == s["end"]))))
+
+    strict = (F.col(f"spans_{kind}_True") for kind in KINDS)
+    loose = (F.filter(f"spans_{kind}_False", (lambda own: lambda s: free(own, s))(kind)) for kind in KINDS)
+    return stored(found.select(*names, F.concat(*strict, *loose).alias("candidates")), "pii")
 
 
 @dataclass(frozen=True)
@@ -257,8 +297,9 @@ def estimate(counts: Iterable[tuple[int, tuple[int, ...], int]], rounds: int = 5
                 odds = log(prior / (1 - prior)) + sum(log(answers[1][j][a] / answers[0][j][a]) for j, a in enumerate(votes))
                 belief[votes] = 1 / (1 + exp(-max(min(odds, 30), -30)))
         posterior |= {(kind, votes): p for votes, p in belief.items()}
-        reliability[KINDS[kind]] = {
-            name: (1 - prior) * answers[0][j][-1] + prior * answers[1][j][1] for j, name in enumerate(LABELERS)
+        reliability[KINDS[kind]] = {  # how often an answer is right, where there is one
+            name: ((1 - prior) * answers[0][j][-1] + prior * answers[1][j][1]) / ((1 - prior) * (1 - answers[0][j][0]) + prior * (1 - answers[1][j][0]))
+            for j, name in enumerate(LABELERS)
         }
     return posterior, reliability
 
@@ -289,7 +330,7 @@ def fit_spans(found: DataFrame, rounds: int = 300, rate: float = 0.5, decay: flo
 def accepted(model: SpanModel, threshold: float = ACCEPT) -> Column:
     """Spans (`start`, `kind`, `end`) of the rules and those the classifier adds, in order."""
     chosen = F.filter("candidates", lambda s: s["base"] | (model.probability(s) >= threshold))
-    return F.array_sort(F.array_distinct(F.transform(chosen, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))))
+    return F.array_sort(F.transform(chosen, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))))
 
 
 def listed(spans: Column) -> Column:
@@ -321,30 +362,45 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return spans.select("doc_id", *counts, "base", "spans")
 
 
-def _apart(spans: Column) -> Column:
-    """Ordered spans with those that overlap joined into one, under the kind of the first."""
+def redacted(found: DataFrame, text: Column, spans: Column) -> DataFrame:
+    """`found` with `clean`: `text` in which each of the ordered `spans` is replaced by its kind's name in brackets.
+
+    Spans that overlap are replaced together, by the name of the first.
+    """
+    names = F.array(*(F.lit(f"[{kind.upper()}]") for kind in KINDS))
+    found = found.withColumn("__spans", spans)
+    # How far the spans up to each one reach: one that begins behind that is the first of a group.
+    found = found.withColumn("__ends", F.transform("__spans", lambda s: s["end"]))
+    found = found.withColumn("__reach", running(F.col("__ends"), lambda x, y: F.greatest(x, y)))
+    found = found.withColumn("__heads", F.filter(F.transform("__spans", lambda s, i: F.when(s["start"] >= F.get("__reach", i), i)), lambda i: i.isNotNull()))
+
+    def group(i: Column, k: Column) -> Column:
+        behind = F.coalesce(F.get("__heads", k + 1), F.size("__spans"))
+        return F.struct(F.get("__spans", i)["start"].alias("start"), F.get("__spans", i)["kind"].alias("kind"), F.get("__reach", behind).alias("end"))
+
+    found = found.withColumn("__apart", F.transform("__heads", group))
 
-    def join(done: Column, s: Column) -> Column:
-        last = F.get(done, F.size(done) - 1)
-        longer = F.struct(last["start"].alias("start"), last["kind"].alias("kind"), F.greatest(last["end"], s["end"]).alias("end"))
-        overlap = F.coalesce(s["start"] < last["end"], F.lit(False))
-        return F.when(overlap, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, F.array(s)))
+    # A place in a long text is found by going through the text, so it is cut into stretches of some groups first.
+    groups = F.size("__apart")
+    runs = F.sequence(F.lit(0), F.greatest(F.floor((groups - 1) / RUN), F.lit(0)).cast("int"))
 
-    return F.aggregate(spans, F.filter(spans, lambda s: F.lit(False)), join)
+    def begin(r: Column) -> Column:
+        return F.coalesce(F.get("__apart", r * RUN - 1)["end"], F.lit(0))
 
+    last = F.floor((groups - 1) / RUN).cast("int")
+    stretch = lambda r: F.substring(text, begin(r) + 1, F.when(r < last, begin(r + 1)).otherwise(F.length(text)) - begin(r))
+    found = found.withColumn("__stretches", F.transform(runs, stretch))
 
-def redacted(found: DataFrame, text: Column, spans: Column) -> DataFrame:
-    """`found` with `clean`: `text` in which each of the ordered `spans` is replaced by its kind's name in brackets."""
-    names = F.array(*(F.lit(f"[{kind.upper()}]") for kind in KINDS))
-    found = found.withColumn("__spans", spans).withColumn("__apart", _apart(F.col("__spans")))
+    def rewritten(piece: Column, r: Column) -> Column:
+        def part(s: Column, i: Column) -> Column:
+            before = F.coalesce(F.get("__apart", r * RUN + i - 1)["end"], F.lit(0))
+            return F.concat(F.substring(piece, before - begin(r) + 1, s["start"] - before), F.get(names, s["kind"]))
 
-    def part(s: Column, i: Column) -> Column:
-        before = F.coalesce(F.get("__apart", i - 1)["end"], F.lit(0))
-        return F.concat(F.substring(text, before + 1, s["start"] - before), F.get(names, s["kind"]))
+        rest = F.when(r == last, F.substring(piece, F.get("__apart", groups - 1)["end"] - begin(r) + 1, F.length(piece))).otherwise("")
+        return F.concat(F.array_join(F.transform(F.slice("__apart", r * RUN + 1, RUN), part), ""), rest)
 
-    last = F.get("__apart", F.size("__apart") - 1)["end"]
-    rewritten = F.concat(F.array_join(F.transform("__apart", part), ""), F.substring(text, last + 1, F.length(text)))
-    return found.withColumn("clean", F.when(F.size("__apart") == 0, text).otherwise(rewritten)).drop("__spans", "__apart")
+    rewritten_text = F.array_join(F.transform("__stretches", rewritten), "")
+    return found.withColumn("clean", F.when(F.size("__apart") == 0, text).otherwise(rewritten_text)).drop("__spans", "__ends", "__reach", "__heads", "__apart", "__stretches")
 
 
 def without_personal_data(
