@@ -12,18 +12,19 @@ tables are made everywhere at once; what is handled in one place is one table pe
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import lru_cache
-from math import inf
+from math import ceil, inf
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import numbered, stored
+from .tables import numbered, stored, width
 
-BLOCK = 4096  # turns handled together
+BLOCK, SMALLEST_BLOCK = 4096, 256  # turns handled together
 ROLES = ("system", "user", "assistant", "other")
 ALIASES = {
     "human": "user", "prompter": "user", "customer": "user",
@@ -141,7 +142,7 @@ def format_chats(
     role_col: str = "role",
     text_col: str = "text",
     costs: Costs = Costs(),
-    block: int = BLOCK,
+    block: int | None = None,
 ) -> DataFrame:
     """One row per row of `turns`: its place in the repaired chat and its part of the rendered text.
 
@@ -149,7 +150,11 @@ def format_chats(
     `action` (`keep`, `relabel`, or `merge` into the turn before), `inserted` and `appended` (roles
     of the empty turns before it and, at the end of a conversation, after it, comma-joined) and
     `rendered`. A conversation's chat is its `rendered` parts joined in order of `place`; they are
-    not joined here, since one conversation may be a large share of all rows.
+    not joined here, since one conversation may be a large share of all rows. Tags inside a text are
+    escaped (`escaped`), so the joined chat has the repaired turns and no others.
+
+    Turns are worked on in blocks of `block` turns, of conversations or stretches of one; the result
+    does not depend on it. Without `block` there are a few for each task.
 
     Turns are ordered by their number, nulls first, then by role and text, so repeated rows follow one another and
     are merged. A null text is empty. A null or unknown role is `other` and costs little to name. A
@@ -164,6 +169,9 @@ def format_chats(
     ).withColumns({"mark": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
     order = [F.col(c) for c in ("conv_id", "turn", "code", "mark", "row")]
     ordered = stored(numbered(rows, order, "place", "chat").drop("mark", "row"), "chat-ordered")
+    tasks = width(turns.sparkSession)
+    if block is None:
+        block = min(BLOCK, max(SMALLEST_BLOCK, ceil(ordered.count() / (4 * tasks))))
     bounds = ordered.groupBy("conv_id").agg(F.min("place").alias("conversation"), F.max("place").alias("last"))
     bounds = stored(bounds, "chat-bounds")
     # A conversation is known by its first place.
@@ -205,9 +213,11 @@ def format_chats(
                 out.append((place, place - conversation, place == last, _ROLE_OF[step.state], step.action, inserted, appended))
         return pd.DataFrame(out, columns=["key", "place", "last", "role", "action", "inserted", "appended"])
 
+    # The rows are narrow and Python's share is the cost, so the number of tasks is not left to their size.
     decided = (
-        known.groupBy("block")
-        .cogroup(between.groupBy("block"))
+        known.repartition(tasks, "block")
+        .groupBy("block")
+        .cogroup(between.repartition(tasks, "block").groupBy("block"))
         .applyInPandas(repaired, "key long, place long, last boolean, role string, action string, inserted string, appended string")
     )
     texts = ordered.select(F.col("place").alias("key"), "conv_id", "turn", "text")
@@ -225,7 +235,25 @@ def rendered(opening: str = "<|im_start|>", closing_tag: str = "<|im_end|>") ->
         F.concat(F.when(F.col("place") > 0, f"{closing_tag}\n").otherwise(""), empty(F.col("inserted")), F.lit(opening), F.col("role"), F.lit("\n"))
     )
     after = F.when(F.col("last"), F.concat(F.lit(f"{closing_tag}\n"), empty(F.col("appended")))).otherwise("")
-    return F.concat(before, F.col("text"), after)
+    return F.concat(before, escaped(F.col("text"), opening, closing_tag), after)
+
+
+def escaped(text: Column, *tags: str) -> Column:
+    """Text in which no tag stands: a backslash goes behind the tag's first character, one more where some are there."""
+    for tag in tags:
+        text = F.regexp_replace(text, re.escape(tag[0]) + r"(\\*)" + re.escape(tag[1:]), _literal(tag[0]) + r"\\$1" + _literal(tag[1:]))
+    return text
+
+
+def unescaped(text: Column, *tags: str) -> Column:
+    """What `escaped` was given."""
+    for tag in tags:
+        text = F.regexp_replace(text, re.escape(tag[0]) + r"\\(\\*)" + re.escape(tag[1:]), _literal(tag[0]) + "$1" + _literal(tag[1:]))
+    return text
+
+
+def _literal(text: str) -> str:
+    return re.sub(r"([\\$])", r"\\\1", text)
 
 
 def joined_chats(formatted: DataFrame) -> DataFrame:
