@@ -238,18 +238,6 @@ def score_column(model: Discriminant | None, statistics_col: str = "statistics")
     return score(statistics_col)
 
 
-def text_score_column(model: Discriminant | None, text_col: str = "text") -> Column:
-    """As `score_column`, straight from the text: no join between scores and documents."""
-    if model is None:
-        return F.lit(0.5)
-
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.array([statistics(text) for text in texts])) if len(texts) else [], dtype=float)
-
-    return score(text_col)
-
-
 def quality_scores(
     docs: DataFrame,
     labels: DataFrame,
@@ -278,6 +266,12 @@ def keep_good(
     label_col: str = "quality",
     threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """`docs`, all columns, without the rows that score below the threshold."""
-    model = fit_quality(with_statistics(docs, id_col, text_col), labels, label_col, id_col)
-    return docs.where(text_score_column(model, text_col) >= threshold)
+    """`docs`, all columns, without the rows that score below the threshold.
+
+    Every text is described once: the rows are stored with their statistics, which both the fit and
+    the decision read, and no scores have to be joined to documents.
+    """
+    described = stored(docs.withColumn("__statistics", _statistics(text_col)), "quality-rows")
+    statistics_of = described.select(F.col(id_col).alias("doc_id"), F.col("__statistics").alias("statistics"))
+    model = fit_quality(statistics_of, labels, label_col, id_col)
+    return described.where(score_column(model, "__statistics") >= threshold).drop("__statistics")

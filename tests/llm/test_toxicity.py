@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import itertools
+import math
+
 import numpy as np
 
-from sensorflow.llm.toxicity import OrdinalModel, Sample, features, fit_ordinal, graded, severities
+from sensorflow.llm.toxicity import OrdinalModel, Sample, features, fit_ordinal, fit_toxicity, graded, severities
 
 from .conftest import AWKWARD, prose
 
@@ -65,6 +68,29 @@ def test_grades_rise_with_markers():
     assert set(grades[:10]) == {3} and set(grades[10:20]) == {1} and set(grades[20:]) == {0}
 
 
+def plain_severity(text, model):
+    """Expected grade and likeliest grade of one text, word by word."""
+    place = 0.0
+    counts = {}
+    for word in {"".join(g) for k, g in itertools.groupby((text or "").lower(), str.isalpha) if k}:
+        for feature in [word + "$", *(word[:size] for size in (4, 5, 6, 7) if len(word) >= size)]:
+            counts[feature] = counts.get(feature, 0) + 1
+    for feature, n in counts.items():
+        place += model.weights.get(feature, 0.0) * math.log1p(n)
+    above = [1.0, *(1 / (1 + math.exp(t - place)) for t in model.thresholds), 0.0]
+    chances = [x - y for x, y in zip(above, above[1:])]
+    return sum(above[1:]), max(range(len(chances)), key=chances.__getitem__), above[1]
+
+
+def test_the_query_equals_a_plain_computation(spark, rng):
+    docs, labels, _ = corpus(spark, rng, 200)
+    model = fit_toxicity(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in severities(docs, labels).collect():
+        expected, likeliest, score = plain_severity(texts[r.doc_id], model)
+        assert math.isclose(r.expected_severity, expected, rel_tol=1e-9) and math.isclose(r.score, score, rel_tol=1e-9) and r.severity == likeliest
+
+
 def test_chances_add_up():
     model = OrdinalModel({"bad$": 3.0}, np.array([0.0, 1.0, 4.0]))
     import pandas as pd
