@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -69,6 +72,16 @@ def remove_workspaces(spark: SparkSession) -> None:
     delete(spark, workspaces(spark))
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, for a driver that was started outside of its folder without `--py-files`.
+
+    Only queries whose tasks run Python need it. Once for a session is enough; Spark hands the file out.
+    """
+    folder = tempfile.mkdtemp()  # read by the driver only, when it hands the file to Spark
+    root = Path(__file__).resolve().parent
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/{root.name}", "zip", root.parent, root.name))
+
+
 def state_width(spark: SparkSession, wanted: int | None = None) -> dict[str, str]:
     """Setting for the number of state partitions of a new stream.
 

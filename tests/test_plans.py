@@ -14,6 +14,8 @@ from sensorflow.sources.tables import read_table, write_table
 from sensorflow.streaming.runner import drain
 from sensorflow.streaming.sinks import batch_sink
 
+from .conftest import sample
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -99,3 +101,52 @@ def test_a_machines_own_warehouse_is_refused_on_a_cluster(spark, monkeypatch):
     assert session.shared_folder(cluster) == "file:/tmp/warehouse/_work"
     context.master, named["spark.checkpoint.dir"] = "spark://host:7077", "file:/mnt/share/"
     assert session.shared_folder(cluster) == "file:/mnt/share"
+
+
+def test_the_chain_runs_from_the_command_line(spark, inbox, tmp_path, capsys):
+    import json
+
+    from sensorflow.__main__ import main
+
+    rows = sample(30)
+    inbox.add([*rows, rows[0], "junk"])
+    lines = spark.createDataFrame([(json.dumps(row),) for row in rows] + [("junk",)], "value string")
+    sent = lines.selectExpr("CAST(NULL AS BINARY) AS key", "CAST(value AS BINARY) AS value", "'t' AS topic")
+    topic, raw, silver, gold = (f"{tmp_path}/{name}" for name in ("topic", "raw", "silver", "gold"))
+    write_table(decoding.as_kafka_rows(sent), topic)
+    now = ["--trigger", "available now"]
+    main(["raw", "--topic", topic, "--table", raw, "--checkpoint", f"{tmp_path}/c", *now])
+    main(["refine", "--raw", raw, "--table", silver, *now])
+    main(["gold", "--table", silver, "--gold", gold])
+    main(["epochs-report", "--table", silver])
+    main(["rebuild", "--raw", raw, "--table", silver])
+    main(["gold", "--table", silver, "--gold", gold])
+    main(["last-known-report", "--gold", gold])
+    main(["alerts", "--input", inbox.path, "--topic", f"{tmp_path}/alerts", "--checkpoint", f"{tmp_path}/ac", *now])
+    said = capsys.readouterr().out
+    assert said.count("days written: 2031-03-09") == 2 and "generation 1" in said and "no_json_object" in said and "|sensor-2 " in said
+    high = cleaning.bronze_clean(spark.read.schema("timestamp string, device_id string, building string, floor int, type string, value double, unit string").json(inbox.path))
+    assert read_table(spark, f"{tmp_path}/alerts").count() == high.where("alert_level = 'HIGH'").count() > 0
+
+
+def test_the_package_can_be_sent_to_the_workers(tmp_path):
+    import subprocess
+    import sys
+
+    from .conftest import ROOT
+
+    code = f"""
+import sys; sys.path.insert(0, {str(ROOT)!r})
+from compare_with_sql import local_session
+from sensorflow.session import ship_package
+spark = local_session(2)
+ship_package(spark)
+def names(batches):
+    import sensorflow.schemas
+    for batch in batches:
+        yield batch
+print("rows", spark.range(5).mapInArrow(names, "id long").count())
+"""
+    clean = {k: v for k, v in __import__("os").environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=clean, capture_output=True, text=True, timeout=120)
+    assert "rows 5" in done.stdout, done.stderr[-800:]
