@@ -2,10 +2,12 @@
 
 Paragraphs are lines. Their features are runs of one to three words that occur in the licence
 templates; a multinomial logistic regression over them tells the families apart and has a class of
-its own for other text, learned from paragraphs of the corpus. Its probabilities are calibrated on
-held-out paragraphs by one temperature. A family is reported if it is likelier than the threshold
-and if the paragraph shares enough of its three-word runs with one of the family's templates; a
-paragraph that looks like a licence but agrees with no template is reported as `unknown`.
+its own for other text, learned from paragraphs of the corpus. Its probabilities are calibrated by
+one temperature, on other text that is held out and on pieces of the templates, which are few and
+are fitted as well: between families the probabilities are too sure. A family is reported if it is
+likelier than the threshold and if the paragraph shares enough of its three-word runs with one of
+the family's templates; a paragraph that looks like a licence but agrees with no template is
+reported as `unknown`. Wording that several families share settles on one of them.
 """
 
 from __future__ import annotations
