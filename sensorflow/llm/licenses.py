@@ -7,7 +7,7 @@ one temperature, on other text that is held out and on pieces of the templates,
 are fitted as well: between families the probabilities are too sure. A family is reported if it is
 likelier than the threshold and if the paragraph shares enough of its three-word runs with one of
 the family's templates; a paragraph that looks like a licence but agrees with no template is
-reported as `unknown`. Wording that several families share settles on one of them.
+reported as `unknown`. Wording that templates of several families share equally is reported under all their names.
 """
 
 from __future__ import annotations
@@ -229,7 +229,9 @@ def licenses(
 
     Columns: `doc_id`, `paragraph` (the line's number), `family`, `probability` (calibrated, of the
     likeliest family) and `agreement` (share of three-word runs in common with that family's best
-    template). Where `agreement` is too small `family` is `unknown`.
+    template). Where `agreement` is too small `family` is `unknown`. Wording that templates of other
+    families share as well as those of the likeliest is no evidence for one of them: `family` names all of these
+    in order, joined by a stroke, and `probability` is that of any of them.
 
     Null and empty texts have no paragraphs that qualify; repeated rows give repeated rows of the
     result; a null id is kept. An empty table gives no rows, and so does one in which nothing reads
@@ -249,22 +251,25 @@ def licenses(
     scored = features.join(model.weights, "feature").groupBy("row", "paragraph").agg(*sums)
     chances = scored.select("row", "paragraph", raw.alias("raw")).select("row", "paragraph", _softmax(F.col("raw"), model.temperature).alias("chances"))
     best = F.array_max("chances")
-    named = chances.select("row", "paragraph", best.alias("probability"), F.get(F.lit(list(model.families)), F.array_position("chances", best).cast("int") - 1).alias("family"))
+    named = chances.select("row", "paragraph", "chances", best.alias("probability"), F.get(F.lit(list(model.families)), F.array_position("chances", best).cast("int") - 1).alias("family"))
     likely = stored(named.where((F.col("probability") >= threshold) & (F.col("family") != OTHER)).join(found, ["row", "paragraph"]), "license-likely")
 
     compared = F.array_distinct(_longest_runs(F.col("hashes")))
-    own = likely.select("row", "paragraph", "family", F.explode(compared).alias("run"))
+    own = likely.select("row", "paragraph", F.explode(compared).alias("run"))
     theirs = [fixed.select("family", "template", F.array_distinct(_runs(F.col("hashes"), n)).alias("runs")) for n in (1, 2, 3)]
     theirs = reduce(DataFrame.union, (x.select("family", "template", F.size("runs").alias("size"), F.explode("runs").alias("run")) for x in theirs))
-    common = own.join(theirs, ["family", "run"]).groupBy("row", "paragraph", "template", "size").agg(F.count("*").alias("common"))
+    common = own.join(theirs, "run").groupBy("row", "paragraph", F.col("family").alias("name"), "template", "size").agg(F.count("*").alias("common"))
     shares = common.join(likely.select("row", "paragraph", F.size(compared).alias("own")), ["row", "paragraph"])
-    shares = shares.groupBy("row", "paragraph").agg(F.max(F.col("common") / F.least("own", "size")).alias("agreement"))
-    share = F.coalesce("agreement", F.lit(0.0))
+    shares = shares.groupBy("row", "paragraph", "name").agg(F.max(F.col("common") / F.least("own", "size")).alias("share"))
+    shares = shares.groupBy("row", "paragraph").agg(F.map_from_entries(F.collect_list(F.struct("name", "share"))).alias("shares"))  # families at most
+    share = F.coalesce(F.try_element_at("shares", F.col("family")), F.lit(0.0))
+    alike = F.array_sort(F.map_keys(F.map_filter("shares", lambda _, other: other >= share)))
+    chance = F.aggregate(alike, F.lit(0.0), lambda total, name: total + F.get("chances", F.array_position(F.lit(list(model.families)), name).cast("int") - 1))
     return likely.join(shares, ["row", "paragraph"], "left").select(
         "doc_id",
         "paragraph",
-        F.when(share >= agreement, F.col("family")).otherwise(UNKNOWN).alias("family"),
-        "probability",
+        F.when(share >= agreement, F.array_join(alike, "/")).otherwise(UNKNOWN).alias("family"),
+        F.when(share >= agreement, F.least(chance, F.lit(1.0))).otherwise(F.col("probability")).alias("probability"),
         share.alias("agreement"),
     )
 

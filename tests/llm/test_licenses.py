@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from sensorflow.llm import licenses as module
@@ -85,3 +87,38 @@ def test_short_lines_are_confirmed_by_shorter_runs(spark):
     lines = spark.createDataFrame([(["mit", "license"],), (["mit"],), (["released", "under", "the"],)], "w array<string>")
     sizes = lines.select(F.size(module._longest_runs(F.transform("w", lambda x: F.xxhash64(x)))).alias("n")).collect()
     assert [r.n for r in sizes] == [1, 1, 1]
+
+
+def plain_runs(text, size=3):
+    found = [w for w in re.split(r"[\W_]+", text.lower()) if w]
+    size = min(size, len(found))
+    return {tuple(found[i : i + size]) for i in range(len(found) - size + 1)}, size
+
+
+def test_shared_wording_names_all_its_families(spark, rng):
+    shared = "This program is free software; you can redistribute it and/or"
+    rows = [(1, shared), (2, "Released under the MIT License.")] + [(100 + i, prose(rng, 40)) for i in range(40)]
+    found = {r.doc_id: r for r in licenses(spark.createDataFrame(rows, "doc_id long, text string"), threshold=0.3).collect()}
+    own, size = plain_runs(shared)
+    shares = {family: max(len(own & plain_runs(t, size)[0]) / min(len(own), len(plain_runs(t, size)[0])) for t in texts) for family, texts in TEMPLATES.items()}
+    best = max(shares.values())
+    assert found[1].family == "/".join(sorted(f for f, s in shares.items() if s == best)) and "/" in found[1].family
+    assert abs(found[1].agreement - best) < 1e-12 and found[2].family == "MIT"
+
+
+def test_agreement_and_family_equal_a_plain_comparison(spark, rng):
+    """What is reported for every notice, from the model's own chances and the templates, run by run."""
+    notices = [text for texts in TEMPLATES.values() for text in texts]
+    rows = [(i, text) for i, text in enumerate(notices)] + [(1000 + i, prose(rng, 40)) for i in range(60)]
+    found = {r.doc_id: r for r in licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(found) >= 0.9 * len(notices) and max(found) < 1000
+    for doc_id, r in found.items():
+        own, size = plain_runs(notices[doc_id])
+        shares = {}
+        for family, texts in TEMPLATES.items():
+            theirs = [plain_runs(t, size)[0] for t in texts]
+            shares[family] = max(len(own & t) / min(len(own), len(t)) if t else 0 for t in theirs)
+        if r.family == UNKNOWN:
+            assert r.agreement < 0.6
+        else:
+            assert r.family.split("/") == sorted(f for f, s in shares.items() if s >= r.agreement - 1e-12) and r.agreement >= 0.6
