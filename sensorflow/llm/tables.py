@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import new_workspace
+from ..sources.paths import delete
 
 _INDEX_BITS = 33  # monotonically_increasing_id keeps the row's place within its partition in these bits
 
@@ -17,6 +19,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[], None]]:
+    """Gives a function that removes the tables stored in the block, once nothing reads them any more.
+
+    Without it they stay until the application ends.
+    """
+    made: list[str] = []
+    _scratch.append(made)
+
+    def release() -> None:
+        while made:
+            delete(spark, made.pop())
+
+    try:
+        yield release
+    finally:
+        _scratch.remove(made)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """`df` written as Parquet below the shared folder and read back.
 
@@ -24,6 +48,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     of executors, and several readers share one computation.
     """
     path = new_workspace(df.sparkSession, label)
+    for made in _scratch:
+        made.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -102,3 +102,23 @@ def test_the_rest_does_not_need_the_operators():
     for path in package.rglob("*.py"):
         if "llm" not in path.parts:
             assert not re.search(r"^\s*(from|import) .*\bllm\b", path.read_text(), re.M), path
+
+
+def test_work_tables_are_released(spark, tmp_path):
+    from pathlib import Path
+
+    from sensorflow.llm.tables import scratch, stored
+
+    def there(frame):
+        return Path(frame.inputFiles()[0].removeprefix("file://")).exists()
+
+    before = stored(spark.range(3), "kept")
+    with scratch(spark) as release_outer:
+        with scratch(spark) as release:
+            inner = stored(spark.range(4), "inner")
+        outer = stored(spark.range(5), "outer")
+        files = [f.inputFiles()[0].removeprefix("file://") for f in (before, inner, outer)]
+        release()
+        assert [Path(f).exists() for f in files] == [True, False, True] and outer.count() == 5
+    release_outer()
+    assert [Path(f).exists() for f in files] == [True, False, False] and there(before)
