@@ -10,7 +10,7 @@ from sensorflow.llm.decontaminate import without_overlaps
 from sensorflow.llm.pii import without_personal_data
 from sensorflow.llm.quality import keep_good
 from sensorflow.llm.simhash import keep_one
-from sensorflow.llm.tables import stored, table
+from sensorflow.llm.tables import scratch, stored, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,10 +51,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each result but the last is a stored table."""
+    """All stages over `documents`; each result but the last is a stored table, and gone once the next one is stored."""
     docs = table(spark, sf_dir, "documents")
+    release_last = None
     for step, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if step < len(STAGES) - 1:
-            docs = stored(docs, name.replace(" ", "-"))
-    return docs
+        if step == len(STAGES) - 1:
+            return stage(spark, docs, sf_dir)
+        with scratch(spark) as release:
+            result = stage(spark, docs, sf_dir)
+        with scratch(spark) as release_result:
+            docs = stored(result, name.replace(" ", "-"))
+        release()
+        if release_last:
+            release_last()
+        release_last = release_result
