@@ -38,7 +38,7 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[], None]]:
     try:
         yield release
     finally:
-        _scratch.remove(made)
+        _scratch.pop()  # blocks are nested
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
