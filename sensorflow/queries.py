@@ -37,8 +37,10 @@ CLOCK_COLUMNS = ("ingestion_time", "kafka_ingest_time", "processing_time")
 # Meant to lose some rows.
 LATE_DELAY = "5 days"
 
-# What a rate-limited stream takes per epoch.
+# What a rate-limited stream takes per epoch: three files, whose rows grow with the table once it
+# fills that many files of the least size, so that the number of epochs stays bounded.
 ROWS_PER_FILE, FILES_PER_EPOCH = 250, 3
+FULL_FILES = 120
 
 # What one epoch may take where the result does not depend on it: an epoch is what a stream repeats
 # after a failure, and what a stateful operator shuffles at once.
@@ -166,12 +168,14 @@ def src_json_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_rate_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that a limited stream gives, epochs above its limit, and whether it took several epochs."""
     work = new_workspace(spark, "src_rate_limit")
-    read_readings(spark, sf_dir).write.option("maxRecordsPerFile", ROWS_PER_FILE).json(f"{work}/in")
+    readings = read_readings(spark, sf_dir)
+    rows_per_file = max(ROWS_PER_FILE, -(-readings.count() // FULL_FILES))
+    readings.write.option("maxRecordsPerFile", rows_per_file).json(f"{work}/in")
     source = files.stream_json(spark, f"{work}/in", files_per_batch=FILES_PER_EPOCH)
     out = tables.read_table(spark, streamed(source, work), READING)
     epochs = epoch_counts(spark, f"{work}/checkpoint").where(F.col("rows_read") > 0)
     taken = epochs.agg(
-        F.count_if(F.col("rows_read") > ROWS_PER_FILE * FILES_PER_EPOCH).alias("epochs_over_limit"),
+        F.count_if(F.col("rows_read") > rows_per_file * FILES_PER_EPOCH).alias("epochs_over_limit"),
         (F.count("*") > 1).alias("several_epochs"),
     )
     return side_by_side(aggregates.total(out).withColumnRenamed("n", "n_rows"), taken)
