@@ -28,7 +28,7 @@ from ..functions.times import SECONDS_PATTERN
 from ..operators.decoding import sorted_readings
 from ..operators.dedup import KEY, dedup_batch
 from ..schemas import KIND, RAW, SILVER, SILVER_BY_DAY, SILVER_EPOCH
-from ..session import pin_utc
+from ..session import pin_utc, settings
 from ..sources.paths import files_of, literal, mark, matching
 from ..sources.tables import read_table, read_table_or_empty, stream_table, write_table
 from ..streaming.runner import AVAILABLE_NOW, start
@@ -40,6 +40,12 @@ SEEN = "seen"  # the raw files that a rebuild has read
 ACCEPTED, REJECTED = "accepted", "rejected"
 LAYOUT = (KIND, "event_date")
 
+# An epoch's keys beyond this number are not worth a broadcast.
+MANY_ROWS = 1_000_000
+
+# What one task decodes: files of few row groups would leave most cores without work.
+DECODE_SETTINGS = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m"}
+
 
 def _ready(spark: SparkSession, root: str) -> set[int]:
     """Generations that are complete."""
@@ -76,11 +82,12 @@ class Span(NamedTuple):
     last: int
 
 
-def refuse_stored(fresh: DataFrame, stored: DataFrame, spans: Sequence[Span], keys: Sequence[str] = KEY, time: str = "event_time", day: str = "event_date") -> DataFrame:
+def refuse_stored(fresh: DataFrame, stored: DataFrame, spans: Sequence[Span], keys: Sequence[str] = KEY, time: str = "event_time", day: str = "event_date", many: bool = False) -> DataFrame:
     """Rows of `fresh` whose key `stored` does not hold; of `stored` only the days and times in `spans` are read.
 
     Of the stored keys, those that are met are sought first: that side stays where it is when the
-    epoch is small enough to be broadcast, and the answer is small.
+    epoch is small enough to be broadcast, and the answer is small. With `many` rows in `fresh` both
+    sides are shuffled anyway, so they meet once and `fresh` is computed once.
     """
     within = [
         (F.col(day) == F.lit(span.day)) & F.col(time).between(F.timestamp_micros(F.lit(span.first)), F.timestamp_micros(F.lit(span.last)))
@@ -88,23 +95,29 @@ def refuse_stored(fresh: DataFrame, stored: DataFrame, spans: Sequence[Span], ke
     ]
     if not within:
         return fresh
-    met = stored.where(reduce(Column.__or__, within)).select(*keys).join(fresh.select(*keys), list(keys), "left_semi")
-    return fresh.join(met, list(keys), "left_anti")
+    held = stored.where(reduce(Column.__or__, within)).select(*keys)
+    if not many:
+        held = held.join(fresh.select(*keys), list(keys), "left_semi")
+    return fresh.join(held, list(keys), "left_anti")
 
 
 def write_epoch(raw: DataFrame, epoch: int, place: str, time_pattern: str = SECONDS_PATTERN) -> dict:
     """One epoch of raw rows as accepted readings and rejected messages; returns their counts, which the epoch's mark holds."""
     spark = raw.sparkSession
-    rows = by_day(sorted_readings(raw_messages(raw), time_pattern)).persist()
+    with settings(spark, DECODE_SETTINGS):
+        rows = by_day(sorted_readings(raw_messages(raw.hint("rebalance", "offset")), time_pattern)).persist()
     try:
         time = F.unix_micros("event_time")
         # One row for every day that the epoch writes to, and one for what it rejects.
-        days = rows.groupBy(F.when(F.col("reason") == ACCEPTED, F.col("event_date")).alias("day")).agg(
+        by_days = rows.groupBy(F.when(F.col("reason") == ACCEPTED, F.col("event_date")).alias("day")).agg(
             F.count("*").alias("rows"), F.min(time).alias("first"), F.max(time).alias("last")
-        ).collect()
+        )
+        with settings(spark, DECODE_SETTINGS):
+            days = by_days.collect()
         spans = [Span(row["day"], row["first"], row["last"]) for row in days if row["day"] is not None]
         valid = dedup_batch(rows.where(F.col("reason") == ACCEPTED), order=("kafka_ingest_time", "partition", "offset"))
-        accepted = refuse_stored(valid, _stored(spark, place, upto=epoch - 1), spans).withColumn(KIND, F.lit(ACCEPTED))
+        many = sum(row["rows"] for row in days if row["day"] is not None) > MANY_ROWS
+        accepted = refuse_stored(valid, _stored(spark, place, upto=epoch - 1), spans, many=many).withColumn(KIND, F.lit(ACCEPTED))
         rejected = rows.where(F.col("reason") != ACCEPTED).withColumns({KIND: F.lit(REJECTED), "event_date": F.lit(None).cast("date")})
         counts = [F.count_if(F.col(KIND) == kind).alias(kind) for kind in (ACCEPTED, REJECTED)]
         written = accepted.select(*SILVER_EPOCH.fieldNames()).unionByName(rejected.select(*SILVER_EPOCH.fieldNames()))

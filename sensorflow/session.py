@@ -27,8 +27,9 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 
-# Target size of a shuffled partition when a table is written by day: fewer, larger files.
-WRITE_SETTINGS = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "512m"}
+# Target size of a shuffled partition when a table is written by day: few, large files, but a day of
+# many rows is not left to one task.
+WRITE_SETTINGS = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m"}
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sensorflow.operators import aggregates
 from sensorflow.operators.compare import count_differences
 from sensorflow.operators.decoding import as_kafka_rows, lines_to_messages, silver_columns, silver_valid
+from sensorflow.operators.dedup import dedup_batch
 from sensorflow.plans import generations, gold, jobs, layers
 from sensorflow.schemas import SILVER, SILVER_BY_DAY
 from sensorflow.sources.files import read_json
@@ -224,3 +225,41 @@ def test_gold_writes_changed_days_only(spark, tmp_path):
     follow(spark, raw, root)
     assert gold.refresh_gold(spark, root, str(path)) == ["2031-02-01", "2031-03-04"]
     agrees()
+
+
+def test_large_epochs_refuse_the_same_copies(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(generations, "MANY_ROWS", 0, raising=False)
+    raw, root = f"{tmp_path}/raw", f"{tmp_path}/silver"
+    old = [reading(timestamp=f"2031-01-{day:02d}T08:00:00Z", device_id="d") for day in range(1, 11)]
+    new = [reading(timestamp=f"2031-06-{day:02d}T08:00:00Z", device_id="d") for day in range(1, 11)]
+    for rows in (old * 2, new + old, old, [reading(timestamp="2031-01-05T08:00:00Z", device_id="other"), reading(value=-1.0)]):
+        land(spark, raw, rows)
+        follow(spark, raw, root)
+    report = generations.epoch_report(spark, root).orderBy("batch_id").collect()
+    assert [(r.n_read, r.n_accepted, r.n_rejected, r.n_copies) for r in report] == [(20, 10, 0, 10), (20, 10, 0, 10), (10, 0, 0, 10), (2, 1, 1, 0)]
+    stored = generations._stored(spark, f"{root}/generation=0")
+    spans = [generations.Span(date(2031, 1, 5), 0, 2 * 10**15)]
+    fresh = spark.createDataFrame(stored.limit(2).collect(), stored.schema)
+    plan = generations.refuse_stored(fresh, stored, spans, many=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+
+
+def test_one_raw_file_is_decoded_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(generations, "DECODE_SETTINGS", {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m"}, raising=False)
+    payload = F.to_json(F.struct(
+        F.date_format(F.timestamp_seconds(F.lit(1_925_000_000) + F.col("id")), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
+        F.concat(F.lit("d-"), F.col("id")).alias("device_id"), F.col("id").cast("double").alias("value"),
+    ))
+    sent = spark.range(0, 120_000, 1, 1).select(F.lit(None).cast("binary").alias("key"), payload.cast("binary").alias("value"), F.lit("t").alias("topic"))
+    layers.raw_rows(as_kafka_rows(sent)).write.parquet(f"{tmp_path}/raw")
+    tasks = []
+
+    def seen(rows, **options):
+        per_task = rows.groupBy(F.spark_partition_id()).count().collect()
+        tasks.extend(row["count"] for row in per_task)
+        return dedup_batch(rows, **options)
+
+    monkeypatch.setattr(generations, "dedup_batch", seen)
+    said = generations.write_epoch(spark.read.parquet(f"{tmp_path}/raw"), 0, f"{tmp_path}/place")
+    assert said == {"read": 120_000, "accepted": 120_000, "rejected": 0}
+    assert sum(tasks) == 120_000 and max(tasks) < 60_000
