@@ -105,7 +105,8 @@ def run_until_stopped(query: StreamingQuery, timeout: float | None = None, patie
                 left = None if until is None else until - time.monotonic()
                 if left is not None and left <= 0:
                     break
-                query.awaitTermination(1 if left is None else min(1, left))
+                # The engine counts in whole milliseconds and refuses none.
+                query.awaitTermination(1 if left is None else max(0.001, min(1, left)))
         except KeyboardInterrupt:
             pass
         if query.isActive:

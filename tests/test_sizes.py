@@ -1,4 +1,4 @@
-"""Queries whose work must not outgrow their table."""
+"""Queries whose work must not outgrow their table, and waits that must not be shorter than the engine takes."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sensorflow import queries
 from sensorflow.adapters import EVENTS
+from sensorflow.streaming import runner
 from sensorflow.streaming.progress import epoch_counts
 
 
@@ -42,3 +43,18 @@ def test_rate_limit_of_small_tables_is_250_rows_a_file(spark, tmp_path):
     for rows, several in ((750, False), (751, True)):
         found = queries.src_rate_limit(spark, write_events(spark, tmp_path / f"sf{rows}", rows))
         assert [tuple(row) for row in found.collect()] == [(rows, 0, several)]
+
+
+def test_a_last_wait_of_less_than_a_millisecond(monkeypatch):
+    waits, clock = [], iter([0.0, 0.9999, 1.5])
+
+    class Query:
+        isActive = True
+
+        def awaitTermination(self, timeout=None):
+            waits.append(timeout)
+
+    monkeypatch.setattr(runner.time, "monotonic", lambda: next(clock, 2.0))
+    monkeypatch.setattr(runner, "stop_between_epochs", lambda *_: True)
+    runner.run_until_stopped(Query(), timeout=1)
+    assert len(waits) == 2 and int(waits[0] * 1000) > 0 and waits[1] is None
